@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import canon
+from . import canon, sitelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,18 @@ def p4_copies(spark: SparkSession, d: str) -> DataFrame:
     return canon.copies(table(spark, d, "fineweb_rows"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    limits = sitelines.Limits.active(table(spark, d, "clean_profiles"))
+    lines, _ = sitelines.excessive(table(spark, d, "fineweb_rows"), limits)
+    return lines.select(F.col("row").alias("row_id"), "line_no")
+
+
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    limits, rows = sitelines.Limits.active(table(spark, d, "clean_profiles")), table(spark, d, "fineweb_rows")
+    _, state = sitelines.excessive(rows, limits)
+    return sitelines.cleaned(rows, state.crossed).withColumnRenamed("row", "row_id")
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
 
