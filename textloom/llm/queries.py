@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import canon, sitelines
+from . import canon, overlap, sitelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,31 @@ def p4_copies(spark: SparkSession, d: str) -> DataFrame:
     return canon.copies(table(spark, d, "fineweb_rows"))
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = overlap.pairs(*overlap.cross_split(table(spark, d, "shard_rows")))
+    return pairs.select(F.least("train_id", "val_id").alias("sample_id_a"), F.greatest("train_id", "val_id").alias("sample_id_b"))
+
+
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping records and pairs per split and source, with the mean of their largest overlap fractions."""
+    rows = table(spark, d, "shard_rows")
+    links, members = overlap.cross_split(rows)
+    pairs = overlap.pairs(links, members)
+    t = pairs.groupBy(F.col("train_id").alias("sample_id")).agg(F.count(F.lit(1)).alias("n"), F.max("shared_t").alias("shared"))
+    v = pairs.groupBy(F.col("val_id").alias("sample_id")).agg(F.count(F.lit(1)).alias("n"), F.max("shared_v").alias("shared"))
+    return (
+        rows.select("sample_id", "split", "source")
+        .join(t.unionByName(v), "sample_id", "left")
+        .groupBy("split", "source")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count("n").alias("n_overlapping"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"),
+            F.round(F.avg("shared"), 4).alias("mean_overlap"),
+        )
+    )
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     limits = sitelines.Limits.active(table(spark, d, "clean_profiles"))
     lines, _ = sitelines.excessive(table(spark, d, "fineweb_rows"), limits)
