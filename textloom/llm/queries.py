@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import canon, overlap, sitelines
+from . import canon, leaks, overlap, sitelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,22 @@ def p2_clean(spark: SparkSession, d: str) -> DataFrame:
     return sitelines.cleaned(rows, state.crossed).withColumnRenamed("row", "row_id")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    found = leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_cases"))
+    return found.where("2 * covered >= n_words").select("doc_id", "item_id")
+
+
+def p6_items(spark: SparkSession, d: str) -> DataFrame:
+    """Per item: documents that hold at least a run of it, half of it, and the largest covered share."""
+    items = table(spark, d, "eval_cases")
+    found = leaks.leaks(table(spark, d, "documents"), items)
+    share = F.col("covered") / F.col("n_words")
+    per = found.groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("n_partly"), F.count(F.when(share >= 0.5, 1)).alias("n_leaked"), F.round(F.max(share), 4).alias("largest_share")
+    )
+    return items.select("item_id", "suite").join(per, "item_id")
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
 
