@@ -124,16 +124,19 @@ class Passages:
         doc = np.searchsorted(doc_starts, doc_place, side="right") - 1
         # overlapping bands: each diagonal lies in two, half a band apart
         half = self.edits + 1
-        diagonal = doc_place - doc_starts[doc] - place + (1 << 40)
-        band = diagonal // half
+        # keys fit 63 bits: pages and blocks bound the documents, items and places
+        least = -int(place.max(initial=0)) - 2 * half
+        diagonal = doc_place - doc_starts[doc] - place - least
+        width = 2 * half if self.edits else 1
+        bands = (int(diagonal.max(initial=0)) + half) // width + 2
+        pair = doc * len(self.ids) + item
         found: dict[tuple[int, int], set[int]] = {}
-        for shift in (0, 1) if self.edits else (0,):
-            keys = np.stack([doc, item, (band + shift) // (2 if self.edits else 1)], axis=1)
-            groups, count = np.unique(keys, axis=0, return_counts=True)
-            for g in np.flatnonzero(count >= self.need[groups[:, 1]]):
-                width = 2 * half if self.edits else 1
-                start = int(groups[g, 2]) * width - (shift * half if self.edits else 0) - (1 << 40)
-                found.setdefault((int(groups[g, 0]), int(groups[g, 1])), set()).update(range(start, start + width))
+        for shift in (0, half) if self.edits else (0,):
+            groups, count = np.unique(pair * bands + (diagonal + shift) // width, return_counts=True)
+            keep = count >= self.need[groups // bands % len(self.ids)]
+            for g in groups[keep].tolist():
+                start = g % bands * width - shift + least
+                found.setdefault(divmod(g // bands, len(self.ids)), set()).update(range(start, start + width))
         out = []
         ends = np.append(doc_starts[1:], len(codes))
         for (doc_no, item_no), diagonals in found.items():
