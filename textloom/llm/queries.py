@@ -8,11 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import canon, leaks, overlap, sitelines
+from . import canon, leaks, overlap, packing, prose, sitelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of the texts without the lines that are excessive in their source."""
+    limits, rows = sitelines.Limits.active(table(spark, d, "clean_profiles")), table(spark, d, "fineweb_rows")
+    state = sitelines.LineCounts(limits)
+    state.merge(sitelines.line_keys(rows, "row_id", "text", "source", "file_name"))
+    return prose.judged(sitelines.cleaned(rows, state.crossed))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _judged(spark, d).where("prose_share < 0.5").select(F.col("row").alias("row_id"))
+
+
+def p3_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """The judgement of every row, and whether it is kept as prose."""
+    return _judged(spark, d).withColumnRenamed("row", "row_id").withColumn("is_prose", F.col("prose_share") >= 0.5)
+
+
+def p3_ratios(spark: SparkSession, d: str) -> DataFrame:
+    """Counts and ratios of every row's whole text, and whether they keep the active profile's limits."""
+    # one row: the first active profile by name
+    limits = table(spark, d, "clean_profiles").where("active").orderBy("profile").limit(1).select("min_alpha_ratio", "max_symbol_ratio", "max_digit_ratio")
+    rows = table(spark, d, "fineweb_rows").select("row_id", *(c.alias(k) for k, c in prose.ratios(F.col("text")).items()))
+    keeps = (F.col("alpha_ratio") >= F.col("min_alpha_ratio")) & (F.col("symbol_ratio") <= F.col("max_symbol_ratio")) & (F.col("digit_ratio") <= F.col("max_digit_ratio"))
+    return rows.join(F.broadcast(limits), how="left").select(*rows.columns, keeps.alias("keeps_limits"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return canon.repeats(table(spark, d, "fineweb_rows"))
 
@@ -58,6 +84,18 @@ def p2_clean(spark: SparkSession, d: str) -> DataFrame:
     return sitelines.cleaned(rows, state.crossed).withColumnRenamed("row", "row_id")
 
 
+def p5_pack(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(table(spark, d, "documents"), packing.context_lengths(table(spark, d, "train_runs")))
+
+
+def p5_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Per context length: pieces, contexts, the fewest contexts its tokens need, and the share of room used."""
+    per = p5_pack(spark, d).groupBy("context_length", "context").agg(F.count(F.lit(1)).alias("pieces"), F.sum("n_tokens").alias("tokens"))
+    sums = per.groupBy("context_length").agg(F.sum("pieces").alias("n_pieces"), F.count(F.lit(1)).alias("n_contexts"), F.sum("tokens").alias("n_tokens"))
+    room = F.col("n_contexts") * F.col("context_length")
+    return sums.withColumn("least_contexts", F.ceil(F.col("n_tokens") / F.col("context_length"))).withColumn("fill", F.round(F.col("n_tokens") / room, 6))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     found = leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_cases"))
     return found.where("2 * covered >= n_words").select("doc_id", "item_id")

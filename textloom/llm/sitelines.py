@@ -45,10 +45,14 @@ def normal_line(line: Column) -> Column:
     return F.regexp_replace(spaced, "[0-9]+", "0")
 
 
+def _hashes(source: Column, norm: Column) -> Column:
+    return F.struct(F.xxhash64(source, norm).alias("k1"), F.xxhash64(F.lit(7), norm, source).alias("k2"))
+
+
 def _keys(source: Column, line: Column) -> Column:
+    """Null for lines without a letter, which are never removed."""
     norm = normal_line(line)
-    # lines without a letter are never removed; null keys keep their places
-    return F.when(norm.rlike(r"\p{L}"), F.struct(F.xxhash64(source, norm).alias("k1"), F.xxhash64(F.lit(7), norm, source).alias("k2")))
+    return F.when(norm.rlike(r"\p{L}"), _hashes(source, norm))
 
 
 def line_keys(df: DataFrame, id_col: str, text_col: str, source_col: str, file_col: str) -> DataFrame:
@@ -129,14 +133,17 @@ def excessive(
 def cleaned(df: DataFrame, crossed: DataFrame, id_col: str = "row_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``row, n_removed, text`` of every row. Rows without a crossed line pass unchanged; nothing is shuffled as long as the
     crossed keys fit ``SENT_KEYS``, otherwise the texts are joined with their lines to be removed."""
+    def both(norm: Column) -> Column:
+        return F.when(norm.rlike(r"\p{L}"), _hashes(F.col("src"), norm)).otherwise(F.struct(F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2")))
+
     keyed = df.select(
         F.col(id_col).cast("long").alias("row"),
         F.col(text_col).alias("text"),
-        F.transform(F.split(F.col(text_col), "\n", -1), lambda x: F.coalesce(_keys(F.col(source_col), x)["k1"], F.lit(0))).alias("k1"),
-        F.transform(F.split(F.col(text_col), "\n", -1), lambda x: F.coalesce(_keys(F.col(source_col), x)["k2"], F.lit(0))).alias("k2"),
-    )
+        F.col(source_col).alias("src"),
+        F.transform(F.split(F.col(text_col), "\n", -1), normal_line).alias("norm"),
+    ).select("row", "text", F.transform("norm", both).alias("k"))
     if crossed.limit(SENT_KEYS + 1).count() > SENT_KEYS:
-        lines = keyed.select("row", F.posexplode(F.arrays_zip("k1", "k2")).alias("pos", "k")).select("row", "pos", "k.k1", "k.k2")
+        lines = keyed.select("row", F.posexplode("k").alias("pos", "k")).select("row", "pos", "k.k1", "k.k2")
         drop = lines.join(crossed, ["k1", "k2"], "left_semi").groupBy("row").agg(F.collect_set("pos").alias("drop"))
         return keyed.select("row", "text").join(drop, "row", "left").select(
             "row",
@@ -153,16 +160,15 @@ def cleaned(df: DataFrame, crossed: DataFrame, id_col: str = "row_id", text_col:
         first = np.array(sorted({k for k, _ in gone}), np.int64)
         for b in batches:
             texts, removed = b.column(1).to_pylist(), np.zeros(b.num_rows, np.int64)
-            k1 = b.column(2)
-            flat, ends = k1.flatten().to_numpy(), k1.offsets.to_numpy() - k1.offsets[0].as_py()
-            hit = np.isin(flat, first)
+            keys = b.column(2)
+            flat, ends = keys.flatten(), keys.offsets.to_numpy() - keys.offsets[0].as_py()
+            k1, k2 = flat.field("k1").to_numpy(), flat.field("k2").to_numpy()
+            hit = np.isin(k1, first)
             before = np.concatenate([[0], np.cumsum(hit)])
             for i in np.flatnonzero(before[ends[1:]] > before[ends[:-1]]):
-                keep = [
-                    line
-                    for line, a, c in zip(texts[i].split("\n"), k1[int(i)].as_py(), b.column(3)[int(i)].as_py(), strict=True)
-                    if (a, c) not in gone
-                ]
+                own = slice(ends[i], ends[i + 1])
+                keys_ = zip(k1[own].tolist(), k2[own].tolist(), strict=True)
+                keep = [line for line, k in zip(texts[i].split("\n"), keys_, strict=True) if k not in gone]
                 removed[i] = texts[i].count("\n") + 1 - len(keep)
                 texts[i] = "\n".join(keep)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed), pa.array(texts, pa.string())], names=["row", "n_removed", "text"])
