@@ -19,21 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import spaced
+from .words import flat
 
 #: Characters of passages that are sent at once, and characters hashed at once in a task.
 BLOCK_CHARS, SLICE = 8_000_000, 1 << 20
 _B = np.uint64(0x9E3779B97F4A7C15)
 
 
-def flat(text: Column) -> Column:
-    """The words of the text with one space before, between and after them."""
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(spaced(text), r"(?U)[\s\x1c-\x1f]+", " ")), F.lit(" "))
-
-
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import canon, leaks, overlap, packing, prose, sitelines
+from . import abuse, canon, leaks, overlap, packing, prose, sitelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +112,26 @@ def p6_items(spark: SparkSession, d: str) -> DataFrame:
     return items.select("item_id", "suite").join(per, "item_id")
 
 
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    return abuse.scored(documents, abuse.train(documents, table(spark, d, "abuse_labels")))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).where("score >= 0.5").select("doc_id")
+
+
+def p7_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d)
+
+
+def p7_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Per source: documents with a text, abusive ones, and their share."""
+    scored = _scored(spark, d).where("score is not null")
+    per = scored.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), F.count(F.when(F.col("score") >= 0.5, 1)).alias("n_abusive"))
+    return per.withColumn("rate", F.round(F.col("n_abusive") / F.col("n_documents"), 6))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
 
