@@ -11,7 +11,8 @@ rolling hash leaves too few), an edit spoils one at most, so one chunk of the tr
 evaluation record. Nothing is capped.
 
 Chunks carry the parities of their record's words (192 bits). An edit flips two at most, so candidates that differ in more
-than ``2k`` bits are left out inside the join. Before the join a Bloom filter of bounded size drops training chunks that no
+than ``2k`` bits are left out inside the join; of the others those go on whose shared chunks are all of the training
+record's but ``k`` or more. Before the join a Bloom filter of bounded size drops training chunks that no
 evaluation record has, and the other way round. Records with equal words are one class: copies are cut once per partition,
 and links of classes are expanded to their members at the end.
 
@@ -37,8 +38,8 @@ from .words import words
 SHORT, LONG, SHORT_RECORD = (2, 3), (3, 4, 5), 12
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PRIMES = tuple(np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-_ROW = "kind int, digest long, id long, n int, s1 long, s2 long, s3 long, class binary"
-_CHUNK = ["digest", "id", "n", "s1", "s2", "s3"]
+_ROW = "kind int, digest long, id long, n int, cuts int, s1 long, s2 long, s3 long, class binary"
+_CHUNK = ["digest", "id", "n", "cuts", "s1", "s2", "s3"]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -202,7 +203,7 @@ def _sliced(recs: DataFrame, most: float, whole: bool, wanted: tuple[np.ndarray,
             if members:
                 none = pa.nulls(b.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(b.num_rows, np.int32)), none, b.column("id"), pa.nulls(b.num_rows, pa.int32()), none, none, none, b.column("class")],
+                    [pa.array(np.ones(b.num_rows, np.int32)), none, b.column("id"), few := pa.nulls(b.num_rows, pa.int32()), few, none, none, none, b.column("class")],
                     names=["kind", *_CHUNK, "class"],
                 )
             if not any(fresh):
@@ -213,12 +214,19 @@ def _sliced(recs: DataFrame, most: float, whole: bool, wanted: tuple[np.ndarray,
                 row, digest = windows(u, ends, most)
             else:
                 row, _, _, digest = chunks(u, ends, most)
+            # each digest once a record
+            by = np.lexsort((digest, row))
+            row, digest = row[by], digest[by]
+            first = np.ones(len(row), bool)
+            first[1:] = (row[1:] != row[:-1]) | (digest[1:] != digest[:-1])
+            row, digest = row[first], digest[first]
+            cuts = np.bincount(row, minlength=len(ends)).astype(np.int32)
             if bloom:
                 hit = bits.probe(bloom[0], bloom[1], digest.view(np.int64))
                 row, digest = row[hit], digest[hit]
             n = np.diff(ends, prepend=0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(row), np.int32)), pa.array(digest.view(np.int64)), b.column("id").take(pa.array(row)), pa.array(n[row])]
+                [pa.array(np.zeros(len(row), np.int32)), pa.array(digest.view(np.int64)), b.column("id").take(pa.array(row)), pa.array(n[row]), pa.array(cuts[row])]
                 + [pa.array(s[row]) for s in parities(u, ends)]
                 + [pa.nulls(len(row), pa.binary())],
                 names=["kind", *_CHUNK, "class"],
@@ -277,7 +285,10 @@ def cross_split(
     near = t.alias("t").join(
         v.alias("v"), (F.col("t.digest") == F.col("v.digest")) & (F.abs(F.col("t.n") - F.col("v.n")) <= k) & (flips <= 2 * k)
     )
-    pairs = materialize(near.select(F.col("t.id").alias("t"), F.col("v.id").alias("v")).distinct(), "p1-pairs")
+    counted = near.groupBy(F.col("t.id").alias("t"), F.col("v.id").alias("v")).agg(
+        F.count(F.lit(1)).alias("shared"), F.first(F.col("t.cuts") - k).alias("least")
+    )
+    pairs = materialize(counted.where("shared >= least").select("t", "v"), "p1-pairs")
     needed = materialize(pairs.select(F.col("t").alias(id_col)).union(pairs.select("v")).distinct(), "p1-needed")
     texts = records(df.join(small(needed), id_col, "left_semi"), id_col, text_col, split_col, least).select("id", "class", "words")
     texts = materialize(texts, "p1-words")
