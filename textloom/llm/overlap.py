@@ -17,7 +17,7 @@ evaluation record has, and the other way round. Records with equal words are one
 and links of classes are expanded to their members at the end.
 
 Defined results: null and blank texts and those under ``least`` words take no part; other splits than ``train`` and ``val``
-are ignored; repeated rows are records of their own; an empty table gives an empty result. Other columns are ignored.
+are ignored; rows with other ids but the same text are records of their own, a row repeated with its id is one; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,16 +27,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import materialize, small
 from . import bits
-from .words import words
+from .words import flat
 
 #: Chunk lengths in words, and the records (in words) from which chunks have three words at least.
 SHORT, LONG, SHORT_RECORD = (2, 3), (3, 4, 5), 12
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _PRIMES = tuple(np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _ROW = "kind int, digest long, id long, n int, cuts int, s1 long, s2 long, s3 long, class binary"
 _CHUNK = ["digest", "id", "n", "cuts", "s1", "s2", "s3"]
@@ -138,7 +140,7 @@ def parities(u: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def edits(a: list[int], b: list[int], most: int) -> int:
+def edits(a: list[str], b: list[str], most: int) -> int:
     """Fewest single-word insertions, removals and replacements, by bit-parallel dynamic programming over one long integer;
     ``most + 1`` if it is certain to be more."""
     i = 0
@@ -151,7 +153,7 @@ def edits(a: list[int], b: list[int], most: int) -> int:
         return max(len(a), len(b))
     if abs(len(a) - len(b)) > most or max(len(a), len(b)) - sum((Counter(a) & Counter(b)).values()) > most:
         return most + 1
-    where: dict[int, int] = {}
+    where: dict[str, int] = {}
     for i, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << i
     mask, top = (1 << len(a)) - 1, 1 << len(a) - 1
@@ -170,27 +172,34 @@ def edits(a: list[int], b: list[int], most: int) -> int:
     return score
 
 
-def records(df: DataFrame, id_col: str, text_col: str, split_col: str, least: int) -> DataFrame:
-    """``id, split, class, words``: classes are digests of the words, words their hashes."""
-    w = (
-        df.where(F.col(split_col).isin("train", "val") & F.col(text_col).isNotNull())
-        .select(F.col(id_col).cast("long").alias("id"), F.col(split_col).alias("split"), words(F.col(text_col)).alias("w"))
-        .where(F.size("w") >= least)
-    )
-    return w.select(
-        "id",
-        "split",
-        F.unhex(F.md5(F.array_join("w", " "))).alias("class"),
-        F.transform("w", lambda x: F.xxhash64(x)).alias("words"),
+def records(df: DataFrame, id_col: str, text_col: str, split_col: str) -> DataFrame:
+    """``id, split, flat``: the words of each text in the two splits, with spaces around them."""
+    return df.where(F.col(split_col).isin("train", "val") & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.col(split_col).alias("split"), flat(F.col(text_col)).alias("flat")
     )
 
 
-def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    offsets = column.offsets.to_numpy()
-    return column.values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint64), (offsets - offsets[0])[1:].astype(np.int64)
+def hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words, the rows' ends among them) of strings with single spaces around their words, straight from the
+    column's bytes: differences of one prefix sum of a polynomial."""
+    column = column.cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    if not len(column) or offsets[-1] == offsets[0]:
+        return np.zeros(0, np.uint64), np.zeros(len(column), np.int64)
+    codes = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = codes != 32
+    edge = np.diff(inside.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
+    starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    with np.errstate(over="ignore"):
+        power = np.multiply.accumulate(np.full(len(codes), _BASE, np.uint64))
+        back = np.multiply.accumulate(np.full(len(codes), _INVERSE, np.uint64))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power, dtype=np.uint64)])
+        u = _mix((total[stops] - total[starts]) * back[starts])
+    return u, np.searchsorted(starts, offsets[1:]).astype(np.int64)
 
 
-def _sliced(recs: DataFrame, most: float, whole: bool, wanted: tuple[np.ndarray, int] | None, members: bool) -> DataFrame:
+def _sliced(recs: DataFrame, most: float, least: int, whole: bool, wanted: tuple[np.ndarray, int] | None, members: bool) -> DataFrame:
     """Rows of kind 0: chunks (``whole``: all windows), only those in the filter; and of kind 1: a row for each record."""
     sent = recs.sparkSession.sparkContext.broadcast(wanted and (np.packbits(wanted[0] > 0), wanted[1]))
 
@@ -198,18 +207,26 @@ def _sliced(recs: DataFrame, most: float, whole: bool, wanted: tuple[np.ndarray,
         known: set[bytes] = set()
         bloom = sent.value and (np.unpackbits(sent.value[0]), sent.value[1])
         for b in batches:
-            classes = b.column("class").to_pylist()
-            fresh = [not (c in known or known.add(c)) for c in classes]
+            u, ends = hashed(b.column("flat"))
+            long_enough = np.diff(ends, prepend=0) >= least
+            if not long_enough.all():
+                b = b.filter(pa.array(long_enough))
+                u, ends = hashed(b.column("flat"))
+            if not b.num_rows:
+                continue
+            classes = [xxhash.xxh3_128_digest(x) for x in b.column("flat").cast(pa.binary()).to_pylist()]
+            fresh = np.array([not (c in known or known.add(c)) for c in classes], bool)
             if members:
-                none = pa.nulls(b.num_rows, pa.int64())
+                none, few = pa.nulls(b.num_rows, pa.int64()), pa.nulls(b.num_rows, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(b.num_rows, np.int32)), none, b.column("id"), few := pa.nulls(b.num_rows, pa.int32()), few, none, none, none, b.column("class")],
+                    [pa.array(np.ones(b.num_rows, np.int32)), none, b.column("id"), few, few, none, none, none, pa.array(classes, pa.binary())],
                     names=["kind", *_CHUNK, "class"],
                 )
-            if not any(fresh):
+            if not fresh.any():
                 continue
-            b = b.filter(pa.array(fresh))
-            u, ends = _flat(b.column("words"))
+            if not fresh.all():
+                b = b.filter(pa.array(fresh))
+                u, ends = hashed(b.column("flat"))
             if whole:
                 row, digest = windows(u, ends, most)
             else:
@@ -232,7 +249,7 @@ def _sliced(recs: DataFrame, most: float, whole: bool, wanted: tuple[np.ndarray,
                 names=["kind", *_CHUNK, "class"],
             )
 
-    return recs.select("id", "class", "words").mapInArrow(cut, _ROW)
+    return recs.select("id", "flat").mapInArrow(cut, _ROW)
 
 
 def _verified(both: DataFrame, most: float) -> DataFrame:
@@ -244,13 +261,15 @@ def _verified(both: DataFrame, most: float) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for it, iv, t, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
-                t, v = t.values.to_numpy(), v.values.to_numpy()
+            for it, iv, ft, fv in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                t, v = ft.split(), fv.split()
                 limit = int(max(len(t), len(v)) * most + 1e-9)
-                n = edits(t.tolist(), v.tolist(), limit)
+                if len(set(t).difference(v)) > limit or len(set(v).difference(t)) > limit:
+                    continue
+                n = edits(t, v, limit)
                 if n <= limit:
-                    t, v = t.view(np.uint64), v.view(np.uint64)
-                    rows.append((it, iv, n, shared(t, v), shared(v, t)))
+                    ut, uv = (hashed(pa.array([x]))[0] for x in (ft, fv))
+                    rows.append((it, iv, n, shared(ut, uv), shared(uv, ut)))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["t", "v", "edits", "shared_t", "shared_v"])
@@ -270,15 +289,15 @@ def cross_split(
     """(links, members): ``class_t, class_v, edits, shared_t, shared_v`` for every pair of classes within the allowed edits,
     equal classes linked to themselves, and ``id, split, class`` of all records. ``shared`` is the share of the record's chunk
     words whose chunks stand in the other record too. ``2**filter_bits`` slots bound both filters (8 MB each)."""
-    recs = records(df, id_col, text_col, split_col, least)
+    recs = records(df, id_col, text_col, split_col)
     train, val = recs.where("split = 'train'"), recs.where("split = 'val'")
-    n_bits = bits.slot_bits(100 * val.count(), 8, most=filter_bits)
-    in_val = bits.seen_table(_sliced(val, most, True, None, False).select("digest"), ["digest"], n_bits)
-    cut = materialize(_sliced(train, most, False, (in_val, n_bits), True), "p1-train")
+    n_bits = bits.slot_bits(100 * df.where(F.col(split_col) == "val").count(), 8, most=filter_bits)
+    in_val = bits.seen_table(_sliced(val, most, least, True, None, False).select("digest"), ["digest"], n_bits)
+    cut = materialize(_sliced(train, most, least, False, (in_val, n_bits), True), "p1-train")
     t = cut.where("kind = 0").select(*_CHUNK)
     n_bits = bits.slot_bits(t.count(), 8, most=filter_bits)
     in_train = bits.seen_table(t.select("digest"), ["digest"], n_bits)
-    seen = materialize(_sliced(val, most, True, (in_train, n_bits), True), "p1-val")
+    seen = materialize(_sliced(val, most, least, True, (in_train, n_bits), True), "p1-val")
     v = seen.where("kind = 0").select(*_CHUNK)
     k = F.floor(F.greatest("t.n", "v.n") * most + 1e-9)
     flips = sum((F.bit_count(F.col(f"t.{s}").bitwiseXOR(F.col(f"v.{s}"))) for s in ("s1", "s2", "s3")), F.lit(0))
@@ -290,25 +309,24 @@ def cross_split(
     )
     pairs = materialize(counted.where("shared >= least").select("t", "v"), "p1-pairs")
     needed = materialize(pairs.select(F.col("t").alias(id_col)).union(pairs.select("v")).distinct(), "p1-needed")
-    texts = records(df.join(small(needed), id_col, "left_semi"), id_col, text_col, split_col, least).select("id", "class", "words")
-    texts = materialize(texts, "p1-words")
+    texts = materialize(records(df.join(small(needed), id_col, "left_semi"), id_col, text_col, split_col).select("id", "flat"), "p1-words")
     both = (
-        pairs.join(texts.select(F.col("id").alias("v"), F.col("words").alias("words_v")), "v")
-        .join(texts.select(F.col("id").alias("t"), F.col("words").alias("words_t")), "t")
-        .select("t", "v", "words_t", "words_v")
+        pairs.join(texts.select(F.col("id").alias("v"), F.col("flat").alias("flat_v")), "v")
+        .join(texts.select(F.col("id").alias("t"), F.col("flat").alias("flat_t")), "t")
+        .select("t", "v", "flat_t", "flat_v")
     )
-    classes = texts.select("id", "class")
-    near_links = (
+    members = cut.where("kind = 1").select("id", F.lit("train").alias("split"), "class").unionByName(
+        seen.where("kind = 1").select("id", F.lit("val").alias("split"), "class")
+    ).distinct()
+    classes = members.select("id", "class")
+    links = (
         _verified(both, most)
         .join(classes.toDF("t", "class_t"), "t")
         .join(classes.toDF("v", "class_v"), "v")
         .groupBy("class_t", "class_v")
         .agg(*(F.max(c).alias(c) for c in ("edits", "shared_t", "shared_v")))
     )
-    members = cut.where("kind = 1").select("id", F.lit("train").alias("split"), "class").unionByName(
-        seen.where("kind = 1").select("id", F.lit("val").alias("split"), "class")
-    )
-    return materialize(near_links, "p1-links"), members
+    return materialize(links, "p1-links"), members
 
 
 def pairs(links: DataFrame, members: DataFrame) -> DataFrame:
