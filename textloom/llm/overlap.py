@@ -208,25 +208,21 @@ def _sliced(recs: DataFrame, most: float, least: int, whole: bool, wanted: tuple
         bloom = sent.value and (np.unpackbits(sent.value[0]), sent.value[1])
         for b in batches:
             u, ends = hashed(b.column("flat"))
-            long_enough = np.diff(ends, prepend=0) >= least
-            if not long_enough.all():
-                b = b.filter(pa.array(long_enough))
-                u, ends = hashed(b.column("flat"))
-            if not b.num_rows:
-                continue
+            n = np.diff(ends, prepend=0)
+            b, keep = b.filter(pa.array(n >= least)), n >= least
             classes = [xxhash.xxh3_128_digest(x) for x in b.column("flat").cast(pa.binary()).to_pylist()]
-            fresh = np.array([not (c in known or known.add(c)) for c in classes], bool)
-            if members:
+            if members and classes:
                 none, few = pa.nulls(b.num_rows, pa.int64()), pa.nulls(b.num_rows, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ones(b.num_rows, np.int32)), none, b.column("id"), few, few, none, none, none, pa.array(classes, pa.binary())],
                     names=["kind", *_CHUNK, "class"],
                 )
+            fresh = np.array([not (c in known or known.add(c)) for c in classes], bool)
             if not fresh.any():
                 continue
-            if not fresh.all():
-                b = b.filter(pa.array(fresh))
-                u, ends = hashed(b.column("flat"))
+            b = b.filter(pa.array(fresh))
+            keep[np.flatnonzero(keep)[~fresh]] = False
+            u, ends = u[np.repeat(keep, n)], np.cumsum(n[keep])
             if whole:
                 row, digest = windows(u, ends, most)
             else:
