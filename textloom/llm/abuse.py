@@ -7,7 +7,8 @@ starts with each sentence under its document's rating and then, round by round,
 documents rated so that the model itself finds abusive. A document's score is that of its worst sentence.
 
 The model is fitted on the driver, on at most ``MAX_LABELLED`` rated documents (chosen by a hash of their id); every document
-is scored, in full, without a shuffle. Sentences over ``WINDOW`` words are scored in overlapping windows.
+is scored, in full, without a shuffle. Sentences over ``WINDOW`` words are scored in overlapping windows, pieces under
+``SHORT`` words together with what follows.
 
 Defined results: null texts score null, blank ones 0; a document rated both ways equally often, or null only, is not used;
 without ratings of both kinds every score is 0; repeated rows are scored each; an empty table gives an empty result. Other
@@ -29,7 +30,11 @@ from pyspark.sql import functions as F
 
 #: Rated documents used for fitting, and sentences of documents rated clean among them (chosen by hash).
 MAX_LABELLED, MAX_CLEAN = 12_000, 60_000
-BITS, DIM, WINDOW = 18, 8, 24
+BITS, DIM, WINDOW, SHORT = 18, 8, 20, 4
+#: Empty features in each sentence, so that a word or two alone decide nothing.
+PAD = 20
+#: Steps of a round, at least; weight of abusive documents' sentences in the first round.
+STEPS, FIRST = 90, 0.25
 _INVISIBLE = re.compile(r"[­​-‏⁠-⁤﻿]")
 _SPACED = re.compile(r"(?<![^\s\"'“”(*])(?:[^\W_] ){2,}[^\W_](?![^\s\"'“”).,;:!?*])")
 _SENTENCE = re.compile(r"[.!?…]+[\"'”’»)]*\s+|[\r\n]+")
@@ -71,16 +76,18 @@ def sentences(text: str) -> list[list[str]]:
     text = _INVISIBLE.sub("", text).casefold()
     if _SPACED.search(text):
         text = _SPACED.sub(lambda m: m[0].replace(" ", ""), text)
-    out = []
+    out, short = [], []
     for s in _SENTENCE.split(text):
-        w = s.split()
-        if not w:
+        w = short + s.split()
+        if len(w) < SHORT:  # goes with what follows
+            short = w
             continue
-        if len(w) <= WINDOW + WINDOW // 4:
+        short = []
+        if len(w) <= WINDOW:
             out.append(w)
         else:
             out += [w[i : i + WINDOW] for i in range(0, len(w) - WINDOW // 2, WINDOW // 2)]
-    return out
+    return [*out, short] if short else out
 
 
 def buckets(word: str) -> np.ndarray:
@@ -150,7 +157,7 @@ class Model:
         pairs[ends_ - 1] = 0.0
         total = total + np.add.reduceat(pairs, starts)
         count = count + (ends_ - starts - 1)
-        return np.array(doc), total / count + self.bias
+        return np.array(doc), total / (count + PAD) + self.bias
 
 
 def _features(docs: list[list[list[str]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,13 +194,15 @@ def fit(texts: list[str], rated: np.ndarray, rounds: int = 3, epochs: int = 3, b
     if not len(doc):
         return None
     starts = np.concatenate([[0], ends[:-1]])
-    sizes = (ends - starts).astype(np.float32)
+    sizes = (ends - starts + PAD).astype(np.float32)
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     g_emb, g_out = np.full(1 << BITS, 1e-6, np.float32), np.full((DIM, 2), 1e-6, np.float32)
     y = rated[doc].astype(np.int64)
-    weight = np.ones(len(doc), np.float32)
+    # most sentences of an abusive document are clean
+    weight = np.where(y == 1, FIRST, 1.0).astype(np.float32)
+    epochs = max(epochs, -(-STEPS * batch // len(doc)))
     for turn in range(rounds):
         for _ in range(epochs):
             order = rng.permutation(len(doc))
@@ -202,11 +211,11 @@ def fit(texts: list[str], rated: np.ndarray, rounds: int = 3, epochs: int = 3, b
                 rows = rows[weight[rows] > 0]
                 if not len(rows):
                     continue
-                n = sizes[rows].astype(np.int64)
+                n = ends[rows] - starts[rows]
                 cum = np.cumsum(n)
                 first = cum - n
                 index = flat[np.repeat(starts[rows] - first, n) + np.arange(cum[-1])]
-                mean = np.add.reduceat(emb[index], first, axis=0) / n[:, None]
+                mean = np.add.reduceat(emb[index], first, axis=0) / sizes[rows][:, None]
                 z = mean @ out + bias
                 z -= z.max(1, keepdims=True)
                 p = np.exp(z)
@@ -220,7 +229,7 @@ def fit(texts: list[str], rated: np.ndarray, rounds: int = 3, epochs: int = 3, b
                 out -= rate * d_out / np.sqrt(g_out)
                 bias -= rate * 0.2 * g.sum(0)
                 used, where = np.unique(index, return_inverse=True)
-                per = np.repeat(g_mean / n[:, None], n, axis=0)
+                per = np.repeat(g_mean / sizes[rows][:, None], n, axis=0)
                 d = np.empty((len(used), DIM), np.float32)
                 for k in range(DIM):
                     d[:, k] = np.bincount(where, per[:, k], len(used))
