@@ -102,16 +102,11 @@ def repetitive(c: Column, run: int = 8, least_unique: float = 0.35) -> Column:
 
 
 def collapse_prefix(c: Column, least: int = 5, most: int = 24) -> Column:
-    """Drop the second copy of a text's beginning, of the longest length from ``most`` to ``least`` words, without letter case."""
-    words = F.split(c, WS + "+", -1)
-    words = F.filter(words, lambda w: w != "")
-    low = F.transform(words, F.lower)
-    spans = F.filter(
-        F.sequence(F.least(F.lit(most), (F.size(words) / 2).cast("int")), F.lit(least), F.lit(-1)),
-        lambda k: F.slice(low, 1, k) == F.slice(low, k + 1, k),
-    )
-    cut = lambda s: F.array_join(F.concat(F.slice(words, 1, s), F.slice(words, s * 2 + 1, F.size(words))), " ")
-    return F.when((F.size(words) >= 2 * least) & (F.size(spans) > 0), cut(F.get(spans, F.lit(0)))).otherwise(c)
+    """Drop the second copy of a text's beginning, of the longest length from ``most`` to ``least`` words, without letter case.
+    A back-reference finds it in one pass; the greedy count tries the longest beginning first."""
+    flat = normalize_whitespace(c)
+    twice = rf"(?iu)^((?:[^ ]+ ){{{least - 1},{most - 1}}}[^ ]+) \1(?= |$)"
+    return F.when(flat.rlike(twice), F.regexp_replace(flat, twice, "$1")).otherwise(c)
 
 
 def strip_score(c: Column) -> Column:

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import corpus
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {**corpus.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**corpus.SQL}
