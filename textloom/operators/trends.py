@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def seconds(ts: Column) -> Column:
-    return F.unix_micros(ts) / 1e6
+    return F.unix_micros(ts.cast("timestamp")) / 1e6
 
 
 def rates(df: DataFrame, by: list[str], ts: str, value: str, strictly: bool = False) -> DataFrame:

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import corpus
+from . import corpus, records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {**corpus.QUERIES}
+    return {**corpus.QUERIES, **records.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**corpus.SQL}
+    return {**corpus.SQL, **records.SQL}
