@@ -211,13 +211,13 @@ class Judge:
 def ratios(text: Column) -> dict[str, Column]:
     """Counts and the ratios limited in cleaning profiles: letters, decimal digits, and ASCII punctuation but ' and -."""
     n = F.length(text)
-    part = lambda c: F.when(n > 0, F.round(c / n, 6)).otherwise(F.lit(0.0))
+    part = lambda c: F.when(n > 0, F.round(c / n, 6)).when(text.isNotNull(), F.lit(0.0))
     words = F.regexp_count(text, F.lit(r"[^\s]+"))
     letters = F.length(F.regexp_replace(text, r"\s+", ""))
     return {
         "n_chars": n.cast("long"),
         "n_words": words.cast("long"),
-        "mean_word": F.when(words > 0, F.round(letters / words, 6)).otherwise(F.lit(0.0)),
+        "mean_word": F.when(words > 0, F.round(letters / words, 6)).when(text.isNotNull(), F.lit(0.0)),
         "alpha_ratio": part(F.length(F.regexp_replace(text, r"\P{L}+", ""))),
         "digit_ratio": part(F.length(F.regexp_replace(text, r"\P{Nd}+", ""))),
         "symbol_ratio": part(n - F.length(F.translate(text, "!\"#$%&()*+,./:;<=>?@[\\]^_`{|}~", ""))),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import abuse, canon, leaks, overlap, packing, prose, sitelines
+from . import abuse, canon, leaks, oracle, overlap, packing, prose, sitelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,4 +137,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
