@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact
 from ..functions import text as T
+from ..runtime import materialize
 
 #: In the order in which they are tried; a line is charged to the first that holds.
 REASONS = (
@@ -144,7 +145,8 @@ def deduplicated(checked: DataFrame, limits: CleanLimits = CleanLimits()) -> Dat
     if limits.dedupe_normalized:  # shorter lines are compared as they are
         long_enough = F.length(line) >= limits.normalized_min_chars
         key = F.coalesce(exact.dedupe_key(F.when(F.col("reason").isNull() & long_enough, line)), line)
-    keyed = checked.withColumn("_k", F.when(F.col("reason").isNull(), F.sha2(key, 256)))
+    # read twice, the first time without the lines
+    keyed = materialize(checked.withColumn("_k", F.when(F.col("reason").isNull(), F.sha2(key, 256))), "keyed")
     at = F.struct("file", "row", "pos")
     per_file = keyed.where("_k is not null").groupBy("_k", "file").agg(F.min(at).alias("_first"))
     first = per_file

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exact
 from ..functions import text as T
 from ..operators import clean, profile, risk
-from ..runtime import table
+from ..runtime import table, texts
 from ..sources import files, lines
 
 LIMITS = profile.QualityLimits(min_occurrences=20, min_files=5, min_chars=30, max_chars=240)
@@ -17,7 +17,7 @@ ENGLISH = clean.CleanLimits(min_chars=20, min_words=3, english_only=True, dedupe
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
-    return lines.of_table(table(spark, d, "fineweb_rows"), "file_name", "row_id", "text")
+    return lines.of_table(texts(spark, d, "fineweb_rows"), "file_name", "row_id", "text")
 
 
 def quality_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -39,7 +39,7 @@ def boilerplate_candidates(spark: SparkSession, d: str) -> DataFrame:
 def text_statistics(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
     r = lambda c: F.round(c, 9)
-    return table(spark, d, "documents").where(t.isNotNull()).select(
+    return texts(spark, d, "documents").where(t.isNotNull()).select(
         "doc_id",
         r(T.alpha_ratio(t)).alias("alpha"),
         r(T.digit_ratio(t)).alias("digit"),
@@ -52,7 +52,7 @@ def text_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def repetitive_rows(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "fineweb_rows").where(T.repetitive(F.col("text"))).select("row_id")
+    return texts(spark, d, "fineweb_rows").where(T.repetitive(F.col("text"))).select("row_id")
 
 
 def char_statistics(spark: SparkSession, d: str) -> DataFrame:
@@ -83,15 +83,15 @@ def clean_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def risk_summary(spark: SparkSession, d: str) -> DataFrame:
-    return risk.summary(lines.of_table(table(spark, d, "documents"), "source", "doc_id", "text"))
+    return risk.summary(lines.of_table(texts(spark, d, "documents"), "source", "doc_id", "text"))
 
 
 def risk_terms(spark: SparkSession, d: str) -> DataFrame:
-    return risk.term_hits(lines.of_table(table(spark, d, "documents"), "source", "doc_id", "text"), risk.TOXIC)
+    return risk.term_hits(lines.of_table(texts(spark, d, "documents"), "source", "doc_id", "text"), risk.TOXIC)
 
 
 def risk_phrases(spark: SparkSession, d: str) -> DataFrame:
-    return risk.phrase_hits(lines.of_table(table(spark, d, "documents"), "source", "doc_id", "text"), (*risk.REFUSALS, "hate speech", "people are"))
+    return risk.phrase_hits(lines.of_table(texts(spark, d, "documents"), "source", "doc_id", "text"), (*risk.REFUSALS, "hate speech", "people are"))
 
 
 def parquet_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -104,24 +104,24 @@ def conversion_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def english_documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where(T.looks_english(F.col("text"))).select("doc_id")
+    return texts(spark, d, "documents").where(T.looks_english(F.col("text"))).select("doc_id")
 
 
 def code_like_rows(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "fineweb_rows").where(T.code_like(F.col("text"))).select("row_id")
+    return texts(spark, d, "fineweb_rows").where(T.code_like(F.col("text"))).select("row_id")
 
 
 def contaminated_rows(spark: SparkSession, d: str) -> DataFrame:
     """Texts with a built-in pattern or one of the user's."""
     patterns = (*T.CONTAMINATION, r"\bprinted \w+ and has been shortened\b", " ")
-    return table(spark, d, "fineweb_rows").where(T.contaminated(F.col("text"), patterns)).select("row_id")
+    return texts(spark, d, "fineweb_rows").where(T.contaminated(F.col("text"), patterns)).select("row_id")
 
 
 def collapsed_titles(spark: SparkSession, d: str) -> DataFrame:
     """Each text put twice before itself by its first eight words, collapsed again."""
     flat = T.normalize_whitespace(F.col("text"))
     start = F.regexp_extract(flat, "^(?:[^ ]+ ){7}[^ ]+", 0)
-    t = table(spark, d, "documents").select("doc_id", "text", start.alias("start")).where("start <> ''")
+    t = texts(spark, d, "documents").select("doc_id", "text", start.alias("start")).where("start <> ''")
     return t.select("doc_id", T.collapse_prefix(F.concat(F.upper("start"), F.lit(" "), "text")).alias("text"))
 
 
@@ -144,7 +144,7 @@ def stop_cut(spark: SparkSession, d: str) -> DataFrame:
 
 
 def longest_runs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where("text is not null").select("doc_id", T.longest_char_run(F.col("text")).cast("long").alias("run"))
+    return texts(spark, d, "documents").where("text is not null").select("doc_id", T.longest_char_run(F.col("text")).cast("long").alias("run"))
 
 
 _L = r"""

@@ -30,6 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Over all cores, if the scan gives fewer tasks than half of them (one small file); larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows cost far more to work on than to move."""
+    return spread(table(spark, sf_dir, name))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``; a private one only where the setting is absent (tests)."""
     name = spark.conf.get("spark.checkpoint.dir", None)
