@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import table
+from ..runtime import table, texts
 from . import abuse, canon, leaks, oracle, overlap, packing, prose, sitelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:
     """Statistics of the texts without the lines that are excessive in their source."""
-    limits, rows = sitelines.Limits.active(table(spark, d, "clean_profiles")), table(spark, d, "fineweb_rows")
+    limits, rows = sitelines.Limits.active(table(spark, d, "clean_profiles")), texts(spark, d, "fineweb_rows")
     state = sitelines.LineCounts(limits)
     state.merge(sitelines.line_keys(rows, "row_id", "text", "source", "file_name"))
     return prose.judged(sitelines.cleaned(rows, state.crossed))
@@ -34,27 +34,27 @@ def p3_ratios(spark: SparkSession, d: str) -> DataFrame:
     """Counts and ratios of every row's whole text, and whether they keep the active profile's limits."""
     # one row: the first active profile by name
     limits = table(spark, d, "clean_profiles").where("active").orderBy("profile").limit(1).select("min_alpha_ratio", "max_symbol_ratio", "max_digit_ratio")
-    rows = table(spark, d, "fineweb_rows").select("row_id", *(c.alias(k) for k, c in prose.ratios(F.col("text")).items()))
+    rows = texts(spark, d, "fineweb_rows").select("row_id", *(c.alias(k) for k, c in prose.ratios(F.col("text")).items()))
     keeps = (F.col("alpha_ratio") >= F.col("min_alpha_ratio")) & (F.col("symbol_ratio") <= F.col("max_symbol_ratio")) & (F.col("digit_ratio") <= F.col("max_digit_ratio"))
     return rows.join(F.broadcast(limits), how="left").select(*rows.columns, keeps.alias("keeps_limits"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return canon.repeats(table(spark, d, "fineweb_rows"))
+    return canon.repeats(texts(spark, d, "fineweb_rows"))
 
 
 def p4_copies(spark: SparkSession, d: str) -> DataFrame:
-    return canon.copies(table(spark, d, "fineweb_rows"))
+    return canon.copies(texts(spark, d, "fineweb_rows"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    pairs = overlap.pairs(*overlap.cross_split(table(spark, d, "shard_rows")))
+    pairs = overlap.pairs(*overlap.cross_split(texts(spark, d, "shard_rows")))
     return pairs.select(F.least("train_id", "val_id").alias("sample_id_a"), F.greatest("train_id", "val_id").alias("sample_id_b"))
 
 
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
     """Overlapping records and pairs per split and source, with the mean of their largest overlap fractions."""
-    rows = table(spark, d, "shard_rows")
+    rows = texts(spark, d, "shard_rows")
     links, members = overlap.cross_split(rows)
     pairs = overlap.pairs(links, members)
     t = pairs.groupBy(F.col("train_id").alias("sample_id")).agg(F.count(F.lit(1)).alias("n"), F.max("shared_t").alias("shared"))
@@ -74,18 +74,18 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     limits = sitelines.Limits.active(table(spark, d, "clean_profiles"))
-    lines, _ = sitelines.excessive(table(spark, d, "fineweb_rows"), limits)
+    lines, _ = sitelines.excessive(texts(spark, d, "fineweb_rows"), limits)
     return lines.select(F.col("row").alias("row_id"), "line_no")
 
 
 def p2_clean(spark: SparkSession, d: str) -> DataFrame:
-    limits, rows = sitelines.Limits.active(table(spark, d, "clean_profiles")), table(spark, d, "fineweb_rows")
+    limits, rows = sitelines.Limits.active(table(spark, d, "clean_profiles")), texts(spark, d, "fineweb_rows")
     _, state = sitelines.excessive(rows, limits)
     return sitelines.cleaned(rows, state.crossed).withColumnRenamed("row", "row_id")
 
 
 def p5_pack(spark: SparkSession, d: str) -> DataFrame:
-    return packing.packed(table(spark, d, "documents"), packing.context_lengths(table(spark, d, "train_runs")))
+    return packing.packed(texts(spark, d, "documents"), packing.context_lengths(table(spark, d, "train_runs")))
 
 
 def p5_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -97,14 +97,14 @@ def p5_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    found = leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_cases"))
+    found = leaks.leaks(texts(spark, d, "documents"), table(spark, d, "eval_cases"))
     return found.where("2 * covered >= n_words").select("doc_id", "item_id")
 
 
 def p6_items(spark: SparkSession, d: str) -> DataFrame:
     """Per item: documents that hold at least a run of it, half of it, and the largest covered share."""
     items = table(spark, d, "eval_cases")
-    found = leaks.leaks(table(spark, d, "documents"), items)
+    found = leaks.leaks(texts(spark, d, "documents"), items)
     share = F.col("covered") / F.col("n_words")
     per = found.groupBy("item_id").agg(
         F.count(F.lit(1)).alias("n_partly"), F.count(F.when(share >= 0.5, 1)).alias("n_leaked"), F.round(F.max(share), 4).alias("largest_share")
@@ -113,7 +113,7 @@ def p6_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
-    documents = table(spark, d, "documents")
+    documents = texts(spark, d, "documents")
     return abuse.scored(documents, abuse.train(documents, table(spark, d, "abuse_labels")))
 
 
