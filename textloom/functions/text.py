@@ -14,7 +14,10 @@ WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{20
 SYMBOLS = "!\"#$%&()*+,./:;<=>?@[\\]^_`{|}~"
 CODE_SYMBOLS = "{}[]<>_=*/\\|`~$;"
 #: Digits to Python's isdigit: decimal ones and the superscript, subscript and circled kinds.
-DIGITS = r"\p{Nd}\x{b2}\x{b3}\x{b9}\x{1369}-\x{1371}\x{19da}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}\x{2460}-\x{2468}\x{2474}-\x{247c}\x{2488}-\x{2490}"
+DIGITS = (
+    r"\p{Nd}\x{b2}-\x{b3}\x{b9}\x{1369}-\x{1371}\x{19da}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}\x{2460}-\x{2468}\x{2474}-\x{247c}\x{2488}-\x{2490}\x{24ea}\x{24f5}-"
+    r"\x{24fd}\x{24ff}\x{2776}-\x{277e}\x{2780}-\x{2788}\x{278a}-\x{2792}\x{10a40}-\x{10a43}\x{10e60}-\x{10e68}\x{11052}-\x{1105a}\x{1f100}-\x{1f10a}"
+)
 
 # Fixed values, equal to those that define the results: patterns and word lists.
 TAG = r"</?[A-Za-z][^>\n]{0,200}>"
