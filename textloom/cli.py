@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .operators import clean, manifests, profile, risk, tokens
-from .runtime import get_session, materialize
+from .runtime import get_session, local_path, materialize
 from .sources import files, lines, sinks
 
 
@@ -173,7 +173,7 @@ def manifest_dedupe(spark: SparkSession, a: argparse.Namespace) -> None:
     c = manifests.coverage(kept).first()
     gone = k.where("duplicate_of is not null").collect()
     for r in gone if not a.dry_run else []:
-        path = r["manifest"].removeprefix("file://")
+        path = local_path(r["manifest"])
         os.replace(path, path + a.suffix)
     _say(manifest_total=k.count(), manifest_kept=c["manifest_count"], manifest_overlap=len(gone), unique_input_files=c["unique_input_files"], partial_overlap_manifests=c["overlap_manifests"])
 

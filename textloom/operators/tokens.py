@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..runtime import local_path, materialize
 
 SPECIALS = ("<unk>", "<bos>", "<eos>")
 
@@ -127,7 +127,7 @@ def write_shards(pieces: DataFrame, folder: str, dtype: str, by: str = "split")
     import numpy as np
 
     kind = {"uint16": "<u2", "uint32": "<u4"}[dtype]
-    local = folder.removeprefix("file://")
+    local = local_path(folder)
 
     def write(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         import os

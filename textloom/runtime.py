@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -51,6 +52,11 @@ def shared_dir(spark: SparkSession) -> str:
     return name.rstrip("/")
 
 
+def local_path(path: str) -> str:
+    """The path of a ``file:`` address in any of its spellings; other paths as they are."""
+    return re.sub("^file:/*", "/", path)
+
+
 def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """Write ``df`` once as a compressed table in the shared folder and read it back.
 

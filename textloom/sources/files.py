@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact
 from ..functions.text import normalize_whitespace
+from ..runtime import local_path
 
 MANIFEST = (
     "input_path string, input_files array<string>, tokenizer_path string, tokenizer_hash string, tokenizer_contract_hash string, "
@@ -62,7 +63,7 @@ def parquet_probe(spark: SparkSession, paths: list[str], field: str) -> DataFram
             out = []
             for p in b["path"]:
                 try:
-                    with pq.ParquetFile(p.removeprefix("file://")) as f:
+                    with pq.ParquetFile(local_path(p)) as f:
                         m = f.metadata
                         out.append(
                             "no_row_groups" if not m.num_row_groups else "no_rows" if not m.num_rows else None if field in f.schema_arrow.names else f"missing_field:{field}"

@@ -10,6 +10,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
+from ..runtime import local_path
+
 
 def _plain(x: Any) -> Any:
     if isinstance(x, float) and math.isnan(x):
@@ -51,4 +53,4 @@ def write_trend_page(trend: DataFrame, columns: list[str], page: str, summary: s
 def write_text(df: DataFrame, folder: str, text: str, meta: dict, append: bool = False) -> None:
     """Text lines with a ``.meta.json`` beside them; an existing folder is refused unless ``append``."""
     df.select(df[text].alias("value")).write.mode("append" if append else "errorifexists").text(folder)
-    write_json(meta, folder.removeprefix("file://").rstrip("/") + ".meta.json")
+    write_json(meta, local_path(folder).rstrip("/") + ".meta.json")
