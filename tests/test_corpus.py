@@ -27,8 +27,8 @@ def test_quality(spark):
     assert (s["files_seen"], s["lines_seen"], s["lines_nonempty"], s["lines_unique"], s["lines_duplicate"]) == (2, 6, 5, 3, 2)
     limits = profile.QualityLimits(top_k=1, min_occurrences=3, min_files=2, min_chars=10, max_chars=200)
     freq = profile.frequencies(df)
-    assert [tuple(r) for r in profile.boilerplate(freq, limits).collect()] == [(line, 3, 2)]
-    assert [r["line"] for r in profile.top_repeated(freq, limits).collect()] == [line]
+    assert [tuple(r) for r in profile.boilerplate(df, freq, limits).collect()] == [(line, 3, 2)]
+    assert [r["line"] for r in profile.top_repeated(df, freq, limits).collect()] == [line]
     per = {r["file"]: r["avg_chars"] for r in profile.per_file(df).collect()}
     assert per["a"] == round((2 * len(line) + 3) / 3, 2)
     with pytest.raises(ValueError):
@@ -40,7 +40,8 @@ def test_quality(spark):
 def test_ties_by_first_place(spark):
     df = corpus(spark, {"b": ["two", "one", "two", "one"], "a": ["one", "two"]})
     freq = profile.frequencies(df)
-    assert [r["line"] for r in profile.top_repeated(freq).collect()] == ["one", "two"]
+    one = profile.QualityLimits(top_k=1)
+    assert [r["line"] for r in profile.top_repeated(df, freq, one).collect()] == ["one"]
 
 
 @pytest.mark.parametrize(

@@ -49,8 +49,8 @@ def quality(spark: SparkSession, a: argparse.Namespace) -> None:
     report = {
         "summary": sinks.rows(profile.summary(ls))[0] | {"files_seen": len(names), "truncated": truncated},
         "files": sinks.rows(profile.per_file(ls).orderBy("file")),
-        "top_repeated_lines": sinks.rows(profile.top_repeated(freq, limits)),
-        "boilerplate_candidates": sinks.rows(profile.boilerplate(freq, limits).orderBy(F.desc("n"), "line")),
+        "top_repeated_lines": sinks.rows(profile.top_repeated(ls, freq, limits).orderBy(F.desc("n"))),
+        "boilerplate_candidates": sinks.rows(profile.boilerplate(ls, freq, limits).orderBy(F.desc("n"), "line")),
     }
     sinks.write_json(report, a.output)
     _say(**report["summary"], report=a.output)

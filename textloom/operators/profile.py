@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..runtime import materialize, small
 
 
 @dataclass(frozen=True)
@@ -23,38 +24,38 @@ class QualityLimits:
             raise ValueError("limits must not be negative, top_k positive, max_chars at least min_chars")
 
 
-def _line() -> DataFrame:
+def _line() -> Column:
     return T.normalize_whitespace(F.col("raw"))
 
 
-def summary(lines: DataFrame) -> DataFrame:
-    """One row: files, lines, distinct and repeated ones, characters and their kinds as shares of all characters.
+def _key(line: Column) -> Column:
+    """128 bits of a line; lines are counted by them, so that no text is shuffled."""
+    return F.struct(F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(7), line).alias("k2"))
+
 
-    Distinct lines are counted by partial aggregation over (line) first, so no task sees all lines of the corpus.
-    """
+def summary(lines: DataFrame) -> DataFrame:
+    """One row: files, lines, distinct and repeated ones, characters and their kinds as shares of all characters."""
     l = F.col("line")  # noqa: E741
-    per_line = lines.select("file", _line().alias("line")).groupBy("file", "line").agg(F.count(F.lit(1)).alias("n"))
-    once = per_line.groupBy("line").agg(F.sum("n").alias("n"))
-    n = F.when(l != "", F.col("n"))
-    counts = once.agg(
-        F.sum("n").alias("lines_seen"),
-        F.coalesce(F.sum(n), F.lit(0)).alias("lines_nonempty"),
-        F.count(n).alias("lines_unique"),
-        F.sum(F.length(l) * F.col("n")).alias("chars_total"),
-        F.sum(T.letters(l) * F.col("n")).alias("alpha"),
-        F.sum(T.digits(l) * F.col("n")).alias("digit"),
-        F.sum(T.ascii_chars(l) * F.col("n")).alias("ascii"),
+    n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    counts = lines.select(_line().alias("line")).agg(
+        F.count(F.lit(1)).alias("lines_seen"),
+        n(l != "").alias("lines_nonempty"),
+        F.count_distinct(F.when(l != "", _key(l))).alias("lines_unique"),
+        n(F.length(l)).alias("chars_total"),
+        n(T.letters(l)).alias("alpha"),
+        n(T.digits(l)).alias("digit"),
+        n(T.ascii_chars(l)).alias("ascii"),
     )
-    files = lines.agg(F.countDistinct("file").alias("files_seen"))
+    files = lines.agg(F.count_distinct("file").alias("files_seen"))
     share = lambda c: F.when(F.col("chars_total") > 0, F.round(F.col(c) / F.col("chars_total"), 5)).otherwise(F.lit(0.0)).alias(f"{c}_ratio")
     # two results of one row each
     return files.crossJoin(F.broadcast(counts)).select(
         "files_seen",
-        F.coalesce("lines_seen", F.lit(0)).alias("lines_seen"),
+        "lines_seen",
         "lines_nonempty",
         "lines_unique",
         (F.col("lines_nonempty") - F.col("lines_unique")).alias("lines_duplicate"),
-        F.coalesce("chars_total", F.lit(0)).alias("chars_total"),
+        "chars_total",
         share("alpha"),
         share("digit"),
         share("ascii"),
@@ -73,22 +74,28 @@ def per_file(lines: DataFrame) -> DataFrame:
 
 
 def frequencies(lines: DataFrame) -> DataFrame:
-    """``line, n, files, first``: every non-empty line, its occurrences, files, and first place (ties are broken by it)."""
-    per = (
-        lines.select("file", "row", "pos", _line().alias("line"))
-        .where("line <> ''")
-        .groupBy("line", "file")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("file", "row", "pos")).alias("first"))
-    )
-    return per.groupBy("line").agg(F.sum("n").alias("n"), F.count("file").alias("files"), F.min("first").alias("first"))
+    """``k1, k2, length, n, files, first``: every non-empty line by its 128 bits, its characters, occurrences, files, and first
+    place (ties are broken by it)."""
+    l = F.col("line")  # noqa: E741
+    keyed = lines.select("file", "row", "pos", _line().alias("line")).where("line <> ''").select("file", "row", "pos", _key(l)["k1"].alias("k1"), _key(l)["k2"].alias("k2"), F.length(l).alias("length"))
+    per = keyed.groupBy("k1", "k2", "length", "file").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("file", "row", "pos")).alias("first"))
+    return per.groupBy("k1", "k2", "length").agg(F.sum("n").alias("n"), F.count("file").alias("files"), F.min("first").alias("first"))
+
 
+def _with_text(lines: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The chosen lines' texts, read again at their first places."""
+    places = small(materialize(chosen.select("n", "files", "first.file", "first.row", "first.pos"), "places"))
+    return lines.join(places, ["file", "row", "pos"]).select(_line().alias("line"), "n", "files")
 
-def top_repeated(freq: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
-    """The ``top_k`` lines that occur more than once, most frequent first, earliest first among equals."""
-    return freq.where("n > 1").orderBy(F.desc("n"), "first").limit(limits.top_k).select("line", "n", "files")
 
+def top_repeated(lines: DataFrame, freq: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
+    """``line, n, files`` of the ``top_k`` lines that occur more than once, most frequent first, earliest first among equals."""
+    return _with_text(lines, freq.where("n > 1").orderBy(F.desc("n"), "first").limit(limits.top_k))
 
-def boilerplate(freq: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
-    return freq.where(
-        (F.col("n") >= limits.min_occurrences) & (F.col("files") >= limits.min_files) & F.length("line").between(limits.min_chars, limits.max_chars)
-    ).select("line", "n", "files")
+
+def boilerplate(lines: DataFrame, freq: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
+    """``line, n, files`` of the lines within all limits."""
+    return _with_text(
+        lines,
+        freq.where((F.col("n") >= limits.min_occurrences) & (F.col("files") >= limits.min_files) & F.col("length").between(limits.min_chars, limits.max_chars)),
+    )

@@ -29,11 +29,13 @@ def per_file_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def line_freq_topk(spark: SparkSession, d: str) -> DataFrame:
-    return profile.top_repeated(profile.frequencies(_lines(spark, d)), LIMITS)
+    ls = _lines(spark, d)
+    return profile.top_repeated(ls, profile.frequencies(ls), LIMITS)
 
 
 def boilerplate_candidates(spark: SparkSession, d: str) -> DataFrame:
-    return profile.boilerplate(profile.frequencies(_lines(spark, d)), LIMITS)
+    ls = _lines(spark, d)
+    return profile.boilerplate(ls, profile.frequencies(ls), LIMITS)
 
 
 def text_statistics(spark: SparkSession, d: str) -> DataFrame:
@@ -66,7 +68,7 @@ def char_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 def _reasons(spark: SparkSession, d: str, limits: clean.CleanLimits, known: bool) -> DataFrame:
     ls = _lines(spark, d)
-    b = profile.boilerplate(profile.frequencies(ls), LIMITS) if known else None
+    b = profile.boilerplate(ls, profile.frequencies(ls), LIMITS) if known else None
     return clean.clean(ls, limits, b)
 
 
