@@ -213,3 +213,39 @@ def test_paged_rows(spark):
     assert paged.with_retries(flaky, 5, 0.5, waits.append) == {"rows": []} and waits == [0.5, 1.0]
     with pytest.raises(paged.PageError):
         paged.with_retries(lambda: (_ for _ in ()).throw(paged.PageError(404)), sleep=waits.append)
+
+
+def test_sampled_windows(spark):
+    rows = [(list(range(i, i + n)),) for i, n in ((0, 40), (1000, 9), (2000, 8), (3000, 300))]
+    df = spark.createDataFrame(rows, "ids array<int>").repartition(3)
+    got = tokens.sampled_windows(df, "ids", 8, 600, 3).collect()
+    assert sorted(r["draw"] for r in got) == list(range(600))
+    assert all(len(r["x"]) == 8 and r["y"] == [t + 1 for t in r["x"]] for r in got)
+    part = lambda low: sum(r["x"][0] >= low and r["x"][0] < low + 1000 for r in got) / 600
+    assert abs(part(3000) - 292 / 325) < 0.06 and part(1000) > 0 or part(1000) < 0.02
+    assert sum(r["x"][0] // 1000 == 2 for r in got) == 0
+    again = tokens.sampled_windows(df.coalesce(1), "ids", 8, 600, 3).collect()
+    assert {r["draw"]: r["x"] for r in got} == {r["draw"]: r["x"] for r in again}
+    with pytest.raises(ValueError, match="longer"):
+        tokens.sampled_windows(df, "ids", 999, 5)
+
+
+def test_hot_state_lists_bytes_and_numbers(spark, tmp_path):
+    from textloom.functions import text as T
+    from textloom.sources import lines
+
+    listing = [("a", "x.bin", False, True), ("b", "x.bin", True, True), ("b", "y", False, True), ("c", "x.bin", True, False)]
+    assert tuple(manifests.hot_state(spark.createDataFrame(listing, "manifest string, path string, is_link boolean, is_active boolean")).first()) == (2, 1, 1)
+    (tmp_path / "x").write_text("")
+    (tmp_path / "l").write_text("# no\n\nx\n")
+    assert lines.listed_files(str(tmp_path / "l"), str(tmp_path)) == [str(tmp_path / "x")]
+    for bad in ("y\n", "#\n"):
+        (tmp_path / "l").write_text(bad)
+        with pytest.raises(FileNotFoundError):
+            lines.listed_files(str(tmp_path / "l"), str(tmp_path))
+    raw = spark.createDataFrame([(b"a\xff\xc3\xa9",)], "b binary")
+    assert raw.select(T.decoded(F.col("b")).alias("t")).first()["t"] == "aé"
+    num = spark.createDataFrame([("1.5",)], "s string")
+    assert num.select(T.required_number(F.col("s"), "x").alias("x")).first()["x"] == 1.5
+    with pytest.raises(Exception, match="x must be a bigint"):
+        num.select(T.required_number(F.lit("q"), "x", "bigint")).collect()

@@ -192,6 +192,18 @@ def checkpoint_step(name: Column) -> Column:
     return F.when(~name.contains("_ema"), F.nullif(F.regexp_extract(name, r"ckpt_step_(\d+)", 1), F.lit("")).try_cast("long"))
 
 
+def decoded(content: Column) -> Column:
+    """Bytes as text, without those that are no UTF-8."""
+    raw = content.cast("string")
+    return F.when(F.is_valid_utf8(raw), raw).otherwise(F.regexp_replace(F.make_valid_utf8(raw), r"\x{fffd}+", ""))
+
+
+def required_number(c: Column, name: str, kind: str = "double") -> Column:
+    """The number; an error that names the field where it is none."""
+    n = c.try_cast(kind)
+    return F.when(n.isNull(), F.raise_error(F.concat(F.lit(f"{name} must be a {kind}: "), F.coalesce(c.cast("string"), F.lit("null"))))).otherwise(n)
+
+
 def token_dtype(vocab: Column) -> Column:
     return F.when(vocab <= 65535, F.lit("uint16")).otherwise(F.lit("uint32"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import quarantine_base
+
 WIDTH = {"uint16": 2, "uint32": 4}
 
 
@@ -173,6 +175,20 @@ def newest(df: DataFrame, keep: int, by: list[str] | None = None, time: str = "m
     return df.withColumn("kept", F.row_number().over(w) <= keep)
 
 
+def quarantined(copies: DataFrame, bad: DataFrame, keep: int) -> DataFrame:
+    """Copies ``name, bytes, mtime`` with ``removed``: all of files that are no longer bad, and all but the newest ``keep`` of the others."""
+    named = copies.withColumn("base", quarantine_base(F.col("name"))).join(bad.select(F.col("name").alias("base"), F.lit(True).alias("_bad")).distinct(), "base", "left")
+    rank = F.row_number().over(Window.partitionBy("base").orderBy(F.desc("mtime"), "name"))
+    return named.withColumn("removed", F.col("_bad").isNull() | (rank > keep)).drop("_bad")
+
+
+def hot_state(listing: DataFrame) -> DataFrame:
+    """One row of a listing ``manifest, path, is_link, is_active``: active manifests, inactive ones, active ones with linked shards."""
+    per = listing.groupBy("manifest").agg(F.bool_and("is_active").alias("active"), F.max(F.col("is_link") & F.col("path").endswith(".bin")).alias("linked"))
+    n = lambda c: F.count(F.when(c, 1))
+    return per.agg(n(F.col("active")).alias("active"), n(~F.col("active")).alias("offloaded"), n(F.col("active") & F.col("linked")).alias("active_with_links"))
+
+
 def retained(steps: DataFrame, keep_last: int, keep_every: int, current: int) -> DataFrame:
     """Checkpoint steps to keep: the last ones, every so many steps, and the current one."""
     rank = F.row_number().over(Window.orderBy(F.desc("step")))  # checkpoints of one run: a bounded table

@@ -122,7 +122,7 @@ def sharded(df: DataFrame, order: list[str], ids: str, shard_size: int, by: str
 
 
 def write_shards(pieces: DataFrame, folder: str, dtype: str, by: str = "split") -> DataFrame:
-    """Write each shard as ``{split}_{shard:06d}.bin`` of little-endian numbers, through a temporary name; returns
+    """The folder is one that all executors see. Write each shard as ``{split}_{shard:06d}.bin`` of little-endian numbers, through a temporary name; returns
     ``by, shard, path, tokens``. A task writes one shard at a time, and writes it again in the same way if it is repeated."""
     import numpy as np
 
@@ -163,3 +163,21 @@ def batches(df: DataFrame, key: str, size: int, seed: int = 42, drop_last: bool
     if drop_last:
         placed = placed.where(F.col("batch") < df.count() // size)
     return placed
+
+
+def sampled_windows(df: DataFrame, ids: str, context: int, n: int, seed: int = 42) -> DataFrame:
+    """``n`` windows ``draw, x, y`` of random rows and places: a row is drawn in proportion to its windows, a place evenly. Draws fall on
+    the running sum of windows, which is built per partition, so only drawn rows are cut; equal seeds give equal windows."""
+    eligible = df.withColumn("_n", F.size(ids) - context).where("_n > 0").withColumn("_h", F.xxhash64(ids, F.lit(seed)))
+    placed = with_offsets(eligible, ["_h"], "_n", [], "_from")
+    total = placed.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    if not total:
+        raise ValueError("no row is longer than the context")
+    h = F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(total))
+    draws = df.sparkSession.range(n).select(F.col("id").alias("draw"), h.alias("at"))
+    # an equi-join by blocks of places instead of a range join; a row stands in each block it covers
+    block = max(1, total // max(1, placed.rdd.getNumPartitions() * 64))
+    rows = placed.select("_from", "_n", ids, F.explode(F.sequence(F.floor(F.col("_from") / block), F.floor((F.col("_from") + F.col("_n") - 1) / block))).alias("_b"))
+    hit = draws.withColumn("_b", F.floor(F.col("at") / block)).join(rows, "_b").where((F.col("at") >= F.col("_from")) & (F.col("at") < F.col("_from") + F.col("_n")))
+    start = (F.col("at") - F.col("_from") + 1).cast("int")
+    return hit.select("draw", F.slice(ids, start, context).alias("x"), F.slice(ids, start + 1, context).alias("y"))

@@ -256,6 +256,23 @@ def job_alerts(spark: SparkSession, d: str) -> DataFrame:
     return trends.alerts(status, 40.0)
 
 
+def quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Deliveries as quarantined copies of their files: of files with an early null text the newest two stay."""
+    r = table(spark, d, "fineweb_rows")
+    copies = r.select(F.concat(manifests.base_name(F.col("file_name")), F.lit(".bad_"), "row_id").alias("name"), F.length("text").alias("bytes"), F.col("ingested_at").alias("mtime"))
+    bad = r.where("text is null and row_no < 60").select(manifests.base_name(F.col("file_name")).alias("name"))
+    q = manifests.quarantined(copies, bad, 2)
+    return q.groupBy("base").agg(F.count(F.lit(1)).alias("before"), F.count(F.when(F.col("removed"), 1)).alias("removed"), F.sum(F.when(F.col("removed"), F.col("bytes"))).alias("bytes_removed"))
+
+
+def distinct_inputs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "manifests").select(F.explode("input_files").alias("x")).where("trim(x) <> ''").agg(F.countDistinct("x").alias("n"))
+
+
+def sampled_windows(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.sampled_windows(_ids(spark, d), "ids", 32, 1000)
+
+
 def capped_lines(spark: SparkSession, d: str) -> DataFrame:
     """The first 5000 lines, of at most 1500 a file; counted per file."""
     ls = lines.of_table(table(spark, d, "fineweb_rows"), "file_name", "row_id", "text")
@@ -372,6 +389,10 @@ SELECT user_id::VARCHAR AS file, arg_max((props->>'$.k')::DOUBLE, event_id) AS v
 SELECT event_type, mean, largest, n, CASE WHEN s IS NULL THEN 'unknown' ELSE floor(s / 3600)::BIGINT || 'h' || lpad((floor((s % 3600) / 60)::BIGINT)::VARCHAR, 2, '0') || 'm' END AS eta, round(n / 12345 * 10000.0, 4) AS per_10k FROM x""",
     "job_alerts": f"""WITH {_INPUTS}, o AS (SELECT a.manifest, count(*) AS f FROM inputs a JOIN inputs b ON a.name = b.name AND a.manifest <> b.manifest GROUP BY 1)
 SELECT manifest AS name, 'duplicate_inputs' AS alert FROM o WHERE f > 0 UNION ALL SELECT manifest, 'stalled' FROM o WHERE length(manifest) > 40 UNION ALL SELECT manifest, 'unmanaged_loops' FROM o WHERE f % 3 > 1""",
+    "quarantine": """WITH c AS (SELECT split_part(file_name, '/', -1) AS base, length(text) AS bytes, row_number() OVER (PARTITION BY file_name ORDER BY ingested_at DESC NULLS LAST, split_part(file_name, '/', -1) || '.bad_' || row_id) AS r
+FROM fineweb_rows), b AS (SELECT DISTINCT split_part(file_name, '/', -1) AS base, true AS bad FROM fineweb_rows WHERE text IS NULL AND row_no < 60)
+SELECT base, count(*) AS before, count(*) FILTER (bad IS NULL OR r > 2) AS removed, CAST(sum(bytes) FILTER (bad IS NULL OR r > 2) AS BIGINT) AS bytes_removed FROM c LEFT JOIN b USING (base) GROUP BY base""",
+    "distinct_inputs": "SELECT count(DISTINCT x) AS n FROM (SELECT unnest(input_files) AS x FROM manifests) WHERE trim(x) <> ''",
     "capped_lines": """WITH l AS (SELECT file_name AS file, row_id, unnest(range(len(l))) AS pos, unnest(l) AS raw FROM (SELECT file_name, row_id, string_split(text, chr(10)) AS l FROM fineweb_rows WHERE text IS NOT NULL)),
 c AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY file ORDER BY row_id, pos) <= 1500), g AS (SELECT * FROM c QUALIFY row_number() OVER (ORDER BY file, row_id, pos) <= 5000)
 SELECT file, count(*) AS n, CAST(sum(length(raw)) AS BIGINT) AS chars FROM g GROUP BY file""",
@@ -383,6 +404,7 @@ QUERIES = {
         manifest_coverage, manifest_keepers, manifest_overlaps, training_info, manifest_shards, shard_violations, shards_verified, job_guardrail, unprocessed_files,
         samples_of_stems, offload_candidates, newest_copies, staged_within_budget, copy_status, file_classes, hash_split, split_totals, shard_layout, token_windows,
         contiguous_split, hashed_batches, bpe_counts, chat_prompts, eval_cases_scored, eval_summary, promotion, running_best, perplexity_gate, lr_schedule,
-        checkpoints_kept, snapshot_rates, stall_ages, rolling_means, batches_paired, batch_throughput, latest_baselines, last_metrics, event_totals, job_alerts, capped_lines,
+        checkpoints_kept, snapshot_rates, stall_ages, rolling_means, batches_paired, batch_throughput, latest_baselines, last_metrics, event_totals, job_alerts, capped_lines, quarantine, distinct_inputs,
+        sampled_windows,
     )
 }

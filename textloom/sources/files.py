@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exact
-from ..functions.text import normalize_whitespace
+from ..functions.text import decoded, normalize_whitespace
 from ..runtime import local_path
 
 MANIFEST = (
@@ -31,7 +31,7 @@ def pages(
 ) -> DataFrame:
     """``path, text`` of pages: textual types only, visible text, at least ``min_chars`` long, then cut to ``max_chars``; the
     title (if given) stands before it on a line of its own; the first ``most`` by path (0: all)."""
-    body = F.col(html).cast("string")
+    body = decoded(F.col(html)) if dict(df.dtypes)[html] == "binary" else F.col(html)
     kept = df.where(F.col(html).isNotNull())
     if mimetype:
         kept = kept.where(F.lower(mimetype).rlike("^text/|html|xml"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import os
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,6 +34,18 @@ def list_files(
     return found[:limit] if limit else found
 
 
+def listed_files(path: str, root: str) -> list[str]:
+    """The files that a list names, one a line; blank lines and those with # are skipped, relative names lie under ``root``. Missing files
+    and empty lists are errors."""
+    with open(path, encoding="utf-8") as f:
+        names = [x for x in map(str.strip, f) if x and not x.startswith("#")]
+    found = [n if os.path.isabs(n) else os.path.join(root, n) for n in names]
+    missing = [n for n in found if not os.path.exists(n)]
+    if missing or not found:
+        raise FileNotFoundError(f"missing files: {missing[:5]}" if missing else f"no files in {path}")
+    return found
+
+
 def of_text_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Lines of text files at \\n, \\r and \\r\\n. ``row`` is the place of the file's block, ``pos`` the line's place in it, so large
     files stay splittable; within a split the reader keeps the order."""
