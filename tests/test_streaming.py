@@ -20,3 +20,16 @@ def test_file_batches_take_each_file_once(spark, tmp_path):
     df.limit(3).write.mode("append").parquet(source)
     jobs.file_batches(spark, source, df.schema, state, handle)
     assert sum(n for _, n in seen) == 15 and spark.read.parquet(out).count() == 15
+
+
+def test_written_tables_are_removed(spark):
+    from textloom import runtime
+
+    runtime.clear(spark)
+    df = runtime.materialize(spark.range(10).toDF("i"))
+    path = runtime.local_path(df.inputFiles()[0])
+    assert df.count() == 10 and runtime.clear(spark) == 1
+    import os
+
+    assert not os.path.exists(path)
+    assert runtime.spread(spark.range(5)).count() == 5 and runtime.local_path("file:///a/b") == runtime.local_path("file:/a/b") == "/a/b"

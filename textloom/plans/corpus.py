@@ -308,6 +308,12 @@ x AS (SELECT doc_id, upper(array_to_string(w[1:8], ' ')) || ' ' || text AS t FRO
 s AS (SELECT *, list_filter(regexp_split_to_array(t, '{T.WS}+'), lambda w: w <> '') AS v FROM x),
 k AS (SELECT *, list_filter(range(least(24, len(v) // 2), 4, -1), lambda k: list_transform(v[1:k], lambda x: lower(x)) = list_transform(v[k + 1:2 * k], lambda x: lower(x)))[1] AS k FROM s)
 SELECT doc_id, CASE WHEN k IS NULL THEN t ELSE array_to_string(list_concat(v[1:k], v[2 * k + 1:]), ' ') END AS text FROM k""",
+    "dedupe_keys": r"""SELECT sha256(trim(regexp_replace(replace(nfc_normalize(lower(text)), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))) AS key, count(*) AS n
+FROM documents WHERE text IS NOT NULL GROUP BY 1""",
+    "page_text": f"""SELECT doc_id::VARCHAR AS path, substring(t, 1, 2000) AS text FROM (SELECT doc_id, {_flat("'t ' || text")} AS t FROM documents WHERE text IS NOT NULL) WHERE length(t) >= 200""",
+    "longest_runs": """WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch, unnest(range(len(string_split(text, '')))) AS i FROM documents WHERE text <> ''),
+g AS (SELECT doc_id, ch, i - row_number() OVER (PARTITION BY doc_id, ch ORDER BY i) AS island FROM c), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id, ch, island)
+SELECT doc_id, max(n) AS run FROM n GROUP BY doc_id UNION ALL SELECT doc_id, 0 FROM documents WHERE text = ''""",
     "stop_cut": r"""SELECT doc_id, CASE WHEN p IS NULL THEN text ELSE substring(text, 1, p - 1) END AS text FROM (SELECT doc_id, text,
 least(nullif(instr(text, chr(10) || chr(10)), 0), nullif(instr(text, 'wrote:'), 0), nullif(instr(text, '. '), 0)) AS p FROM documents WHERE text IS NOT NULL)""",
 }

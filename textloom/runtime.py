@@ -57,6 +57,18 @@ def local_path(path: str) -> str:
     return re.sub("^file:/*", "/", path)
 
 
+_made: list[str] = []
+
+
+def clear(spark: SparkSession) -> int:
+    """Remove the tables that ``materialize`` wrote in this process; call it when no result that reads them is in use."""
+    n = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """Write ``df`` once as a compressed table in the shared folder and read it back.
 
@@ -64,6 +76,7 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/textloom-{label}-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
