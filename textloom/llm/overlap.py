@@ -249,14 +249,17 @@ def _sliced(recs: DataFrame, most: float, least: int, whole: bool, wanted: tuple
 
 
 def _verified(both: DataFrame, most: float) -> DataFrame:
-    def shared(a: np.ndarray, b: np.ndarray) -> float:
-        _, _, length, digest = chunks(a, np.array([len(a)]), most)
-        there = windows(b, np.array([len(b)]), most)[1]
-        return float(length[np.isin(digest, there)].sum() / length.sum())
+    def shared(these: list[str], others: list[str]) -> np.ndarray:
+        """The share of each text's chunk words whose chunks stand in the other text of its pair."""
+        row, _, length, digest = chunks(*hashed(pa.array(these, pa.string())), most)
+        row_w, digest_w = windows(*hashed(pa.array(others, pa.string())), most)
+        keyed = lambda r, d: _mix(d + r.astype(np.uint64) * _BASE)
+        there = np.isin(keyed(row, digest), keyed(row_w, digest_w))
+        return np.bincount(row, length * there, len(these)) / np.bincount(row, length, len(these))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
+            near, texts = [], []
             for it, iv, ft, fv in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 t, v = ft.split(), fv.split()
                 limit = int(max(len(t), len(v)) * most + 1e-9)
@@ -264,11 +267,12 @@ def _verified(both: DataFrame, most: float) -> DataFrame:
                     continue
                 n = edits(t, v, limit)
                 if n <= limit:
-                    ut, uv = (hashed(pa.array([x]))[0] for x in (ft, fv))
-                    rows.append((it, iv, n, shared(ut, uv), shared(uv, ut)))
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["t", "v", "edits", "shared_t", "shared_v"])
+                    near.append((it, iv, n))
+                    texts.append((ft, fv))
+            if near:
+                t, v = (list(x) for x in zip(*texts, strict=True))
+                cols = [pa.array(c, k) for c, k in zip(zip(*near, strict=True), (pa.int64(), pa.int64(), pa.int32()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(shared(t, v)), pa.array(shared(v, t))], names=["t", "v", "edits", "shared_t", "shared_v"])
 
     return both.mapInArrow(verify, "t long, v long, edits int, shared_t double, shared_v double")
 
