@@ -1,4 +1,4 @@
-"""Fixed-size tables of slots (saturating counts, sums) built per partition, merged by segment.
+"""Fixed-size tables of slots (counts that saturate at two) built per partition, merged by segment.
 
 A partition emits only its non-empty segments; equal segments are merged in two steps, so a task holds one segment of a
 32nd of the partitions at most. The merged table's size depends only on the number of
@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of bits in a segment, or slots of a sum; groups into which the partitions are folded before the last merge.
+#: Bytes of bits in a segment; groups into which the partitions are folded before the last merge.
 SEG, FOLDS = 1 << 15, 32
 
 
@@ -90,28 +90,3 @@ def probe(table: np.ndarray, bits: int, h: np.ndarray, least: int = 1) -> np.nda
     """Which hashes may have been added ``least`` (1 or 2) times; never false for one that was."""
     first, second = _slots(h, bits)
     return (table[first] >= least) & (table[second] >= least)
-
-
-def sum_table(df: DataFrame, counted: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
-    """Sums per slot over all rows; ``counted`` gives the slots of a batch."""
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(1 << bits, np.int64)
-        for b in batches:
-            sums += np.bincount(counted(b), minlength=1 << bits)
-        size = min(SEG, len(sums))
-        blocks = sums.reshape(-1, size)
-        yield from _emit((i, blocks[i].astype(np.uint32 if blocks[i].max() < 2**32 else np.uint64).tobytes()) for i in np.flatnonzero(blocks.any(axis=1)))
-
-    size = min(SEG, 1 << bits)
-
-    def wide(p: bytes) -> np.ndarray:
-        return np.frombuffer(p, np.uint32 if len(p) == 4 * size else np.uint64).astype(np.uint64)
-
-    def merge(parts: list[bytes]) -> bytes:
-        return sum(wide(p) for p in parts).tobytes()
-
-    out = np.zeros(((1 << bits) // size, size), np.int64)
-    for row in _merge(df.mapInArrow(build, "seg int, pid int, data binary"), merge).collect():
-        out[row["seg"]] = wide(bytes(row["data"])).astype(np.int64)
-    return out.reshape(-1)
