@@ -10,9 +10,9 @@ the longer record's words. Every record is cut into at least ``k + 1`` disjoint
 rolling hash leaves too few), an edit spoils one at most, so one chunk of the training record stands unchanged in the
 evaluation record. Nothing is capped.
 
-Chunks carry the parities of their record's words (192 bits). An edit flips two at most, so candidates that differ in more
-than ``2k`` bits are left out inside the join; of the others those go on whose shared chunks are all of the training
-record's but ``k`` or more. Before the join a Bloom filter of bounded size drops training chunks that no
+Chunks carry the parities of their record's words (192 bits). A replacement flips two at most, an insertion or removal one,
+and as many of these are needed as the lengths differ (``d``), so candidates that differ in more than ``2k - d`` bits are left
+out inside the join; of the others those go on whose shared chunks are all of the training record's but ``k`` or more. Before the join a Bloom filter of bounded size drops training chunks that no
 evaluation record has, and the other way round. Records with equal words are one class: copies are cut once per partition,
 and links of classes are expanded to their members at the end.
 
@@ -301,8 +301,9 @@ def cross_split(
     v = seen.where("kind = 0").select(*_CHUNK)
     k = F.floor(F.greatest("t.n", "v.n") * most + 1e-9)
     flips = sum((F.bit_count(F.col(f"t.{s}").bitwiseXOR(F.col(f"v.{s}"))) for s in ("s1", "s2", "s3")), F.lit(0))
+    apart = F.abs(F.col("t.n") - F.col("v.n"))
     near = t.alias("t").join(
-        v.alias("v"), (F.col("t.digest") == F.col("v.digest")) & (F.abs(F.col("t.n") - F.col("v.n")) <= k) & (flips <= 2 * k)
+        v.alias("v"), (F.col("t.digest") == F.col("v.digest")) & (apart <= k) & (flips <= 2 * k - apart)
     )
     counted = near.groupBy(F.col("t.id").alias("t"), F.col("v.id").alias("v")).agg(
         F.count(F.lit(1)).alias("shared"), F.first(F.col("t.cuts") - k).alias("least")
