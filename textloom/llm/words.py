@@ -7,13 +7,8 @@ from pyspark.sql import functions as F
 
 
 def spaced(text: Column) -> Column:
-    """The words of a text, each followed by one space (leading spaces may remain; empty pieces leave double spaces)."""
-    return F.regexp_replace(F.lower(F.upper(text)), r"(?U)[^\p{L}\p{N}\s]+", "")
-
-
-def words(text: Column) -> Column:
-    """Array of the words; null for a null text."""
-    return F.filter(F.split(spaced(text), r"(?U)[\s\x1c-\x1f]+", -1), lambda w: w != "")
+    """Letters, digits and white space of the text, without letter case."""
+    return F.regexp_replace(F.lower(F.upper(text)), r"(?U)[^\p{L}\p{N}\s\x1c-\x1f]+", "")
 
 
 def flat(text: Column) -> Column:
