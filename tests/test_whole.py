@@ -1,0 +1,15 @@
+"""Registered queries that give whole texts and all rows, where others cap them."""
+
+from __future__ import annotations
+
+from textloom.plans import queries as core
+
+
+def test_parquet_texts_are_whole_and_all_there(spark, tmp_path):
+    rows = [("f", i, f"{i} " + "word  " * 200) for i in range(60)] + [("f", 60, "short"), ("f", 61, None)]
+    spark.createDataFrame(rows, "file_name string, row_id long, text string").write.parquet(str(tmp_path / "fineweb_rows.parquet"))
+    q = core.queries()
+    got = {r["row"]: r["text"] for r in q["parquet_texts"](spark, str(tmp_path)).collect()}
+    assert got == {i: f"{i} " + " ".join(["word"] * 200) for i in range(60)}
+    capped = q["parquet_rows"](spark, str(tmp_path)).collect()
+    assert len(capped) == 50 and all(len(r["text"]) == 400 for r in capped)

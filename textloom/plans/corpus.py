@@ -101,6 +101,11 @@ def parquet_rows(spark: SparkSession, d: str) -> DataFrame:
     return lines.text_rows(table(spark, d, "fineweb_rows"), "file_name", "row_id", "text", 80, 400, 50)
 
 
+def parquet_texts(spark: SparkSession, d: str) -> DataFrame:
+    """All texts of 80 characters or more, whole; ``parquet_rows`` shows the two caps."""
+    return lines.text_rows(texts(spark, d, "fineweb_rows"), "file_name", "row_id", "text", 80)
+
+
 def conversion_counts(spark: SparkSession, d: str) -> DataFrame:
     return lines.conversion_counts(table(spark, d, "fineweb_rows"), "file_name", "text")
 
@@ -298,6 +303,8 @@ SELECT term, count(*) AS n FROM w WHERE term IN {_in(risk.TOXIC)} GROUP BY term
     + ") WHERE n > 0",
     "parquet_rows": f"""WITH f AS (SELECT file_name AS file, row_id AS "row", {_flat(_TEXT)} AS text FROM fineweb_rows WHERE text IS NOT NULL),
 k AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY "row") AS n FROM f WHERE length(text) >= 80) SELECT file, "row", substring(text, 1, 400) AS text FROM k WHERE n <= 50""",
+    "parquet_texts": f"""WITH f AS (SELECT file_name AS file, row_id AS "row", {_flat(_TEXT)} AS text FROM fineweb_rows WHERE text IS NOT NULL)
+SELECT * FROM f WHERE length(text) >= 80""",
     "conversion_counts": f"""SELECT file_name AS file, count(*) AS rows_seen, count(*) FILTER (length({_flat(_TEXT)}) >= 80) AS rows_written,
 count(*) FILTER (length({_flat(_TEXT)}) < 80) AS rows_filtered_short FROM fineweb_rows GROUP BY 1""",
     "english_documents": f"WITH x AS (SELECT doc_id, text, {_words(_TEXT)} AS w FROM documents WHERE text IS NOT NULL) SELECT doc_id FROM x WHERE {_english(_TEXT, 'w')}",
@@ -323,7 +330,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         quality_summary, per_file_profile, line_freq_topk, boilerplate_candidates, text_statistics, repetitive_rows, char_statistics, clean_reason_counts,
-        clean_reason_by_file, clean_lines, risk_summary, risk_terms, risk_phrases, parquet_rows, conversion_counts, english_documents, code_like_rows,
+        clean_reason_by_file, clean_lines, risk_summary, risk_terms, risk_phrases, parquet_rows, parquet_texts, conversion_counts, english_documents, code_like_rows,
         contaminated_rows, collapsed_titles, dedupe_keys, page_text, stop_cut, longest_runs,
     )
 }
