@@ -13,3 +13,12 @@ def test_parquet_texts_are_whole_and_all_there(spark, tmp_path):
     assert got == {i: f"{i} " + " ".join(["word"] * 200) for i in range(60)}
     capped = q["parquet_rows"](spark, str(tmp_path)).collect()
     assert len(capped) == 50 and all(len(r["text"]) == 400 for r in capped)
+
+
+def test_whole_pages_keep_the_end_of_long_texts(spark, tmp_path):
+    text = "a < b & c\n" * 300 + "the end"
+    spark.createDataFrame([(1, text), (2, "short"), (3, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    q = core.queries()
+    whole = "t " + " ".join(text.split())
+    assert [tuple(r) for r in q["whole_pages"](spark, str(tmp_path)).select("path", "text").collect()] == [("1", whole)]
+    assert [r["text"] for r in q["page_text"](spark, str(tmp_path)).collect()] == [whole[:2000]]

@@ -138,12 +138,21 @@ def dedupe_keys(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where("text is not null").select(F.sha2(k, 256).alias("key")).groupBy("key").count().select("key", F.col("count").alias("n"))
 
 
-def page_text(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as pages (title, script, entities), and their text again."""
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as pages (title, script, entities)."""
     body = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "&", "&amp;"), "<", "&lt;"), "\n", "<br>")
     page = F.concat(F.lit("<html><head><title>t</title><script>if (a < b) { x(); }</script></head><body><p>"), body, F.lit("</p><style>p {}</style></body></html>"))
-    pages = table(spark, d, "documents").where("text is not null").select(F.col("doc_id").cast("string").alias("path"), page.alias("html"))
-    return files.pages(pages, "path", "html", min_chars=200, max_chars=2000)
+    return table(spark, d, "documents").where("text is not null").select(F.col("doc_id").cast("string").alias("path"), page.alias("html"))
+
+
+def page_text(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as pages, and the first 2,000 characters of their text again; ``whole_pages`` has all of it."""
+    return files.pages(_pages(spark, d), "path", "html", min_chars=200, max_chars=2000)
+
+
+def whole_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as pages, and their whole text again."""
+    return files.pages(_pages(spark, d), "path", "html", min_chars=200)
 
 
 def stop_cut(spark: SparkSession, d: str) -> DataFrame:
@@ -318,6 +327,7 @@ SELECT doc_id, CASE WHEN k IS NULL THEN t ELSE array_to_string(list_concat(v[1:k
     "dedupe_keys": r"""SELECT sha256(trim(regexp_replace(replace(nfc_normalize(lower(text)), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))) AS key, count(*) AS n
 FROM documents WHERE text IS NOT NULL GROUP BY 1""",
     "page_text": f"""SELECT doc_id::VARCHAR AS path, substring(t, 1, 2000) AS text FROM (SELECT doc_id, {_flat("'t ' || text")} AS t FROM documents WHERE text IS NOT NULL) WHERE length(t) >= 200""",
+    "whole_pages": f"""SELECT doc_id::VARCHAR AS path, t AS text FROM (SELECT doc_id, {_flat("'t ' || text")} AS t FROM documents WHERE text IS NOT NULL) WHERE length(t) >= 200""",
     "longest_runs": """WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch, unnest(range(len(string_split(text, '')))) AS i FROM documents WHERE text <> ''),
 g AS (SELECT doc_id, ch, i - row_number() OVER (PARTITION BY doc_id, ch ORDER BY i) AS island FROM c), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id, ch, island)
 SELECT doc_id, max(n) AS run FROM n GROUP BY doc_id UNION ALL SELECT doc_id, 0 FROM documents WHERE text = ''""",
@@ -331,6 +341,6 @@ QUERIES = {
     for f in (
         quality_summary, per_file_profile, line_freq_topk, boilerplate_candidates, text_statistics, repetitive_rows, char_statistics, clean_reason_counts,
         clean_reason_by_file, clean_lines, risk_summary, risk_terms, risk_phrases, parquet_rows, parquet_texts, conversion_counts, english_documents, code_like_rows,
-        contaminated_rows, collapsed_titles, dedupe_keys, page_text, stop_cut, longest_runs,
+        contaminated_rows, collapsed_titles, dedupe_keys, page_text, whole_pages, stop_cut, longest_runs,
     )
 }
