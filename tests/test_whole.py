@@ -22,3 +22,13 @@ def test_whole_pages_keep_the_end_of_long_texts(spark, tmp_path):
     whole = "t " + " ".join(text.split())
     assert [tuple(r) for r in q["whole_pages"](spark, str(tmp_path)).select("path", "text").collect()] == [("1", whole)]
     assert [r["text"] for r in q["page_text"](spark, str(tmp_path)).collect()] == [whole[:2000]]
+
+
+def test_last_reported_looks_through_the_whole_log(spark, tmp_path):
+    rows = [(1, 0, "view", '{"k": 7}')] + [(1, i, "click", '{"k": 1}') for i in range(1, 251)] + [(2, 900, "click", '{"k": 2}')]
+    spark.createDataFrame(rows, "user_id long, event_id long, event_type string, props string").write.parquet(str(tmp_path / "events.parquet"))
+    q = core.queries()
+    assert [tuple(r) for r in q["last_reported"](spark, str(tmp_path)).collect()] == [("1", 7.0)]
+    assert q["last_metrics"](spark, str(tmp_path)).count() == 0
+    tails = q["log_tails"](spark, str(tmp_path)).collect()
+    assert {(r["file"], r["row"]) for r in tails} == {("1", i) for i in range(51, 251)} | {("2", 900)}

@@ -237,10 +237,24 @@ def latest_baselines(spark: SparkSession, d: str) -> DataFrame:
     return trends.latest_before(e, ["user_id"], "ts", good, "event_id", "event_id").where("event_type = 'error'").select("event_id", "prior")
 
 
+def _logs(spark: SparkSession, d: str) -> DataFrame:
+    """Events as lines of a log for each user."""
+    return table(spark, d, "events").select(F.col("user_id").cast("string").alias("file"), F.col("event_id").alias("row"), F.lit(0).alias("pos"), F.concat(F.col("event_type"), F.lit(" k="), F.get_json_object("props", "$.k")).alias("raw"))
+
+
 def last_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The last value that the last 20 lines of each user's log report; ``last_reported`` looks through all lines."""
+    return files.last_metric(files.log_tail(_logs(spark, d), 20), r"view k=(\d+)")
+
+
+def last_reported(spark: SparkSession, d: str) -> DataFrame:
     """The last value that each user's log reports."""
-    e = table(spark, d, "events").select(F.col("user_id").cast("string").alias("file"), F.col("event_id").alias("row"), F.lit(0).alias("pos"), F.concat(F.col("event_type"), F.lit(" k="), F.get_json_object("props", "$.k")).alias("raw"))
-    return files.last_metric(files.log_tail(e, 20), r"view k=(\d+)")
+    return files.last_metric(_logs(spark, d), r"view k=(\d+)")
+
+
+def log_tails(spark: SparkSession, d: str) -> DataFrame:
+    """The last 200 lines of each user's log."""
+    return files.log_tail(_logs(spark, d), 200).select("file", "row", "raw")
 
 
 def event_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -385,6 +399,9 @@ SELECT user_id, count(*) * 3 AS items, round(sum(elapsed), 3) AS seconds, round(
 OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM events) WHERE event_type = 'error'""",
     "last_metrics": """WITH t AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 20)
 SELECT user_id::VARCHAR AS file, arg_max((props->>'$.k')::DOUBLE, event_id) AS value FROM t WHERE event_type = 'view' GROUP BY 1""",
+    "last_reported": """SELECT user_id::VARCHAR AS file, arg_max((props->>'$.k')::DOUBLE, event_id) AS value FROM events WHERE event_type = 'view' AND props->>'$.k' IS NOT NULL GROUP BY 1""",
+    "log_tails": """SELECT user_id::VARCHAR AS file, event_id AS "row", event_type || ' k=' || (props->>'$.k') AS raw FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 200""",
     "event_totals": """WITH e AS (SELECT event_type, round(avg(value), 6) AS mean, max(value) AS largest, count(*) AS n FROM events GROUP BY 1), x AS (SELECT *, CASE WHEN n >= 100000 THEN 0 WHEN mean > 0 THEN (100000 - n) / mean END AS s FROM e)
 SELECT event_type, mean, largest, n, CASE WHEN s IS NULL THEN 'unknown' ELSE floor(s / 3600)::BIGINT || 'h' || lpad((floor((s % 3600) / 60)::BIGINT)::VARCHAR, 2, '0') || 'm' END AS eta, round(n / 12345 * 10000.0, 4) AS per_10k FROM x""",
     "job_alerts": f"""WITH {_INPUTS}, o AS (SELECT a.manifest, count(*) AS f FROM inputs a JOIN inputs b ON a.name = b.name AND a.manifest <> b.manifest GROUP BY 1)
@@ -404,7 +421,7 @@ QUERIES = {
         manifest_coverage, manifest_keepers, manifest_overlaps, training_info, manifest_shards, shard_violations, shards_verified, job_guardrail, unprocessed_files,
         samples_of_stems, offload_candidates, newest_copies, staged_within_budget, copy_status, file_classes, hash_split, split_totals, shard_layout, token_windows,
         contiguous_split, hashed_batches, bpe_counts, chat_prompts, eval_cases_scored, eval_summary, promotion, running_best, perplexity_gate, lr_schedule,
-        checkpoints_kept, snapshot_rates, stall_ages, rolling_means, batches_paired, batch_throughput, latest_baselines, last_metrics, event_totals, job_alerts, capped_lines, quarantine, distinct_inputs,
+        checkpoints_kept, snapshot_rates, stall_ages, rolling_means, batches_paired, batch_throughput, latest_baselines, last_metrics, last_reported, log_tails, event_totals, job_alerts, capped_lines, quarantine, distinct_inputs,
         sampled_windows,
     )
 }
