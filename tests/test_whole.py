@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pytest
+
+from textloom.llm import canon
 from textloom.plans import queries as core
 
 
@@ -32,3 +35,24 @@ def test_last_reported_looks_through_the_whole_log(spark, tmp_path):
     assert q["last_metrics"](spark, str(tmp_path)).count() == 0
     tails = q["log_tails"](spark, str(tmp_path)).collect()
     assert {(r["file"], r["row"]) for r in tails} == {("1", i) for i in range(51, 251)} | {("2", 900)}
+
+
+@pytest.mark.parametrize(
+    ("one", "other"),
+    [
+        ("a: 12.50 | b: x", '{"b": "x", "a": 12.50}'),
+        ("a: 1e3 | b: -0", '{"b": -0, "a": 1e3}'),
+        ("owner's name: Ann | b: x", "b = x; Owner's name = ann"),
+        ("size [cm]: 4 | b: x", "b: x; size [cm]: 4"),
+        ("a: | b: x", "b: x; a: "),
+        ("a: -- | b: x", '{"b": "x", "a": ""}'),
+        (f"{'long name ' * 20}: 1 | b: x", f"b: x | {'long name ' * 20}: 1"),
+    ],
+)
+def test_reordered_fields_stay_one_record(one, other):
+    assert canon.named_fields(one) and canon.named_fields(one) == canon.named_fields(other)
+
+
+def test_nested_values_are_no_fields():
+    assert canon.named_fields('{\n"a": {\n"b": 1\n}\n}') is None and canon.named_fields('{\n"a": [\n"b: c",\n"d: e"\n]\n}') is None
+    assert canon.named_fields("a: 1\n: 2") is None

@@ -25,7 +25,9 @@ from . import bits
 
 _NO_ALNUM = re.compile(r"[\W_]+")
 _BULLET = re.compile(r"^\s*(?:[-*•–·+>]+|\(?\d{1,3}[.)])\s+")
-_FIELD = re.compile(r"^\s*[\"']?([^:={}\[\]\"']{1,60}?)[\"']?\s*[:=]\s*(\S.*?)\s*$", re.DOTALL)
+_SIGN = re.compile(r"[:=]")
+#: What a nested object or list begins with, where the piece ends: no value of a field.
+_OPENING = re.compile(r"^\s*[{\[][\s{\[]*$")
 _SPLITS = ("\n", "|", ";", "\t")
 _LINE_ENDS = re.compile(r"\r\n?|[\x0b\x0c\x85  ]")
 _EMPHASIS = re.compile(r"[*_`]+")
@@ -41,11 +43,12 @@ def _pairs(pieces: list[str]) -> list[tuple[str, str]] | None:
     for p in pieces:
         if not _NO_ALNUM.sub("", p):
             continue
-        m = _FIELD.match(_BULLET.sub("", p))
-        if not m:
+        piece = _BULLET.sub("", p)
+        m = _SIGN.search(piece)
+        if not m or _OPENING.match(piece[m.end() :]):
             return None
-        name, value = canonical(m[1]), canonical(m[2])
-        if not name or not value:
+        name, value = canonical(piece[: m.start()]), canonical(piece[m.end() :])
+        if not name:
             return None
         out.append((name, value))
     return out
@@ -53,7 +56,7 @@ def _pairs(pieces: list[str]) -> list[tuple[str, str]] | None:
 
 def _from_json(text: str) -> list[tuple[str, str]] | None:
     try:
-        x = json.loads(text, object_pairs_hook=lambda pairs: pairs)
+        x = json.loads(text, object_pairs_hook=lambda pairs: pairs, parse_float=str, parse_int=str)  # numbers as written
     except (ValueError, RecursionError):
         return None
     if not isinstance(x, list) or not all(isinstance(p, tuple) and not isinstance(p[1], list) for p in x):
