@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .operators import clean, manifests, profile, risk, tokens
-from .runtime import get_session, local_path, materialize
+from .runtime import get_session, local_path, materialize, scratch
 from .sources import files, lines, sinks
 
 
@@ -48,9 +48,9 @@ def quality(spark: SparkSession, a: argparse.Namespace) -> None:
     freq = materialize(profile.frequencies(ls), "freq")
     report = {
         "summary": sinks.rows(profile.summary(ls))[0] | {"files_seen": len(names), "truncated": truncated},
-        "files": sinks.rows(profile.per_file(ls).orderBy("file")),
+        "files": profile.per_file(ls).orderBy("file"),
         "top_repeated_lines": sinks.rows(profile.top_repeated(ls, freq, limits).orderBy(F.desc("n"))),
-        "boilerplate_candidates": sinks.rows(profile.boilerplate(ls, freq, limits).orderBy(F.desc("n"), "line")),
+        "boilerplate_candidates": profile.boilerplate(ls, freq, limits).orderBy(F.desc("n"), "line"),
     }
     sinks.write_json(report, a.output)
     _say(**report["summary"], report=a.output)
@@ -60,19 +60,18 @@ def clean_batch(spark: SparkSession, a: argparse.Namespace) -> None:
     ls, _ = _inputs(spark, a)
     known = None
     if a.boilerplate_report:
-        with open(a.boilerplate_report, encoding="utf-8") as f:
-            found = [(r["line"],) for r in json.load(f)["boilerplate_candidates"]]
-        known = spark.createDataFrame(found, "line string")
+        found = spark.read.schema("boilerplate_candidates array<struct<line:string>>").option("multiLine", True).json(a.boilerplate_report)
+        known = found.select(F.inline("boilerplate_candidates"))
     patterns = list(T.CONTAMINATION) + a.pattern_drop
     if a.pattern_file:
         with open(a.pattern_file, encoding="utf-8") as f:
             patterns += [x.strip() for x in f if x.strip() and not x.startswith("#")]
     limits = clean.CleanLimits(min_chars=a.min_chars, min_words=a.min_words, english_only=a.english_only, dedupe_global=a.dedupe_global, patterns=tuple(patterns))
     done = materialize(clean.clean(ls, limits, known), "cleaned")
-    counts = sinks.rows(clean.counters(done).orderBy("file", "reason"))
+    counts = materialize(clean.counters(done), "counters").orderBy("file", "reason")
     clean.write_clean(done, a.output)
     sinks.write_json({"limits": limits.__dict__ | {"patterns": patterns}, "counters": counts}, a.report or a.output.rstrip("/") + ".report.json")
-    _say(**{r["reason"]: r["n"] for r in counts if r["file"] is None})
+    _say(**{r["reason"]: r["n"] for r in counts.where("file is null").collect()})
 
 
 def risk_report(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -194,6 +193,7 @@ def dashboard(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="textloom")
+    p.add_argument("--shared-dir", default=None, help="folder for intermediate tables that all executors see (needed on a cluster)")
     sub = p.add_subparsers(dest="command", required=True)
 
     def add(name: str, run, **options: object) -> argparse.ArgumentParser:  # noqa: ANN001
@@ -227,7 +227,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
-    a.run(get_session(f"textloom {a.command}"), a)
+    spark = get_session(f"textloom {a.command}", shared=a.shared_dir)
+    with scratch(spark):
+        a.run(spark, a)
     return 0
 
 

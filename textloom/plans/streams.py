@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import shared_dir, table
+from ..runtime import new_folder, table
 from ..streaming import jobs
 
 
@@ -19,9 +18,9 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 
 def _drained(spark: SparkSession, df: DataFrame, mode: str) -> DataFrame:
     """Run the stream until all input is read; its results as a table (each batch's file replaces the batch's earlier tries)."""
-    out = f"{shared_dir(spark)}/textloom-stream-{uuid.uuid4().hex}"
+    out, state = new_folder(spark, "stream"), new_folder(spark, "stream-state")
     write: Callable[[DataFrame, int], None] = jobs.write_batch(out)
-    df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", out + "-state").trigger(availableNow=True).start().awaitTermination()
+    df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     got = spark.read.schema(df.schema.add("batch", "long")).parquet(out)
     if mode == "complete":  # the last batch holds everything
         got = got.where(F.col("batch") == got.agg(F.max("batch")).first()[0])

@@ -8,7 +8,7 @@ import math
 import os
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
 from ..runtime import local_path
 
@@ -19,21 +19,34 @@ def _plain(x: Any) -> Any:
     return x.asDict(recursive=True) if hasattr(x, "asDict") else x
 
 
-def rows(df: DataFrame, most: int = 100_000) -> list[dict]:
-    """A report's rows as dictionaries; refuses results that are no report."""
-    found = df.limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} rows")
-    return [{k: _plain(v) for k, v in r.asDict(recursive=True).items()} for r in found]
+def _dictionary(row: Row) -> dict:
+    return {k: _plain(v) for k, v in row.asDict(recursive=True).items()}
+
+
+def rows(df: DataFrame) -> list[dict]:
+    """The rows of a result of bounded size (a summary, a top-k list) as dictionaries."""
+    return [_dictionary(r) for r in df.collect()]
 
 
 def write_json(report: dict, path: str, overwrite: bool = True) -> None:
+    """The report as a JSON object, through a temporary name. A value may be a DataFrame of any length: its rows become a list, in order, and
+    pass the driver a partition at a time."""
     if not overwrite and os.path.exists(path):
         raise FileExistsError(path)
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     part = f"{path}.incomplete"
     with open(part, "w", encoding="utf-8") as f:
-        json.dump(report, f, indent=2)
+        f.write("{")
+        for i, (key, value) in enumerate(report.items()):
+            f.write(f"{',' * (i > 0)}\n  {json.dumps(key)}: ")
+            if isinstance(value, DataFrame):
+                f.write("[")
+                for n, row in enumerate(value.toLocalIterator()):
+                    f.write(f"{',' * (n > 0)}\n    {json.dumps(_dictionary(row))}")
+                f.write("\n  ]")
+            else:
+                f.write(json.dumps(value, indent=2).replace("\n", "\n  "))
+        f.write("\n}\n")
     os.replace(part, path)
 
 
