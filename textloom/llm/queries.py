@@ -13,12 +13,15 @@ from . import abuse, canon, leaks, oracle, overlap, packing, prose, sitelines
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _lines(spark: SparkSession, d: str, deltas: int) -> tuple[DataFrame, DataFrame]:
+    """(the rows, their excessive lines), adding the files in so many portions."""
+    rows = texts(spark, d, "fineweb_rows")
+    return rows, sitelines.LineCounts(spark, sitelines.Limits.active(table(spark, d, "clean_profiles"))).add(rows, deltas=deltas)
+
+
 def _judged(spark: SparkSession, d: str) -> DataFrame:
     """Statistics of the texts without the lines that are excessive in their source."""
-    limits, rows = sitelines.Limits.active(table(spark, d, "clean_profiles")), texts(spark, d, "fineweb_rows")
-    state = sitelines.LineCounts(limits)
-    state.merge(sitelines.line_keys(rows, "row_id", "text", "source", "file_name"))
-    return prose.judged(sitelines.cleaned(rows, state.crossed))
+    return prose.judged(sitelines.cleaned(*_lines(spark, d, 1)))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -73,15 +76,12 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    limits = sitelines.Limits.active(table(spark, d, "clean_profiles"))
-    lines, _ = sitelines.excessive(texts(spark, d, "fineweb_rows"), limits)
-    return lines.select(F.col("row").alias("row_id"), "line_no")
+    return _lines(spark, d, 3)[1].select(F.col("row").alias("row_id"), "line_no")
 
 
 def p2_clean(spark: SparkSession, d: str) -> DataFrame:
-    limits, rows = sitelines.Limits.active(table(spark, d, "clean_profiles")), texts(spark, d, "fineweb_rows")
-    _, state = sitelines.excessive(rows, limits)
-    return sitelines.cleaned(rows, state.crossed).withColumnRenamed("row", "row_id")
+    """Every text without its excessive lines: only documents that hold one are rebuilt."""
+    return sitelines.cleaned(*_lines(spark, d, 3)).withColumnRenamed("row", "row_id")
 
 
 def p5_pack(spark: SparkSession, d: str) -> DataFrame:

@@ -1,28 +1,33 @@
 """Problem 2: lines that stand in very many documents of one source.
 
-Method: a table of line counts by source and file is kept and grows by deltas. A delta is a set of new files' rows; merging
-it yields the lines that cross the limits with it, and only documents holding newly crossed lines (or new documents holding
-crossed ones) are rebuilt. Lines are compared by two 64-bit hashes of source and normalised line.
+Method: a stored table of line counts by source and file grows by deltas. A delta is a set of new files' rows: its line keys and
+its counts are appended as a run, nothing written before is rewritten. Crossings are looked for among the delta's own lines
+only, for which the counts of earlier runs are fetched by a semi join; every ``COMPACT`` runs the counts are merged into one. Only
+documents that hold a newly crossed line (or new documents with a crossed one) come out to be rebuilt. Lines are compared by two 64-bit hashes of
+source and normalised line.
+
+The state is a folder, opened again by its name: ``lines`` (keys of all lines), ``counts``, ``crossed``. A run counts once
+its ``crossed`` part is complete; what an interrupted run left is removed by the next.
 
 Defined results: a null text has no lines; rows without a file name count as occurrences but not as files; rows without a
-source form a source of their own; a profile without limits removes nothing; repeated rows count each time; an empty table
-gives an empty result. Other columns are ignored.
+source form a source of their own; a profile without limits removes nothing; repeated rows count each time; rows that share an id
+but not text and source are cleaned each by itself; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import materialize, small
+from ..runtime import new_folder, small
 
-#: Crossed lines up to this number (16 bytes each) are sent to every task; beyond it they are joined by a shuffle.
-SENT_KEYS = 4_000_000
+#: Runs of counts that are read side by side before they are merged into one.
+COMPACT = 8
+_LINES = "d1 long, d2 long, row long, line_no long, file long, k1 long, k2 long, run int"
+_COUNTS, _CROSSED = "k1 long, k2 long, file long, n long, run int", "k1 long, k2 long, run int"
+_KEY, _DOC = ["k1", "k2"], ["d1", "d2"]
 
 
 @dataclass(frozen=True)
@@ -55,122 +60,131 @@ def _keys(source: Column, line: Column) -> Column:
     return F.when(norm.rlike(r"\p{L}"), _hashes(source, norm))
 
 
-def line_keys(df: DataFrame, id_col: str, text_col: str, source_col: str, file_col: str) -> DataFrame:
-    """``row, line_no, file, k1, k2``: every line with a letter."""
-    lines = df.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("row"),
-        F.xxhash64(F.col(file_col)).alias("file") if file_col else F.lit(0).alias("file"),
-        F.col(file_col).isNotNull().alias("in_file"),
-        F.col(source_col).alias("src"),
-        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"),
+def document(row: Column, text: Column, source: Column) -> list[Column]:
+    """``d1, d2``: 128 bits by which a row is found again; rows that share them are alike in id, text and source."""
+    source = F.coalesce(F.concat(F.lit("s"), source), F.lit(""))
+    return [F.xxhash64(row, text, source).alias("d1"), F.xxhash64(F.lit(7), text, source, row).alias("d2")]
+
+
+def line_keys(df: DataFrame, id_col: str, text_col: str, source_col: str, file_col: str, run: Column) -> DataFrame:
+    """``d1, d2, row, line_no, file, k1, k2, run``: every line with a letter; ``run`` is a number from the file's hash."""
+    row, text, source = F.col(id_col).cast("long"), F.col(text_col), F.col(source_col)
+    file = F.when(F.col(file_col).isNotNull(), F.xxhash64(file_col))
+    lines = df.where(text.isNotNull()).select(
+        *document(row, text, source), row.alias("row"), file.alias("file"), source.alias("src"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line")
     )
-    keyed = lines.select("row", (F.col("pos") + 1).cast("long").alias("line_no"), F.when(F.col("in_file"), F.col("file")).alias("file"), _keys(F.col("src"), F.col("line")).alias("k"))
-    return keyed.where("k is not null").select("row", "line_no", "file", "k.k1", "k.k2")
+    keyed = lines.select(*_DOC, "row", (F.col("pos") + 1).cast("long").alias("line_no"), "file", _keys(F.col("src"), F.col("line")).alias("k"))
+    return keyed.where("k is not null").select(*_DOC, "row", "line_no", "file", "k.k1", "k.k2", run.cast("int").alias("run"))
 
 
-@dataclass
 class LineCounts:
-    """The growing table: ``merge`` takes a delta (rows of ``line_keys``) and returns the newly crossed ``k1, k2``."""
-
-    limits: Limits
-    counts: DataFrame | None = None
-    crossed: DataFrame | None = None
-    deltas: list[DataFrame] = field(default_factory=list)
+    """The growing table in ``folder`` (a new one in the shared folder by default)."""
+
+    def __init__(self, spark: SparkSession, limits: Limits, folder: str | None = None) -> None:
+        self.spark, self.limits = spark, limits
+        self.folder = folder or new_folder(spark, "p2-state")
+        self.done = self._complete("crossed", "run=")
+        self.merged = max(self._complete("counts", "upto="), default=-1)
+
+    def _list(self, name: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _remove(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _complete(self, part: str, prefix: str) -> list[int]:
+        names = [x for x in self._list(part) if x.startswith(prefix) and "_SUCCESS" in self._list(f"{part}/{x}")]
+        return sorted(int(x.removeprefix(prefix)) for x in names)
+
+    def _read(self, part: str, schema: str, runs: list[int], prefix: str = "run=") -> DataFrame:
+        if not runs:
+            return self.spark.createDataFrame([], schema)
+        plain = ", ".join(x for x in schema.split(", ") if not x.startswith("run "))
+        # each run by its own path: no other folder is even listed
+        parts = [self.spark.read.schema(plain).parquet(f"{self.folder}/{part}/{prefix}{r}").withColumn("run", F.lit(r)) for r in runs]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def _write(self, df: DataFrame, part: str) -> None:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.folder}/{part}")
+
+    def crossed(self, runs: list[int] | None = None) -> DataFrame:
+        """``k1, k2`` of the lines over the limits (by default all of them)."""
+        return self._read("crossed", _CROSSED, self.done if runs is None else runs).select(*_KEY)
+
+    def lines(self, runs: list[int]) -> DataFrame:
+        return self._read("lines", _LINES, runs)
+
+    def counts(self) -> DataFrame:
+        later = [r for r in self.done if r > self.merged]
+        return self._read("counts", _COUNTS, [self.merged] if self.merged >= 0 else [], "upto=").unionByName(self._read("counts", _COUNTS, later)).drop("run")
 
     def _over(self, n: str, files: str) -> Column:
         if self.limits.occurrences is None or self.limits.files is None:
             return F.lit(False)
         return (F.col(n) >= self.limits.occurrences) & (F.col(files) >= self.limits.files)
 
-    def merge(self, delta: DataFrame) -> DataFrame:
-        fresh = delta.groupBy("k1", "k2", "file").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.lit(0).cast("long"))
-        if self.counts is None:
-            merged = fresh
-        else:
-            known = self.counts.withColumn("before", F.col("n"))
-            merged = known.unionByName(fresh).groupBy("k1", "k2", "file").agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
-        merged = materialize(merged, "p2-counts")
-        totals = merged.groupBy("k1", "k2").agg(
+    def _merge(self, run: int) -> None:
+        """Append the run's counts, and the lines that cross the limits with them."""
+        self._write(self._read("lines", _LINES, [run]).groupBy(*_KEY, "file").agg(F.count(F.lit(1)).alias("n")), f"counts/run={run}")
+        counts = self._read("counts", _COUNTS, [run]).drop("run").withColumn("before", F.lit(0).cast("long"))
+        if self.done:
+            old = self.counts().join(counts.select(*_KEY).distinct(), _KEY, "left_semi").withColumn("before", F.col("n"))
+            counts = counts.unionByName(old).groupBy(*_KEY, "file").agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
+        totals = counts.groupBy(*_KEY).agg(
             F.sum("n").alias("n"),
             F.count("file").alias("files"),
             F.sum("before").alias("n_before"),
             F.count(F.when(F.col("before") > 0, F.col("file"))).alias("files_before"),
         )
-        new = materialize(totals.where(self._over("n", "files") & ~self._over("n_before", "files_before")).select("k1", "k2"), "p2-crossed")
-        self.counts = merged.drop("before")
-        self.crossed = new if self.crossed is None else self.crossed.unionByName(new)
-        return new
-
-    def add(self, delta: DataFrame) -> DataFrame:
-        """Merge the delta; returns the lines (``row, line_no``) now to be removed that were not before, of old and new documents."""
-        new = self.merge(delta)
-        found = delta.join(small(self.crossed, SENT_KEYS // 16), ["k1", "k2"], "left_semi")
-        for old in self.deltas:
-            found = found.unionByName(old.join(small(new, SENT_KEYS // 16), ["k1", "k2"], "left_semi"))
-        self.deltas.append(delta)
-        return found.select("row", "line_no")
-
-
-def excessive(
-    df: DataFrame,
-    limits: Limits,
-    id_col: str = "row_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    file_col: str = "file_name",
-    deltas: int = 3,
-) -> tuple[DataFrame, LineCounts]:
-    """(``row, line_no`` of all lines to be removed, the count table), adding the files in ``deltas`` portions."""
-    keyed = line_keys(df, id_col, text_col, source_col, file_col).withColumn("portion", F.pmod(F.coalesce("file", F.lit(0)), F.lit(deltas)).cast("int"))
-    index = materialize(keyed, "p2-lines")
-    state, found = LineCounts(limits), None
-    for i in range(deltas):
-        now = state.add(index.where(F.col("portion") == i).drop("portion"))
-        found = now if found is None else found.unionByName(now)
-    return found, state
-
-
-def cleaned(df: DataFrame, crossed: DataFrame, id_col: str = "row_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``row, n_removed, text`` of every row. Rows without a crossed line pass unchanged; nothing is shuffled as long as the
-    crossed keys fit ``SENT_KEYS``, otherwise the texts are joined with their lines to be removed."""
-    def both(norm: Column) -> Column:
-        return F.when(norm.rlike(r"\p{L}"), _hashes(F.col("src"), norm)).otherwise(F.struct(F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2")))
-
-    keyed = df.select(
-        F.col(id_col).cast("long").alias("row"),
-        F.col(text_col).alias("text"),
-        F.col(source_col).alias("src"),
-        F.transform(F.split(F.col(text_col), "\n", -1), normal_line).alias("norm"),
-    ).select("row", "text", F.transform("norm", both).alias("k"))
-    if crossed.limit(SENT_KEYS + 1).count() > SENT_KEYS:
-        lines = keyed.select("row", F.posexplode("k").alias("pos", "k")).select("row", "pos", "k.k1", "k.k2")
-        drop = lines.join(crossed, ["k1", "k2"], "left_semi").groupBy("row").agg(F.collect_set("pos").alias("drop"))
-        return keyed.select("row", "text").join(drop, "row", "left").select(
-            "row",
-            F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_removed"),
-            F.when(F.col("drop").isNull(), F.col("text")).otherwise(
-                F.array_join(F.expr("filter(split(text, '\n', -1), (x, i) -> not array_contains(drop, i))"), "\n")
-            ).alias("text"),
-        )
-    pdf = crossed.toPandas()
-    sent = df.sparkSession.sparkContext.broadcast(set(zip(pdf["k1"].tolist(), pdf["k2"].tolist(), strict=True)))
-
-    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gone = sent.value
-        first = np.array(sorted({k for k, _ in gone}), np.int64)
-        for b in batches:
-            texts, removed = b.column(1).to_pylist(), np.zeros(b.num_rows, np.int64)
-            keys = b.column(2)
-            flat, ends = keys.flatten(), keys.offsets.to_numpy() - keys.offsets[0].as_py()
-            k1, k2 = flat.field("k1").to_numpy(), flat.field("k2").to_numpy()
-            hit = np.isin(k1, first)
-            before = np.concatenate([[0], np.cumsum(hit)])
-            for i in np.flatnonzero(before[ends[1:]] > before[ends[:-1]]):
-                own = slice(ends[i], ends[i + 1])
-                keys_ = zip(k1[own].tolist(), k2[own].tolist(), strict=True)
-                keep = [line for line, k in zip(texts[i].split("\n"), keys_, strict=True) if k not in gone]
-                removed[i] = texts[i].count("\n") + 1 - len(keep)
-                texts[i] = "\n".join(keep)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed), pa.array(texts, pa.string())], names=["row", "n_removed", "text"])
-
-    return keyed.mapInArrow(strip, "row long, n_removed long, text string")
+        self._write(totals.where(self._over("n", "files") & ~self._over("n_before", "files_before")).select(*_KEY), f"crossed/run={run}")
+        self.done.append(run)
+        if len([r for r in self.done if r > self.merged]) > COMPACT:
+            self._write(self.counts().groupBy(*_KEY, "file").agg(F.sum("n").alias("n")), f"counts/upto={run}")
+            self.merged = run
+
+    def add(
+        self, df: DataFrame, id_col: str = "row_id", text_col: str = "text", source_col: str = "source", file_col: str = "file_name", deltas: int = 1
+    ) -> DataFrame:
+        """Add rows as ``deltas`` runs, whole files each; returns the lines (``d1, d2, row, line_no``) now to be removed that were not
+        before, of old and new documents. The texts are read once."""
+        first = max(self.done, default=-1) + 1
+        runs = list(range(first, first + deltas))
+        run = F.pmod(F.coalesce("file", F.lit(0)), F.lit(deltas)) + first
+        keyed = line_keys(df, id_col, text_col, source_col, file_col, run)
+        parts = lambda: {int(x.removeprefix("run=")) for x in self._list("lines") if x.startswith("run=")}
+        for r in parts():
+            if r >= first:  # of an interrupted run
+                self._remove(f"lines/run={r}")
+        keyed.write.mode("append").option("compression", "zstd").partitionBy("run").parquet(f"{self.folder}/lines")
+        there = parts()
+        found = self.spark.createDataFrame([], "d1 long, d2 long, row long, line_no long")
+        for r in runs:
+            if r not in there:  # no file fell into it
+                continue
+            old = list(self.done)
+            self._merge(r)
+            now = self.lines([r]).join(small(self.crossed()), _KEY, "left_semi")
+            if old:
+                now = now.unionByName(self.lines(old).join(small(self.crossed([r])), _KEY, "left_semi"))
+            found = found.unionByName(now.select(*_DOC, "row", "line_no"))
+        return found
+
+
+def rebuilt(df: DataFrame, found: DataFrame, id_col: str = "row_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``row, n_removed, text`` of the documents that hold lines of ``found`` (rows of ``LineCounts.add``), without them."""
+    return cleaned(df, found, id_col, text_col, source_col, "inner")
+
+
+def cleaned(df: DataFrame, found: DataFrame, id_col: str = "row_id", text_col: str = "text", source_col: str = "source", how: str = "left") -> DataFrame:
+    """``row, n_removed, text`` of every row without its lines of ``found``; others pass unchanged."""
+    drop = found.groupBy(*_DOC).agg(F.collect_set("line_no").alias("drop"))
+    row, text = F.col(id_col).cast("long"), F.col(text_col)
+    joined = df.select(*document(row, text, F.col(source_col)), row.alias("row"), text.alias("text")).join(drop, _DOC, how)
+    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("drop", (i + 1).cast("long"))), "\n")
+    return joined.select("row", F.greatest(F.size("drop"), F.lit(0)).cast("long").alias("n_removed"), F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept).alias("text"))
