@@ -1,8 +1,10 @@
-"""Fixed-size tables of slots (counts that saturate at two) built per partition, merged by segment.
+"""Tables of slots of a fixed size, built per partition and merged by segment: a once-seen and a repeatedly-seen Bloom filter,
+and counts of how often a digest occurs.
 
-A partition emits only its non-empty segments; equal segments are merged in two steps, so a task holds one segment of a
-32nd of the partitions at most. The merged table's size depends only on the number of
-slots, never on the rows, and is therefore safe to send to the driver and to every task.
+All planes are packed, in the driver, in broadcasts and in workers; nothing is unpacked to a byte a slot but one segment at a
+time. A partition emits only its non-empty segments, as a list of slots where that is shorter than the bits; equal segments are merged in two
+steps, so a task holds one segment of a 32nd of the partitions at most. A table's size depends only on the number of slots,
+never on the rows, and is therefore safe to send to the driver and to every task.
 """
 
 from __future__ import annotations
@@ -16,8 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of bits in a segment; groups into which the partitions are folded before the last merge.
-SEG, FOLDS = 1 << 15, 32
+#: Bits of the number of slots in a segment; groups into which the partitions are folded before the last merge.
+SEG, FOLDS = 16, 32
 
 
 def slot_bits(items: int, per_item: int = 16, least: int = 16, most: int = 27) -> int:
@@ -32,6 +34,12 @@ def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (u & mask).astype(np.int64), ((mixed >> np.uint64(20)) & mask).astype(np.int64)
 
 
+def _both(h: np.ndarray, bits: int) -> np.ndarray:
+    """All slots of the hashes; an item whose two slots coincide does not count itself twice."""
+    first, second = _slots(h, bits)
+    return np.concatenate([first, second[first != second]])
+
+
 def _merge(parts: DataFrame, merge: Callable[[list[bytes]], bytes]) -> DataFrame:
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"seg": [key[0]], "pid": [0], "data": [merge(list(pdf["data"]))]})
@@ -49,44 +57,125 @@ def _emit(per_seg: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def seen_table(df: DataFrame, columns: list[str], bits: int) -> np.ndarray:
-    """Slot counts (0, 1, 2 = more than once) of all non-null long hashes in ``columns``: a once-seen and a repeatedly-seen
-    Bloom filter in one, two slots a hash. An item added twice finds 2 in both its slots, whatever partitions it came from."""
+def _shorter(plane: np.ndarray) -> bytes:
+    """A segment's bits, or the list of those set if it is shorter."""
+    if 2 * int(np.bitwise_count(plane).sum()) < len(plane):
+        return np.flatnonzero(np.unpackbits(plane)).astype(np.uint16).tobytes()
+    return plane.tobytes()
+
+
+def _plane(data: bytes, size: int) -> np.ndarray:
+    if len(data) == size:
+        return np.frombuffer(data, np.uint8)
+    out = np.zeros(size * 8, np.uint8)
+    out[np.frombuffer(data, np.uint16)] = 1
+    return np.packbits(out)
+
+
+def _pack(planes: tuple[np.ndarray, np.ndarray]) -> bytes:
+    first, second = map(_shorter, planes)
+    return len(first).to_bytes(4, "little") + first + second
+
+
+def _unpack(data: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    cut = 4 + int.from_bytes(data[:4], "little")
+    return _plane(data[4:cut], size), _plane(data[cut:], size)
+
+
+class Planes:
+    """Packed planes of the slots seen, and of those seen again."""
+
+    def __init__(self, bits: int) -> None:
+        self.once, self.again = (np.zeros(max(1, (1 << bits) // 8), np.uint8) for _ in range(2))
+
+    def add(self, slots: np.ndarray) -> None:
+        if not len(slots):
+            return
+        u, n = np.unique(slots, return_counts=True)
+        byte, bit = u >> 3, (128 >> (u & 7)).astype(np.uint8)
+        starts = np.concatenate([[0], np.flatnonzero(byte[1:] != byte[:-1]) + 1])
+        at, new = byte[starts], np.bitwise_or.reduceat(bit, starts)
+        self.again[at] |= np.bitwise_or.reduceat(np.where(n > 1, bit, 0).astype(np.uint8), starts) | (self.once[at] & new)
+        self.once[at] |= new
+
+
+def seen_table(df: DataFrame, columns: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(once, again): packed planes of the slots that any, and that several, of the non-null long hashes in ``columns`` fall into,
+    two slots a hash. An item added twice finds both its slots set in ``again``, whatever partitions it came from."""
+    size = max(1, min(1 << SEG, 1 << bits) // 8)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.uint8)
+        planes = Planes(bits)
         for b in batches:
             for c in columns:
-                h = b.column(c).drop_null().to_numpy(zero_copy_only=False)
-                first, second = _slots(h, bits)
-                # an item whose two slots coincide must not count itself twice
-                both = np.concatenate([first, second[first != second]])
-                slot, n = np.unique(both, return_counts=True)
-                counts[slot] = np.minimum(2, counts[slot] + np.minimum(n, 2).astype(np.uint8))
-        size = min(SEG * 8, len(counts))
-        blocks = counts.reshape(-1, size)
-        yield from _emit(
-            (i, np.concatenate([np.packbits(blocks[i] > 0), np.packbits(blocks[i] > 1)]).tobytes())
-            for i in np.flatnonzero(blocks.any(axis=1))
-        )
+                planes.add(_both(b.column(c).drop_null().to_numpy(zero_copy_only=False), bits))
+        once, again = planes.once.reshape(-1, size), planes.again.reshape(-1, size)
+        yield from _emit((i, _pack((once[i], again[i]))) for i in np.flatnonzero(once.any(axis=1)))
 
     def merge(parts: list[bytes]) -> bytes:
-        once = repeated = None
+        once, again = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
         for p in parts:
-            a = np.frombuffer(p, np.uint8)
-            o, r = a[: len(a) // 2], a[len(a) // 2 :]
-            once, repeated = (o, r) if once is None else (once | o, repeated | r | (once & o))
-        return np.concatenate([once, repeated]).tobytes()
+            o, r = _unpack(p, size)
+            once, again = once | o, again | r | (once & o)
+        return _pack((once, again))
+
+    out = np.zeros((2, max(1, (1 << bits) // 8)), np.uint8)
+    for row in _merge(df.select(*columns).mapInArrow(build, "seg int, pid int, data binary"), merge).toLocalIterator():
+        at = slice(row["seg"] * size, (row["seg"] + 1) * size)
+        out[0, at], out[1, at] = _unpack(bytes(row["data"]), size)
+    return out[0], out[1]
 
-    size = min(SEG * 8, 1 << bits)
-    out = np.zeros(((1 << bits) // size, size), np.uint8)
-    for row in _merge(df.select(*columns).mapInArrow(build, "seg int, pid int, data binary"), merge).collect():
-        a = np.frombuffer(bytes(row["data"]), np.uint8)
-        out[row["seg"]] = np.unpackbits(a[: len(a) // 2]) + np.unpackbits(a[len(a) // 2 :])
-    return out.reshape(-1)
 
+def _get(plane: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (plane[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
 
-def probe(table: np.ndarray, bits: int, h: np.ndarray, least: int = 1) -> np.ndarray:
-    """Which hashes may have been added ``least`` (1 or 2) times; never false for one that was."""
+
+def probe(plane: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
+    """Which hashes may be in a plane (added once or more, or several times); never false for one that is."""
     first, second = _slots(h, bits)
-    return (table[first] >= least) & (table[second] >= least)
+    return (_get(plane, first) & _get(plane, second)).astype(bool)
+
+
+#: Occurrences that levels 0 to 15 of a count table stand for, at most.
+LEVELS = np.array([0, *(1 << np.arange(15))])
+
+
+def _level(n: np.ndarray) -> np.ndarray:
+    return np.searchsorted(LEVELS, np.minimum(n, LEVELS[-1])).astype(np.uint8)
+
+
+def count_table(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """How often the long hashes in ``column`` occur, as levels of four bits (``LEVELS``), two slots a byte; a partition's counts
+    and their sums are exact up to 65,535 a slot."""
+    size = min(1 << SEG, 1 << bits)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[int, np.ndarray] = {}
+        for b in batches:
+            u, n = np.unique(_both(b.column(0).drop_null().to_numpy(zero_copy_only=False), bits), return_counts=True)
+            seg = u >> SEG
+            cuts = np.flatnonzero(np.diff(seg)) + 1
+            for slots, more in zip(np.split(u, cuts), np.split(n, cuts), strict=True):
+                if len(slots):
+                    of = counts.setdefault(int(slots[0] >> SEG), np.zeros(size, np.uint16))
+                    at = slots & (size - 1)
+                    of[at] = np.minimum(of[at].astype(np.int64) + more, 65535)
+        yield from _emit((i, c.tobytes()) for i, c in counts.items())
+
+    def merge(parts: list[bytes]) -> bytes:
+        total = np.zeros(size, np.uint32)
+        for p in parts:
+            total = np.minimum(total + np.frombuffer(p, np.uint16), 65535)
+        return total.astype(np.uint16).tobytes()
+
+    out = np.zeros(max(1, (1 << bits) // 2), np.uint8)
+    for row in _merge(df.select(column).mapInArrow(build, "seg int, pid int, data binary"), merge).toLocalIterator():
+        level = _level(np.frombuffer(bytes(row["data"]), np.uint16))
+        out[row["seg"] * (size // 2) : (row["seg"] + 1) * (size // 2)] = level[::2] << 4 | level[1::2]
+    return out
+
+
+def counted(table: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
+    """The level of each hash's count: never under the true one's, 0 only for hashes that do not occur."""
+    level = lambda slot: (table[slot >> 1] >> (4 * (1 - (slot & 1))).astype(np.uint8)) & 15
+    return np.minimum(*(level(s) for s in _slots(h, bits)))

@@ -2,7 +2,8 @@
 
 Method: every row gets the digest of its canonical text and, if it consists only of named fields, that of its sorted
 name-value pairs. Bloom filters of once-seen and repeatedly-seen digests are built per partition and merged; only rows
-with a possibly repeated digest are shuffled, for exact grouping by 128-bit digests; all others are singletons.
+with a possibly repeated digest are shuffled, for exact grouping by 128-bit digests; all others are singletons. The filters
+are split by ranges of hashes, as many as the rows need.
 
 Defined results: null texts and texts without a letter or digit belong to no record; repeated rows count as copies;
 an empty table gives an empty result; of several rows the smallest id stands for the record. Other columns are ignored.
@@ -12,17 +13,21 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, new_folder
 from . import bits
 
+#: Slots of the filters for each row; ranges whose rows are marked by one job.
+SLOTS, MARKED_AT_ONCE = 16, 32
+
 _NO_ALNUM = re.compile(r"[\W_]+")
 _BULLET = re.compile(r"^\s*(?:[-*•–·+>]+|\(?\d{1,3}[.)])\s+")
 _SIGN = re.compile(r"[:=]")
@@ -111,39 +116,35 @@ def digests(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return picked.mapInArrow(keys, "row long, text_key binary, field_key binary")
 
 
-def _longs(b: pa.RecordBatch, column: str) -> pa.Array:
-    """The first eight bytes of each key as a long; null where the key is."""
-    c = b.column(column)
-    known = c.is_valid().to_numpy(zero_copy_only=False)
-    joined = b"".join(x[:8] for x in c.to_pylist() if x is not None)
-    out = np.zeros(len(c), np.int64)
-    out[known] = np.frombuffer(joined, np.int64)
-    return pa.array(out, mask=~known)
-
+def _hits(plane: np.ndarray, n_bits: int, df: DataFrame) -> Callable[[Column], Column]:
+    """Whether a hash may have been seen several times; 16 MB at most are sent to a task, and stay packed there."""
+    sent = df.sparkSession.sparkContext.broadcast(plane)
 
-def _as_longs(keys: DataFrame) -> DataFrame:
-    def to(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([_longs(b, "text_key"), _longs(b, "field_key")], names=["a", "b"])
+    @F.pandas_udf("boolean")
+    def hit(h: pd.Series) -> pd.Series:
+        return pd.Series(bits.probe(sent.value, n_bits, h.to_numpy(np.int64)))
 
-    return keys.select("text_key", "field_key").mapInArrow(to, "a long, b long")
+    return hit
 
 
-def _may_repeat(keys: DataFrame, table: np.ndarray, n_bits: int) -> DataFrame:
-    sent = keys.sparkSession.sparkContext.broadcast(np.packbits(np.stack([table > 0, table > 1])))
+def _marked(keys: DataFrame, parts: int, n_bits: int, hash_col: str, label: str) -> DataFrame:
+    """``keys`` with ``again``. The rows lie in folders by range of their hash; each range has filters of its own, built from and
+    applied to its folder only, so slots grow with the rows while a task holds those of one range."""
+    path = new_folder(keys.sparkSession, label)
+    for at in range(0, parts, MARKED_AT_ONCE):
+        out = None
+        for r in range(at, min(parts, at + MARKED_AT_ONCE)):
+            own = keys.where(F.col("part") == r)
+            _, again = bits.seen_table(own, [hash_col], n_bits)
+            now = own.withColumn("again", _hits(again, n_bits, keys)(hash_col))
+            out = now if out is None else out.unionByName(now)
+        out.drop("part").write.mode("append").option("compression", "zstd").parquet(path)
+    return keys.sparkSession.read.schema(out.drop("part").schema).parquet(path)
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = np.unpackbits(sent.value).reshape(2, -1)
-        counts = planes[0] + planes[1]
-        for b in batches:
-            hit = np.zeros(b.num_rows, bool)
-            for c in ("text_key", "field_key"):
-                known = b.column(c).is_valid().to_numpy(zero_copy_only=False)
-                h = _longs(b, c).fill_null(0).to_numpy(zero_copy_only=False)
-                hit |= known & bits.probe(counts, n_bits, h, least=2)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hit)], names=[*b.schema.names, "again"])
 
-    return keys.mapInArrow(mark, "row long, text_key binary, field_key binary, again boolean")
+def _range(hash_col: str, parts: int) -> Column:
+    """The range that a hash lies in, by bits that the slots make little use of."""
+    return F.pmod(F.shiftrightunsigned(hash_col, 40), F.lit(parts)).cast("int").alias("part")
 
 
 def _group(possible: DataFrame) -> DataFrame:
@@ -173,19 +174,35 @@ def _group(possible: DataFrame) -> DataFrame:
     return possible.select("row", "text_key").join(found, "text_key").select("row", "record")
 
 
-def records(df: DataFrame, id_col: str = "row_id", text_col: str = "text", slot_bits: int | None = None, most_bits: int = 27) -> tuple[DataFrame, DataFrame]:
-    """(members, singletons): ``row, record`` of rows with a possibly repeated digest, and ``row, record`` of all others.
+def possible_repeats(df: DataFrame, id_col: str = "row_id", text_col: str = "text", slot_bits: int | None = None, most_bits: int = 27) -> tuple[DataFrame, DataFrame]:
+    """(rows whose digests may repeat, rows whose digests do not): ``row, text_key, field_key`` each.
 
-    The filter takes 16 slots a row up to ``2**most_bits`` slots (2 bits each, so its broadcast has at most 32 MB); beyond
-    that it lets more rows through to the exact grouping, and results stay the same.
+    A range of hashes has 16 slots a row and at most ``2**most_bits`` slots of two bits (32 MB while it is built, 16 MB in use); with more rows
+    there are more ranges, so the share of rows let through by chance stays at about 1.4 %.
     """
-    keys = materialize(digests(df, id_col, text_col), "p4-keys")
-    n_bits = slot_bits or bits.slot_bits(keys.count(), 16, most=most_bits)
-    table = bits.seen_table(_as_longs(keys), ["a", "b"], n_bits)
-    marked = materialize(_may_repeat(keys, table, n_bits), "p4-marked")
-    members = _group(marked.where("again"))
-    alone = marked.where(~F.col("again")).select("row", F.col("row").alias("record"))
-    return members, alone
+    keys = digests(df, id_col, text_col).withColumn("h", F.xxhash64("text_key"))
+    keys = materialize(keys, "p4-keys")
+    rows = keys.count()
+    n_bits = slot_bits or bits.slot_bits(rows, 16, most=most_bits)
+    parts = max(1, -(-rows * SLOTS // (1 << most_bits))) if slot_bits is None else 1
+    if parts > 1:
+        n_bits = most_bits
+    ranged = lambda x, label: materialize(x.select("*", _range("h", parts)), label, by="part") if parts > 1 else x.withColumn("part", F.lit(0))
+    by_text = _marked(ranged(keys, "p4-ranges"), parts, n_bits, "h", "p4-marked")
+    # rows of named fields are looked up by those too; all of them fill the filters
+    fields = by_text.where("field_key is not null").withColumnRenamed("again", "sure").withColumn("h", F.xxhash64("field_key"))
+    by_field = _marked(ranged(fields, "p4-field-ranges"), parts, n_bits, "h", "p4-field-marked").where("not sure")
+    out = lambda x: x.select("row", "text_key", "field_key")
+    return (
+        out(by_text.where("again")).unionByName(out(by_field.where("again"))),
+        out(by_text.where("not again and field_key is null")).unionByName(out(by_field.where("not again"))),
+    )
+
+
+def records(df: DataFrame, id_col: str = "row_id", text_col: str = "text", **options: int) -> tuple[DataFrame, DataFrame]:
+    """(members, singletons): ``row, record`` of rows with a possibly repeated digest, and ``row, record`` of all others."""
+    possible, alone = possible_repeats(df, id_col, text_col, **options)
+    return _group(possible), alone.select("row", F.col("row").alias("record"))
 
 
 def copies(df: DataFrame, id_col: str = "row_id", text_col: str = "text", **options: int) -> DataFrame:

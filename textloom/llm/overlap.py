@@ -201,11 +201,11 @@ def hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _sliced(recs: DataFrame, most: float, least: int, whole: bool, wanted: tuple[np.ndarray, int] | None, members: bool) -> DataFrame:
     """Rows of kind 0: chunks (``whole``: all windows), only those in the filter; and of kind 1: a row for each record."""
-    sent = recs.sparkSession.sparkContext.broadcast(wanted and (np.packbits(wanted[0] > 0), wanted[1]))
+    sent = recs.sparkSession.sparkContext.broadcast(wanted)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[bytes] = set()
-        bloom = sent.value and (np.unpackbits(sent.value[0]), sent.value[1])
+        bloom = sent.value
         for b in batches:
             u, ends = hashed(b.column("flat"))
             n = np.diff(ends, prepend=0)
@@ -292,11 +292,11 @@ def cross_split(
     recs = records(df, id_col, text_col, split_col)
     train, val = recs.where("split = 'train'"), recs.where("split = 'val'")
     n_bits = bits.slot_bits(100 * df.where(F.col(split_col) == "val").count(), 8, most=filter_bits)
-    in_val = bits.seen_table(_sliced(val, most, least, True, None, False).select("digest"), ["digest"], n_bits)
+    in_val, _ = bits.seen_table(_sliced(val, most, least, True, None, False).select("digest"), ["digest"], n_bits)
     cut = materialize(_sliced(train, most, least, False, (in_val, n_bits), True), "p1-train")
     t = cut.where("kind = 0").select(*_CHUNK)
     n_bits = bits.slot_bits(t.count(), 8, most=filter_bits)
-    in_train = bits.seen_table(t.select("digest"), ["digest"], n_bits)
+    in_train, _ = bits.seen_table(t.select("digest"), ["digest"], n_bits)
     seen = materialize(_sliced(val, most, least, True, (in_train, n_bits), True), "p1-val")
     v = seen.where("kind = 0").select(*_CHUNK)
     k = F.floor(F.greatest("t.n", "v.n") * most + 1e-9)
