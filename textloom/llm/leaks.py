@@ -1,13 +1,16 @@
 """Problem 6: passages of evaluation items inside corpus documents.
 
-Method: q-gram lemma filtering. Two texts within ``e`` edits over ``L`` characters share at least ``L - q + 1 - q e`` character
-q-grams close to one diagonal. All q-grams of the passages are known to every task; a document is first reduced to places
-with enough known q-grams in a row's length, there the shared q-grams are counted per item in overlapping diagonal bands,
-and bands that meet the bound for the item's shortest run of eight words are verified by alignment along the band: runs of
-eight words or more that stand in both texts are what counts, and they cover the passage's words.
+Method: q-gram lemma filtering. A run of eight words, ``L`` characters with the spaces around it, that stands in a document with
+at most ``e`` edits shares at least ``L - q + 1 - q e`` character q-grams with it, all of them within a band of diagonals. So of
+each run the ``q e + 1`` rarest q-grams are indexed, one of which must be found; where one is, the region must hold enough known
+q-grams at all, then enough of the run's own ones, counted in overlapping bands of ``2 (e + 1)`` diagonals; regions that meet
+the bound are verified by alignment within their band. A passage's words in verified runs are covered.
+
+Runs that several items share are one entry of the index: they are counted and aligned once, and expanded to their items
+afterwards, and what follows a shared run is found by its own rare q-grams. Stock passages therefore cost their length once.
 
 Items are a stated query set: they are sent to the tasks in blocks of at most ``BLOCK_CHARS`` characters, each block
-against all documents, so the broadcast is bounded whatever their number; documents are never shuffled.
+against all documents, so a task's tables stay under 64 MB whatever the number of items; documents are never shuffled.
 
 Defined results: null and blank texts match nothing; passages under eight words match nothing; repeated documents and items
 are reported each; an empty table gives an empty result. Other columns are ignored.
@@ -19,14 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
 from .words import flat
 
-#: Characters of passages that are sent at once, and characters hashed at once in a task.
-BLOCK_CHARS, SLICE = 8_000_000, 1 << 20
+#: Characters of passages that are sent at once (some 40 bytes of tables each with an edit budget of 1), and characters of documents
+#: searched at once in a task.
+BLOCK_CHARS, SLICE = 1_500_000, 1 << 20
 _B = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Cost of what no alignment may do.
+_NEVER = 1 << 12
 
 
 def _codes(text: str) -> np.ndarray:
@@ -50,121 +59,198 @@ def grams(codes: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
+def gram_length(run: int, edits: int) -> int:
+    """The longest length, a multiple of four and at most twelve, for which the shortest run of words still must share a q-gram."""
+    q = min(12, (2 * run + 1) // (edits + 1) // 4 * 4)
+    if q < 4:
+        raise ValueError(f"{edits} edits are too many for runs of {run} words")
+    return q
+
+
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, position) of all positions of stretches."""
+    row = np.repeat(np.arange(len(starts)), lengths)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + starts[row]
+
+
 class Passages:
-    """The q-grams of a block of items, sorted, with their places; and the words' places of each passage."""
-
-    def __init__(self, items: list[tuple[int, str]], q: int, run: int, edits: int) -> None:
-        self.q, self.run, self.edits = q, run, edits
-        self.ids, self.codes, self.words, least = [], [], [], []
-        for item, text in items:
-            codes = _codes(text)
-            spaces = np.flatnonzero(codes == 32)
-            if len(spaces) <= run:
-                continue
-            # the shortest run of words with the spaces around it
-            shortest = int((spaces[run:] - spaces[:-run]).min()) + 1
-            need = shortest - q + 1 - q * edits
-            self.ids.append(item)
-            self.codes.append(codes)
-            self.words.append(spaces)
-            least.append(max(1, need))
-        self.need = np.array(least, np.int64)
-        hashes = [grams(c, q) for c in self.codes]
-        self.item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
-        self.place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
-        every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    """The index of a block of items: distinct runs of words, their rarest q-grams, and the items that hold them."""
+
+    def __init__(self, items: list[tuple[int, str]], run: int = 8, edits: int = 0) -> None:
+        self.run, self.edits, self.q = run, edits, gram_length(run, edits)
+        texts = [(item, text) for item, text in items if text.count(" ") > run]
+        self.ids = np.array([item for item, _ in texts], np.int64)
+        self.n_words = np.array([text.count(" ") - 1 for _, text in texts], np.int32)
+        known: dict[bytes, int] = {}
+        start, length, of_run, of_item, of_word, at = [], [], [], [], [], 0
+        for i, (_, text) in enumerate(texts):
+            spaces = np.flatnonzero(_codes(text) == 32)
+            for k, (a, b) in enumerate(zip(spaces[:-run].tolist(), spaces[run:].tolist(), strict=True)):
+                key = xxhash.xxh3_128_digest(text[a : b + 1].encode("utf-8", "surrogatepass"))
+                n = known.setdefault(key, len(start))
+                if n == len(start):
+                    start.append(at + a)
+                    length.append(b + 1 - a)
+                of_run.append(n)
+                of_item.append(i)
+                of_word.append(k)
+            at += len(text)
+        self.codes = _codes("".join(text for _, text in texts))
+        self.grams = grams(self.codes, self.q)
+        self.start, self.length = np.array(start, np.int64), np.array(length, np.int32)
+        self.need = self.length - self.q + 1 - self.q * edits
+        by = np.argsort(of_run, kind="stable")
+        self.item, self.word = np.array(of_item, np.int32)[by], np.array(of_word, np.int32)[by]
+        self.ends = np.cumsum(np.bincount(np.array(of_run, np.int64), minlength=len(start)))
+        self._post()
+
+    def _post(self) -> None:
+        """Index each run by its rarest q-grams (among equals, the same ones in all runs)."""
+        _, which, times = np.unique(self.grams, return_inverse=True, return_counts=True)
+        m = self.q * self.edits + 1
+        order = (times[which].astype(np.uint64) << np.uint64(32)) | ((self.grams * _B) >> np.uint64(32)) if len(self.grams) else np.zeros(0, np.uint64)
+        hashes, runs, places, used = [], [], [], np.zeros(len(self.grams), bool)
+        for at in range(0, len(self.start), 4096):
+            start, n = self.start[at : at + 4096], self.length[at : at + 4096] - self.q + 1
+            column = np.arange(n.max())
+            inside = column[None] < n[:, None]
+            cell = np.minimum(start[:, None] + column[None], len(self.grams) - 1)
+            used[cell[inside]] = True
+            keys = np.where(inside, order[cell], np.uint64(2**64 - 1))
+            rarest = np.argpartition(keys, m - 1, axis=1)[:, :m] if keys.shape[1] > m else np.broadcast_to(column, keys.shape)
+            hashes.append(self.grams[start[:, None] + rarest].ravel())
+            runs.append(np.repeat(np.arange(at, at + len(start)), m))
+            places.append(rarest.ravel())
+        join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
+        every, runs_, places_ = join(hashes, np.uint64), join(runs, np.int32), join(places, np.int32)
         by = np.argsort(every, kind="stable")
-        self.hashes, self.item, self.place = every[by], self.item[by], self.place[by]
-        self.bits = max(16, int(np.ceil(np.log2(max(1, len(every)) * 64))))
-        self.seen = np.zeros(1 << self.bits, bool)
-        self.seen[(every >> np.uint64(64 - self.bits)).astype(np.int64)] = True
-
-    def _places(self, codes: np.ndarray) -> np.ndarray:
-        """Places of the document that may hold a known q-gram, in stretches that hold enough of them."""
-        least = int(self.need.min())
-        length = least + self.q * self.edits
-        out, step = [], SLICE
-        for at in range(0, max(0, len(codes) - self.q + 1), step):
-            part = codes[max(0, at - length) : at + step + self.q - 1 + length]
-            hit = self.seen[(grams(part, self.q) >> np.uint64(64 - self.bits)).astype(np.int64)]
-            if hit.sum() < least:
-                continue
-            count = np.concatenate([[0], np.cumsum(hit)])
-            ends = np.minimum(np.arange(len(hit)) + length, len(hit))
-            dense = count[ends] - count[:-1] >= least
-            if not dense.any():
-                continue
-            edge = np.zeros(len(hit) + 1, np.int64)
-            starts = np.flatnonzero(dense)
-            np.add.at(edge, starts, 1)
-            np.add.at(edge, ends[starts], -1)
-            good = hit & (np.cumsum(edge[:-1]) > 0)
-            place = np.flatnonzero(good) + max(0, at - length)
-            out.append(place[(place >= at) & (place < at + step)])
-        return np.concatenate(out) if out else np.zeros(0, np.int64)
-
-    def matches(self, codes: np.ndarray, doc_starts: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(document, item, covered words, passage words) for the documents in ``codes``, one after the other."""
-        if not self.ids or len(codes) < self.q:
-            return []
-        places = self._places(codes)
-        if not len(places):
-            return []
-        h = self._at(codes, places)
-        low, high = np.searchsorted(self.hashes, h), np.searchsorted(self.hashes, h, side="right")
-        n = high - low
-        doc_place = np.repeat(places, n)
-        which = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        item, place = self.item[which], self.place[which]
-        doc = np.searchsorted(doc_starts, doc_place, side="right") - 1
-        # overlapping bands: each diagonal lies in two, half a band apart
-        half = self.edits + 1
-        # keys fit 63 bits: pages and blocks bound the documents, items and places
-        least = -int(place.max(initial=0)) - 2 * half
-        diagonal = doc_place - doc_starts[doc] - place - least
-        width = 2 * half if self.edits else 1
-        bands = (int(diagonal.max(initial=0)) + half) // width + 2
-        pair = doc * len(self.ids) + item
-        found: dict[tuple[int, int], set[int]] = {}
-        for shift in (0, half) if self.edits else (0,):
-            groups, count = np.unique(pair * bands + (diagonal + shift) // width, return_counts=True)
-            keep = count >= self.need[groups // bands % len(self.ids)]
-            for g in groups[keep].tolist():
-                start = g % bands * width - shift + least
-                found.setdefault(divmod(g // bands, len(self.ids)), set()).update(range(start, start + width))
-        out = []
-        ends = np.append(doc_starts[1:], len(codes))
-        for (doc_no, item_no), diagonals in found.items():
-            covered = self._aligned(codes[doc_starts[doc_no] : ends[doc_no]], item_no, diagonals)
-            if covered:
-                out.append((doc_no, self.ids[item_no], covered, len(self.words[item_no]) - 1))
+        self.hashes, self.posted, self.offset = every[by], runs_[by], places_[by]
+        self.bits = max(16, int(np.ceil(np.log2(max(1, len(self.grams)) * 16))))
+        self.known, self.indexed = (np.packbits(self._marks(h)) for h in (self.grams[used], every))
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _marks(self, h: np.ndarray) -> np.ndarray:
+        out = np.zeros(1 << self.bits, bool)
+        out[self._slot(h)] = True
         return out
 
-    def _at(self, codes: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """q-gram hashes at the places, stretch by stretch."""
-        out = np.empty(len(places), np.uint64)
-        cuts = np.flatnonzero(np.diff(places) > 4 * self.q) + 1
-        for a, b in zip(np.concatenate([[0], cuts]), np.append(cuts, len(places)), strict=True):
-            start = places[a]
-            out[a:b] = grams(codes[start : places[b - 1] + self.q], self.q)[places[a:b] - start]
+    def _hit(self, table: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        return (table[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
+
+    def matches(self, codes: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, item, words in runs within the edits, words in exact runs, passage words) for the documents in ``codes``, one after
+        the other with a character between them."""
+        none = (np.zeros(0, np.int64),) * 5
+        if not len(self.start) or len(codes) < self.q:
+            return none
+        doc_ends = np.append(doc_starts[1:] - 1, len(codes))
+        h = grams(codes, self.q)
+        slot = self._slot(h)
+        count = np.concatenate([[0], np.cumsum(self._hit(self.known, slot))])
+        place = np.flatnonzero(self._hit(self.indexed, slot))
+        low = np.searchsorted(self.hashes, h[place])
+        times = np.searchsorted(self.hashes, h[place], side="right") - low
+        if times.sum() > max(100_000, 4 * len(place)):  # a document that repeats itself is looked at once
+            once = self._distinct(codes, place, np.searchsorted(doc_starts, place, side="right"))
+            place, low, times = place[once], low[once], times[once]
+        row, which = _ragged(low, times)
+        run, region = self.posted[which], place[row] - self.offset[which]
+        doc = np.searchsorted(doc_starts, place[row], side="right") - 1
+        # the region must hold enough known q-grams, whatever runs they are of
+        e, n = self.edits, self.length[run] - self.q + 1
+        enough = count[np.clip(region + n + e, 0, len(h))] - count[np.clip(region - e, 0, len(h))] >= self.need[run]
+        # and lie in its document
+        enough &= (region + e >= doc_starts[doc]) & (region + self.length[run] - e <= doc_ends[doc])
+        run, region, doc = run[enough], region[enough], doc[enough]
+        half = e + 1
+        if e:  # each diagonal lies in two bands, half a band apart
+            first = np.concatenate([region // half, region // half - 1]) * half
+            run, doc = np.tile(run, 2), np.tile(doc, 2)
+        else:
+            first = region
+        width = 2 * half if e else 1
+        # bands of one run of words are counted once
+        _, once = np.unique(np.stack([run.astype(np.int64), first]), axis=1, return_index=True)
+        run, first, doc = run[once], first[once], doc[once]
+        kept = []
+        for at in range(0, len(run), 20_000):  # bounded memory
+            part = slice(at, at + 20_000)
+            kept.append(at + np.flatnonzero(self._shared(h, run[part], first[part], width) >= self.need[run[part]]))
+        keep = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+        run, first, doc = run[keep], first[keep], doc[keep]
+        apart = np.concatenate(
+            [self._aligned(codes, run[a : a + 20_000], first[a : a + 20_000], width, doc_starts[doc[a : a + 20_000]], doc_ends[doc[a : a + 20_000]]) for a in range(0, len(run), 20_000)]
+            or [np.zeros(0, np.int64)]
+        )
+        near = apart <= e
+        if not near.any():
+            return none
+        pair, covered = self._covered(doc[near], run[near])
+        exact_pair, exact = self._covered(doc[apart == 0], run[apart == 0])
+        both = np.zeros(len(pair), np.int64)
+        both[np.searchsorted(pair, exact_pair)] = exact
+        item = pair % len(self.ids)
+        return pair // len(self.ids), self.ids[item], covered, both, self.n_words[item].astype(np.int64)
+
+    def _distinct(self, codes: np.ndarray, place: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """The first of all places of a document around which as much of the text is the same as any comparison reads."""
+        reach = int(self.length.max()) + self.q + 2 * (self.edits + 1)
+        low, high = np.maximum(place - reach, 0), np.minimum(place + reach, len(codes))
+        with np.errstate(over="ignore"):
+            power = np.multiply.accumulate(np.full(len(codes), _B, np.uint64))
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power, dtype=np.uint64)])
+            text = (total[high] - total[low]) * np.multiply.accumulate(np.full(len(codes), _INVERSE, np.uint64))[low]
+            key = (text ^ (text >> np.uint64(31))) * _B + doc.astype(np.uint64) * _INVERSE + (high - place).astype(np.uint64) + ((place - low).astype(np.uint64) << np.uint64(32))
+        return np.unique(key, return_index=True)[1]
+
+    def _shared(self, h: np.ndarray, run: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
+        """How many of each run's q-grams stand in the document on the diagonals from ``first`` on."""
+        row, at = _ragged(self.start[run], self.length[run] - self.q + 1)
+        mine, place = self.grams[at], first[row] + at - self.start[run][row]
+        found = np.zeros(len(row), bool)
+        for d in range(width):
+            there = place + d
+            found |= (there >= 0) & (there < len(h)) & (h[np.clip(there, 0, len(h) - 1)] == mine)
+        return np.bincount(row, found, len(run)).astype(np.int64)
+
+    def _aligned(self, codes: np.ndarray, run: np.ndarray, first: np.ndarray, width: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Fewest edits between each run and a stretch of its document (from ``low`` to ``high``), on paths within the band."""
+        length, start = self.length[run].astype(np.int64), self.start[run]
+        out = np.full(len(run), _NEVER, np.int64)
+        live, cost = np.arange(len(run)), np.zeros((len(run), width), np.int64)
+        for i in range(int(length.max(initial=0))):
+            mine = self.codes[start[live] + i][:, None]
+            place = (first[live] + i)[:, None] + np.arange(width)[None]
+            inside = (place >= low[live][:, None]) & (place < high[live][:, None])
+            theirs = codes[np.clip(place, 0, len(codes) - 1)]
+            new = cost + np.where(inside, theirs != mine, _NEVER)
+            new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)  # a character of the run is not there
+            for t in range(1, width):  # one more is there
+                new[:, t] = np.minimum(new[:, t], new[:, t - 1] + np.where(inside[:, t], 1, _NEVER))
+            done = length[live] == i + 1
+            out[live[done]] = new[done].min(axis=1)
+            # those beyond the budget cannot come back
+            stay = ~done & (new.min(axis=1) <= self.edits)
+            live, cost = live[stay], new[stay]
+            if not len(live):
+                break
         return out
 
-    def _aligned(self, doc: np.ndarray, item: int, diagonals: set[int]) -> int:
-        """Passage words in runs of ``run`` or more that stand in the document along one of the diagonals."""
-        passage, spaces = self.codes[item], self.words[item]
-        covered = np.zeros(len(spaces) - 1, bool)
-        for d in diagonals:
-            low, high = max(0, -d), min(len(passage), len(doc) - d)
-            if high - low < self.q:
-                continue
-            equal = np.zeros(len(passage) + 1, np.int64)
-            equal[low + 1 : high + 1] = passage[low:high] == doc[low + d : high + d]
-            total = np.cumsum(equal)
-            # a run is there if all characters from the space before it to the space after it are equal
-            first, last = spaces[: -self.run], spaces[self.run :]
-            for k in np.flatnonzero(total[last + 1] - total[first] == last - first + 1):
-                covered[k : k + self.run] = True
-        return int(covered.sum())
+    def _covered(self, doc: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document and item as one number, ascending; passage words in the runs)."""
+        pair = np.unique(doc * len(self.start) + run)
+        doc, run = pair // len(self.start), pair % len(self.start)
+        begin = np.concatenate([[0], self.ends[:-1]])[run]
+        row, at = _ragged(begin, self.ends[run] - begin)
+        key = np.stack([doc[row] * len(self.ids) + self.item[at], self.word[at]])
+        key = key[:, np.lexsort(key[::-1])]
+        same = np.append(key[0, 1:] == key[0, :-1], False) if key.shape[1] else np.zeros(0, bool)
+        gap = np.append(np.diff(key[1]), self.run) if key.shape[1] else np.zeros(0, np.int64)
+        words = np.where(same, np.minimum(gap, self.run), self.run)
+        pairs, place = np.unique(key[0], return_inverse=True)
+        return pairs, np.bincount(place, words, len(pairs)).astype(np.int64)
 
 
 def leaks(
@@ -174,24 +260,25 @@ def leaks(
     text_col: str = "text",
     item_col: str = "item_id",
     passage_col: str = "passage",
-    q: int = 12,
     run: int = 8,
     edits: int = 0,
 ) -> DataFrame:
-    """``doc_id, item_id, covered, n_words``: for each document and item with a common run of ``run`` words, the passage's words
-    in such runs and all its words. ``edits`` widens the bands that are aligned; ``q`` is a multiple of 4, at most 12 for ``run`` 8."""
+    """``doc_id, item_id, covered, exact, n_words``: for each document and item with a common run of ``run`` words, the passage's words
+    in runs that stand in the document within ``edits`` single-character edits, those in exact runs, and all its words."""
     spark = documents.sparkSession
     passages = items.where(F.col(passage_col).isNotNull() & F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("item"), flat(F.col(passage_col)).alias("flat"))
     chars = passages.agg(F.coalesce(F.sum(F.length("flat")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // BLOCK_CHARS))
     texts = documents.where(F.col(text_col).isNotNull() & F.col(doc_col).isNotNull()).select(F.col(doc_col).cast("long").alias("doc"), flat(F.col(text_col)).alias("flat"))
+    if blocks > 1:  # normalised once
+        texts, passages = materialize(texts, "p6-words"), materialize(passages, "p6-passages")
     out = None
     for block in range(blocks):
         part = passages.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        sent = spark.sparkContext.broadcast([(r[0], r[1]) for r in part.collect()])
+        sent = spark.sparkContext.broadcast(Passages([(r[0], r[1]) for r in part.collect()], run, edits))
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = Passages(sent.value, q, run, edits)
+            index = sent.value
             for b in batches:
                 flats = b.column(1).to_pylist()
                 lengths = np.array([len(t) for t in flats], np.int64)
@@ -201,14 +288,13 @@ def leaks(
                     rows = np.flatnonzero(page == p)
                     codes = _codes("\n".join(flats[i] for i in rows))
                     starts = np.concatenate([[0], np.cumsum(lengths[rows] + 1)[:-1]])
-                    found = index.matches(codes, starts)
-                    if found:
-                        doc, item, covered, n = zip(*found, strict=True)
+                    doc, item, covered, exact, n = index.matches(codes, starts)
+                    if len(doc):
                         yield pa.RecordBatch.from_arrays(
-                            [b.column(0).take(pa.array(rows[list(doc)])), pa.array(item, pa.int64()), pa.array(covered, pa.int32()), pa.array(n, pa.int32())],
-                            names=["doc_id", "item_id", "covered", "n_words"],
+                            [b.column(0).take(pa.array(rows[doc])), pa.array(item), *(pa.array(x, pa.int32()) for x in (covered, exact, n))],
+                            names=["doc_id", "item_id", "covered", "exact", "n_words"],
                         )
 
-        now = texts.mapInArrow(search, "doc_id long, item_id long, covered int, n_words int")
+        now = texts.mapInArrow(search, "doc_id long, item_id long, covered int, exact int, n_words int")
         out = now if out is None else out.unionByName(now)
     return out

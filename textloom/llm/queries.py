@@ -97,15 +97,16 @@ def p5_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    found = leaks.leaks(texts(spark, d, "documents"), table(spark, d, "eval_cases"))
-    return found.where("2 * covered >= n_words").select("doc_id", "item_id")
+    """Regions are found within an edit a run; words count that stand there exactly."""
+    found = leaks.leaks(texts(spark, d, "documents"), table(spark, d, "eval_cases"), edits=1)
+    return found.where("2 * exact >= n_words").select("doc_id", "item_id")
 
 
 def p6_items(spark: SparkSession, d: str) -> DataFrame:
     """Per item: documents that hold at least a run of it, half of it, and the largest covered share."""
     items = table(spark, d, "eval_cases")
-    found = leaks.leaks(texts(spark, d, "documents"), items)
-    share = F.col("covered") / F.col("n_words")
+    found = leaks.leaks(texts(spark, d, "documents"), items, edits=1).where("exact > 0")
+    share = F.col("exact") / F.col("n_words")
     per = found.groupBy("item_id").agg(
         F.count(F.lit(1)).alias("n_partly"), F.count(F.when(share >= 0.5, 1)).alias("n_leaked"), F.round(F.max(share), 4).alias("largest_share")
     )
