@@ -150,15 +150,40 @@ def _token(raw: str) -> tuple[int, int, int, list[tuple[int, int]]]:
     return (2 if core[0].isupper() else 1), end, kind, []
 
 
-def _entropy(p: np.ndarray) -> np.ndarray:
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return -np.where(p > 0, p * np.log2(p), 0).sum(-1)
+def _xlog(p: np.ndarray) -> np.ndarray:
+    return p * np.log2(p + np.float32(1e-30))
+
+
+class _Weighed:
+    """Weighted sums of the divergences of lines from all profiles of their languages. Only the bins that a line has are
+    computed: one that it has not adds half of the profile's number."""
+
+    def __init__(self, tables: list[np.ndarray], weights: tuple[float, ...]) -> None:
+        self.weights = weights
+        q = np.concatenate(tables, axis=2).transpose(0, 2, 1)  # language, bin, profile
+        self.bin = np.repeat(weights, [t.shape[2] for t in tables])
+        self.q = np.ascontiguousarray(q, np.float32)
+        w = self.bin[None, :, None]
+        self.empty = (w * q / 2).sum(1).astype(np.float32)
+        self.own = (w * (_xlog(q) - q) / 2).astype(np.float32)
+
+    def __call__(self, parts: list[np.ndarray], language: np.ndarray) -> np.ndarray:
+        p = np.concatenate([x / np.maximum(x.sum(1), 1)[:, None] for x in parts], axis=1).astype(np.float32)
+        row, col = np.nonzero(p)
+        v = p[row, col][:, None]
+        w = self.bin[col].astype(np.float32)[:, None]
+        at = language[row], col
+        terms = w * (_xlog(v) / 2 - _xlog((v + self.q[at]) / 2)) + self.own[at]
+        starts = np.searchsorted(row, np.arange(len(p)))  # every line has tokens, so every row has bins
+        return np.add.reduceat(terms, starts, axis=0) + self.empty[language]
 
 
 def _divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Jensen-Shannon divergence (base 2) of each row of ``p`` from each row of ``q`` (of one table, or one for each row)."""
-    q = q if q.ndim == 3 else q[None]
-    return _entropy((p[:, None, :] + q) / 2) - (_entropy(p)[:, None] + _entropy(q)) / 2
+    """Jensen-Shannon divergence (base 2) of each row of ``p`` from each row of ``q``."""
+    return _Weighed([q[None]], (1.0,))([p], np.zeros(len(p), np.int64))
+
+
+_PROFILE = _Weighed([_TOKEN_Q, np.broadcast_to(_END_P, (_UNLISTED + 1, *_END_P.shape)), _CHAR_Q, _FUNCTION_Q], WEIGHTS)
 
 
 class Judge:
@@ -169,7 +194,7 @@ class Judge:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, int] = {}
         self.number: dict[str, int] = {}
         self.rows: list[tuple] = []
         self.table = np.zeros((0, 3 + len(CHARS)), np.int32)
@@ -183,8 +208,8 @@ class Judge:
                 n = self.number[t] = len(self.table) + len(self.rows)
                 self.rows.append((*_token(t), _char_classes(t)))
             out.append(n)
-        if len(piece) <= 64:  # long ones hardly come again
-            self.known[piece] = out
+        if len(out) == 1 and len(piece) <= 64:  # others hardly come again
+            self.known[piece] = out[0]
         return out
 
     def _tables(self) -> tuple[np.ndarray, np.ndarray]:
@@ -203,16 +228,17 @@ class Judge:
         if len(self.number) > self.most:
             self._forget()
         ids, sizes, of_text, weight = [], [], [], []
-        known = self.known
+        known = self.known.get
         for i, text in enumerate(texts):
             for line in text.split("\n"):
                 pieces = line.split()
                 if not pieces:
                     continue
-                before = len(ids)
-                for p in pieces:
-                    ids += known.get(p) or self._ids(p)
-                sizes.append(len(ids) - before)
+                row = list(map(known, pieces))
+                if None in row:  # a new piece, or one of several tokens
+                    row = [n for p, i in zip(pieces, row, strict=True) for n in (self._ids(p) if i is None else (i,))]
+                ids += row
+                sizes.append(len(row))
                 of_text.append(i)
                 weight.append(sum(map(len, pieces)) + len(pieces) - 1)
         table, slots = self._tables()
@@ -229,14 +255,10 @@ class Judge:
         for out, cell in ((t, token), (e, end), (f, np.where(slot > 0, slot - 1, HEAD + 1))):
             out += np.bincount(line * out.shape[1] + cell, minlength=out.size).reshape(out.shape)
         chars = np.stack([np.bincount(line, table[id_, 3 + k], n_lines) for k in range(len(CHARS))], axis=1) if n_lines else np.zeros((0, len(CHARS)))
-        total_of = lambda x: x / np.maximum(x.sum(1), 1)[:, None]
-        w = WEIGHTS
         d = np.zeros((n_lines, len(_NAMES)))
         for at in range(0, n_lines, 5000):  # bounded memory
-            s = slice(at, at + 5000)
-            k = of_line[s]
-            d[s] = w[0] * _divergence(total_of(t[s]), _TOKEN_Q[k]) + w[1] * _divergence(total_of(e[s]), _END_P)
-            d[s] += w[2] * _divergence(total_of(chars[s]), _CHAR_Q[k]) + w[3] * _divergence(total_of(f[s]), _FUNCTION_Q[k])
+            part = slice(at, at + 5000)
+            d[part] = _PROFILE([t[part], e[part], chars[part], f[part]], of_line[part])
         d[of_line == _UNLISTED, _NAMES.index("salad")] = np.inf
         nearest = d.argmin(1) if n_lines else np.zeros(0, np.int64)
         total = np.bincount(of_text_, weight_, n_texts)
@@ -266,7 +288,7 @@ class Judge:
         words_of = counts[:, :, : HEAD + 1]
         hits = words_of.sum(2)
         p = words_of / np.maximum(hits, 1)[:, :, None]
-        d = _entropy((p + _AMONG) / 2) - (_entropy(p) + _entropy(_AMONG)) / 2
+        d = (_xlog(p) + _xlog(_AMONG)).sum(2) / 2 - _xlog((p + _AMONG) / 2).sum(2)
         # the share of words that are the language's function words, less where their frequencies are others
         nearer = hits / np.maximum(np.bincount(text_of, minlength=n_texts), 1)[:, None] * (1 - d)
         nearer = np.where(_SCRIPT_OF[None] == scripts.argmax(1)[:, None], nearer, nearer - 1)  # another script's only if the text's own has none
