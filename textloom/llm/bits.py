@@ -137,45 +137,44 @@ def probe(plane: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
 
 
 #: Occurrences that levels 0 to 15 of a count table stand for, at most.
-LEVELS = np.array([0, *(1 << np.arange(15))])
+LEVELS = np.array([0, 1, 2, 4, 8, 16, 32, 64, 128, 256, 1 << 10, 1 << 12, 1 << 16, 1 << 20, 1 << 26, 1 << 32])
 
 
 def _level(n: np.ndarray) -> np.ndarray:
-    return np.searchsorted(LEVELS, np.minimum(n, LEVELS[-1])).astype(np.uint8)
+    return np.searchsorted(LEVELS, n).astype(np.uint8)
 
 
 def count_table(df: DataFrame, column: str, bits: int) -> np.ndarray:
-    """How often the long hashes in ``column`` occur, as levels of four bits (``LEVELS``), two slots a byte; a partition's counts
-    and their sums are exact up to 65,535 a slot."""
+    """How often the long hashes in ``column`` occur, as levels of four bits (``LEVELS``), two slots a byte. A partition counts up to 65,535 a
+    slot; sums are exact up to four thousand million."""
     size = min(1 << SEG, 1 << bits)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, np.ndarray] = {}
         for b in batches:
             u, n = np.unique(_both(b.column(0).drop_null().to_numpy(zero_copy_only=False), bits), return_counts=True)
-            seg = u >> SEG
-            cuts = np.flatnonzero(np.diff(seg)) + 1
+            cuts = np.flatnonzero(np.diff(u >> SEG)) + 1
             for slots, more in zip(np.split(u, cuts), np.split(n, cuts), strict=True):
                 if len(slots):
                     of = counts.setdefault(int(slots[0] >> SEG), np.zeros(size, np.uint16))
                     at = slots & (size - 1)
                     of[at] = np.minimum(of[at].astype(np.int64) + more, 65535)
-        yield from _emit((i, c.tobytes()) for i, c in counts.items())
+        yield from _emit((i, c.astype(np.uint32).tobytes()) for i, c in counts.items())
 
     def merge(parts: list[bytes]) -> bytes:
-        total = np.zeros(size, np.uint32)
+        total = np.zeros(size, np.uint64)
         for p in parts:
-            total = np.minimum(total + np.frombuffer(p, np.uint16), 65535)
-        return total.astype(np.uint16).tobytes()
+            total += np.frombuffer(p, np.uint32)
+        return np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()
 
     out = np.zeros(max(1, (1 << bits) // 2), np.uint8)
     for row in _merge(df.select(column).mapInArrow(build, "seg int, pid int, data binary"), merge).toLocalIterator():
-        level = _level(np.frombuffer(bytes(row["data"]), np.uint16))
+        level = _level(np.frombuffer(bytes(row["data"]), np.uint32))
         out[row["seg"] * (size // 2) : (row["seg"] + 1) * (size // 2)] = level[::2] << 4 | level[1::2]
     return out
 
 
 def counted(table: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
-    """The level of each hash's count: never under the true one's, 0 only for hashes that do not occur."""
+    """The level of each hash's count, or a higher one."""
     level = lambda slot: (table[slot >> 1] >> (4 * (1 - (slot & 1))).astype(np.uint8)) & 15
     return np.minimum(*(level(s) for s in _slots(h, bits)))

@@ -1,20 +1,25 @@
 """Problem 1: the same or nearly the same records in the training and the evaluation split.
 
-Method: normalised records of the training split are cut into chunks of three to five words where a rolling hash says so
-(two or three words in records under twelve). The digests of the chunks are joined with those of all windows of these
-lengths of the evaluation records, so that edits elsewhere can't shift a cut, and the lengths of shared chunks are summed
-into overlap fractions. An exact word edit distance then decides.
+Method: normalised records are cut into chunks whose places the content decides, digests of chunks (rolling hashes of their
+words) are joined across splits, and the lengths of shared chunks are summed into overlap fractions. An exact word edit distance then
+decides.
+
+To find all pairs, training records are cut where it costs least: a table of how often each run of two to six words stands in
+the evaluation split tells what each possible chunk would meet there, and each record takes the cheapest set of disjoint chunks. Their
+digests are joined with all runs of these lengths of the evaluation records, so that edits elsewhere can't shift a cut. A pair goes on
+if the words in its shared chunks are as many as its edits must leave. Of the pairs that the edit distance confirms, both records
+are cut by a rolling hash over two words; the share of their words in chunks of both is their overlap.
 
 Completeness: a record of ``n`` words has at most ``k`` edits to any partner of which they are at most a fifth (``most``) of
-the longer record's words. Every record is cut into at least ``k + 1`` disjoint chunks (the cuts come closer where the
-rolling hash leaves too few), an edit spoils one at most, so one chunk of the training record stands unchanged in the
-evaluation record. Nothing is capped.
+the longer record's words. Every record gets ``k + 1`` disjoint chunks, an edit spoils one at most, so one chunk of the training
+record stands unchanged in the evaluation record; and the shared ones have at least as many words as the shortest
+``k + 1 - e``, where ``e`` are the edits allowed with that partner. Nothing is capped: the tables of counts only choose among chunks.
 
 Chunks carry the parities of their record's words (192 bits). A replacement flips two at most, an insertion or removal one,
-and as many of these are needed as the lengths differ (``d``), so candidates that differ in more than ``2k - d`` bits are left
-out inside the join; of the others those go on whose shared chunks are all of the training record's but ``k`` or more. Before the join a Bloom filter of bounded size drops training chunks that no
-evaluation record has, and the other way round. Records with equal words are one class: copies are cut once per partition,
-and links of classes are expanded to their members at the end.
+and as many of these are needed as the lengths differ (``d``), so candidates that differ in more than ``2 e - d`` bits are left
+out inside the join. Chunks that no evaluation record has, and runs that no training record has as a chunk, are dropped before it
+by Bloom filters of bounded size; a training record all of whose chunks are such cannot have a partner. Records with equal words
+are one class throughout: each is cut once, and links of classes are expanded to their members only where pairs are asked for.
 
 Defined results: null and blank texts and those under ``least`` words take no part; other splits than ``train`` and ``val``
 are ignored; rows with other ids but the same text are records of their own, a row repeated with its id is one; an empty table gives an empty result. Other columns are ignored.
@@ -26,22 +31,23 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import materialize, small
 from . import bits
 from .words import flat
 
-#: Chunk lengths in words, and the records (in words) from which chunks have three words at least.
-SHORT, LONG, SHORT_RECORD = (2, 3), (3, 4, 5), 12
+#: Chunk lengths in words; words among which chunks are chosen at once.
+SIZES, BLOCK = (2, 3, 4, 5, 6), 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _PRIMES = tuple(np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-_ROW = "kind int, digest long, id long, n int, cuts int, s1 long, s2 long, s3 long, class binary"
-_CHUNK = ["digest", "id", "n", "cuts", "s1", "s2", "s3"]
+#: ``c1, c2`` is a record's class; ``m1, m2`` hold how many of its chunks are under each length (21 bits each).
+_CLASS, _PARITY = ["c1", "c2"], ["s1", "s2", "s3"]
+_ROW = "digest long, size int, c1 long, c2 long, n int, cuts int, m1 long, m2 long, s1 long, s2 long, s3 long"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -49,12 +55,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _windows(u: np.ndarray, length: int) -> np.ndarray:
-    """Digests of all runs of ``length`` hashes (across rows; the caller masks)."""
-    out = np.full(max(0, len(u) - length + 1), np.uint64(length))
+def runs(u: np.ndarray) -> dict[int, np.ndarray]:
+    """Digests of all runs of words of each length, from the words' hashes (across records; callers mask)."""
+    out, h = {}, _mix(u + _BASE)
     with np.errstate(over="ignore"):
-        for i in range(length):
-            out = _mix(out * _BASE + u[i : len(u) - length + 1 + i])
+        for size in range(2, SIZES[-1] + 1):
+            h = _mix(h[:-1] * _BASE + u[size - 1 :]) if len(h) > 1 else h[:0]
+            out[size] = h
     return out
 
 
@@ -63,70 +70,78 @@ def allowed(n: np.ndarray, most: float) -> np.ndarray:
     return np.floor(np.floor(n / (1 - most) + 1e-9) * most + 1e-9).astype(np.int64)
 
 
-def _walk(cut: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first, length) of the chunks of every row: at least ``least`` words, up to the next cut, ``most`` at most."""
-    rows, at, found = np.arange(len(starts)), starts.copy(), []
-    while len(rows):
-        fits = at + least[rows] <= ends[rows]
-        rows, at = rows[fits], at[fits]
-        if not len(rows):
-            break
-        length = least[rows].copy()
-        for _ in range(2):
-            more = (length < most[rows]) & ~cut[at + length - 1] & (at + length < ends[rows])
-            length += more
-        found.append((rows, at, length))
-        at = at + length
-    if not found:
-        return (np.zeros(0, np.int64),) * 3
-    row, first, length = (np.concatenate(x) for x in zip(*found, strict=True))
-    return row, first, length
-
-
-def chunks(u: np.ndarray, ends: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first word's place, words, digest): each row's content-defined chunks, more than its allowed edits."""
+def _blocks(ends: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(record, first word, words, chunks to choose) of blocks of at most ``BLOCK`` words; a record's chunks are spread over its blocks."""
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     n = ends - starts
-    need = allowed(n, most) + 1
-    cut = (_mix(u) & np.uint64(1)).astype(bool)
-    least = np.where(n < SHORT_RECORD, SHORT[0], LONG[0])
-    longest = np.where(n < SHORT_RECORD, SHORT[-1], LONG[-1])
-    row, first, length = _walk(cut, starts, ends, least, longest)
-    for shorter in (1, 2):  # too few: cut closer
-        few = np.flatnonzero(np.bincount(row, minlength=len(n)) < need)
-        if not len(few):
-            break
-        keep = ~np.isin(row, few)
-        r, f, k = _walk(cut, starts[few], ends[few], least[few], np.maximum(least[few], longest[few] - shorter))
-        row, first, length = np.concatenate([row[keep], few[r]]), np.concatenate([first[keep], f]), np.concatenate([length[keep], k])
-    # the longest of each row, as many as needed
-    by = np.lexsort((first, -length, row))
-    row, first, length = row[by], first[by], length[by]
-    place = np.arange(len(row)) - np.searchsorted(row, row)
-    take = place < need[row]
-    row, first, length = row[take], first[take], length[take]
-    digest = np.zeros(len(row), np.uint64)
-    for size in (*SHORT, *LONG):
-        of = length == size
-        digest[of] = _windows(u, size)[first[of]]
-    return row, first, length, digest
-
-
-def windows(u: np.ndarray, ends: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, digest) of all windows that a chunk of an allowed partner may equal."""
-    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    row_of = np.repeat(np.arange(len(ends)), ends - starts)
-    n = ends - starts
+    many = -(-n // BLOCK)
+    record = np.repeat(np.arange(len(ends)), many)
+    b = np.arange(len(record)) - np.repeat(np.cumsum(many) - many, many)
+    low, high = n[record] * b // many[record], n[record] * (b + 1) // many[record]
+    return record, starts[record] + low, high - low, need[record] * (b + 1) // many[record] - need[record] * b // many[record]
+
+
+def _cheapest(costs: dict[int, np.ndarray], first: np.ndarray, words: np.ndarray, quota: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(block, first word, length) of the cheapest ``quota`` disjoint runs of each block, by dynamic programming over its words; of equal
+    ones the longer."""
+    m, q = int(words.max(initial=0)), int(quota.max(initial=0))
+    best = np.full((m + 1, len(first), q + 1), np.inf, np.float32)
+    best[:, :, 0] = 0
+    took = np.zeros((m + 1, len(first), q + 1), np.uint8)
+    for i in range(1, m + 1):
+        best[i] = best[i - 1]
+        for size in SIZES:
+            if size > i:
+                break
+            at = first + i - size
+            cost = costs[size][np.minimum(at, len(costs[size]) - 1)] - np.float32(size / 1024)
+            new = best[i - size, :, :-1] + np.where(i <= words, cost, np.float32(np.inf))[:, None]
+            less = new < best[i, :, 1:]
+            best[i, :, 1:][less] = new[less]
+            took[i, :, 1:][less] = size
+    block, at, left = np.arange(len(first)), words.copy(), quota.copy()
+    found = []
+    while len(block):
+        more = left > 0
+        block, at, left = block[more], at[more], left[more]
+        size = took[at, block, left].astype(np.int64)
+        hit = size > 0
+        at = at - np.maximum(size, 1)
+        left = left - hit
+        found.append((block[hit], first[block[hit]] + at[hit], size[hit]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+
+
+def chunks(u: np.ndarray, ends: np.ndarray, most: float, cost=None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:  # noqa: ANN001
+    """(record, first word, words, digest): of each record one disjoint chunk more than its allowed edits, those of the least
+    total ``cost`` of their digests (none: the longest)."""
+    digest = runs(u)
+    costs = {size: (cost(h.view(np.int64)) if cost else np.zeros(len(h))).astype(np.float32) for size, h in digest.items()}
+    record, first, words, quota = _blocks(ends, allowed(np.diff(ends, prepend=0), most) + 1)
+    found = []
+    for at in range(0, len(record), 4096):  # bounded memory
+        part = slice(at, at + 4096)
+        block, place, size = _cheapest(costs, first[part], words[part], quota[part])
+        found.append((record[part][block], place, size))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    row, place, size = (np.concatenate(x) for x in zip(*found, strict=True))
+    out = np.zeros(len(row), np.uint64)
+    for k in SIZES:
+        of = size == k
+        out[of] = digest[k][place[of]]
+    return row, place, size, out
+
+
+def windows(u: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(record, digest, words) of all runs that a chunk may equal."""
+    row_of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
     out = []
-    for size in sorted({*SHORT, *LONG}):
-        d = _windows(u, size)
-        at = np.arange(len(d))
-        ok = (row_of[at] == row_of[at + size - 1]) if len(d) else np.zeros(0, bool)
-        if size not in LONG:  # only partners under SHORT_RECORD words have such chunks
-            ok &= (n[row_of[at]] - allowed(n, most)[row_of[at]]) < SHORT_RECORD
-        out.append((row_of[at[ok]], d[ok]))
-    row, digest = (np.concatenate(x) for x in zip(*out, strict=True))
-    return row, digest
+    for size, h in runs(u).items():
+        inside = np.flatnonzero(row_of[: len(h)] == row_of[size - 1 : size - 1 + len(h)])
+        out.append((row_of[inside], h[inside], np.full(len(inside), size, np.int32)))
+    row, digest, size = (np.concatenate(x) for x in zip(*out, strict=True))
+    return row, digest, size
 
 
 def parities(u: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
@@ -172,11 +187,12 @@ def edits(a: list[str], b: list[str], most: int) -> int:
     return score
 
 
-def records(df: DataFrame, id_col: str, text_col: str, split_col: str) -> DataFrame:
-    """``id, split, flat``: the words of each text in the two splits, with spaces around them."""
-    return df.where(F.col(split_col).isin("train", "val") & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.col(split_col).alias("split"), flat(F.col(text_col)).alias("flat")
-    )
+def records(df: DataFrame, id_col: str, text_col: str, split_col: str, least: int = 8) -> DataFrame:
+    """``id, split, flat, n, c1, c2``: the words of each text in the two splits with spaces around them, their number, and the class."""
+    known = df.where(F.col(split_col).isin("train", "val") & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
+    words = known.select(F.col(id_col).cast("long").alias("id"), F.col(split_col).alias("split"), flat(F.col(text_col)).alias("flat"))
+    n = (F.length("flat") - F.length(F.translate("flat", " ", "")) - 1).cast("int")
+    return words.select("id", "split", "flat", n.alias("n"), F.xxhash64("flat").alias("c1"), F.xxhash64(F.lit(7), "flat").alias("c2")).where(F.col("n") >= least)
 
 
 def hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -199,139 +215,201 @@ def hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return u, np.searchsorted(starts, offsets[1:]).astype(np.int64)
 
 
-def _sliced(recs: DataFrame, most: float, least: int, whole: bool, wanted: tuple[np.ndarray, int] | None, members: bool) -> DataFrame:
-    """Rows of kind 0: chunks (``whole``: all windows), only those in the filter; and of kind 1: a row for each record."""
-    sent = recs.sparkSession.sparkContext.broadcast(wanted)
+def _distinct(part: DataFrame, filter_bits: int) -> DataFrame:
+    """One row of each class. Only classes that a filter finds possibly repeated are grouped (combined before the shuffle); the
+    texts of all others stay where they are."""
+    n_bits = bits.slot_bits(part.count(), 16, most=filter_bits)
+    _, again = bits.seen_table(part, ["c1"], n_bits)
+    sent = part.sparkSession.sparkContext.broadcast(again)
+
+    @F.pandas_udf("boolean")
+    def hit(h: pd.Series) -> pd.Series:
+        return pd.Series(bits.probe(sent.value, n_bits, h.to_numpy(np.int64)))
+
+    columns = ["flat", "n", *_CLASS]
+    marked = part.select(*columns, hit("c1").alias("again"))
+    one = marked.where("again").groupBy(*_CLASS).agg(F.first("flat").alias("flat"), F.first("n").alias("n"))
+    return marked.where("not again").select(*columns).unionByName(materialize(one.select(*columns), "p1-repeated"))
+
+
+def _carried(b: pa.RecordBatch, u: np.ndarray, ends: np.ndarray, row: np.ndarray, digest: np.ndarray, size: np.ndarray, cuts: np.ndarray, under: np.ndarray) -> pa.RecordBatch:
+    at = pa.array(row)
+    pack = lambda k: (under[:, k] | under[:, k + 1] << 21 | under[:, k + 2] << 42)[row]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(digest.view(np.int64)), pa.array(size.astype(np.int32)), *(b.column(c).take(at) for c in (*_CLASS, "n")), pa.array(cuts[row].astype(np.int32)),
+            pa.array(pack(0)), pa.array(pack(3)), *(pa.array(s[row]) for s in parities(u, ends)),
+        ],
+        schema=_SCHEMA,
+    )
+
+
+_SCHEMA = pa.schema([(x.split()[0], pa.int64() if x.endswith("long") else pa.int32()) for x in _ROW.split(", ")])
+
+
+def _once(row: np.ndarray, digest: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each digest once a record."""
+    by = np.lexsort((digest, row))
+    row, digest, size = row[by], digest[by], size[by]
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (digest[1:] != digest[:-1])
+    return row[first], digest[first], size[first]
+
+
+def _all_runs(part: DataFrame) -> DataFrame:
+    """``digest`` of all runs of each record."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_once(*windows(*hashed(b.column("flat"))))[1].view(np.int64))], names=["digest"])
+
+    return part.select("flat").mapInArrow(cut, "digest long")
+
+
+def _met_runs(part: DataFrame, met: np.ndarray, n_bits: int) -> DataFrame:
+    """All runs of each record that the filter knows."""
+    sent = part.sparkSession.sparkContext.broadcast(met)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[bytes] = set()
-        bloom = sent.value
         for b in batches:
             u, ends = hashed(b.column("flat"))
-            n = np.diff(ends, prepend=0)
-            b, keep = b.filter(pa.array(n >= least)), n >= least
-            classes = [xxhash.xxh3_128_digest(x) for x in b.column("flat").cast(pa.binary()).to_pylist()]
-            if members and classes:
-                none, few = pa.nulls(b.num_rows, pa.int64()), pa.nulls(b.num_rows, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(b.num_rows, np.int32)), none, b.column("id"), few, few, none, none, none, pa.array(classes, pa.binary())],
-                    names=["kind", *_CHUNK, "class"],
-                )
-            fresh = np.array([not (c in known or known.add(c)) for c in classes], bool)
-            if not fresh.any():
-                continue
-            b = b.filter(pa.array(fresh))
-            keep[np.flatnonzero(keep)[~fresh]] = False
-            u, ends = u[np.repeat(keep, n)], np.cumsum(n[keep])
-            if whole:
-                row, digest = windows(u, ends, most)
-            else:
-                row, _, _, digest = chunks(u, ends, most)
-            # each digest once a record
-            by = np.lexsort((digest, row))
-            row, digest = row[by], digest[by]
-            first = np.ones(len(row), bool)
-            first[1:] = (row[1:] != row[:-1]) | (digest[1:] != digest[:-1])
-            row, digest = row[first], digest[first]
-            cuts = np.bincount(row, minlength=len(ends)).astype(np.int32)
-            if bloom:
-                hit = bits.probe(bloom[0], bloom[1], digest.view(np.int64))
-                row, digest = row[hit], digest[hit]
-            n = np.diff(ends, prepend=0).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(row), np.int32)), pa.array(digest.view(np.int64)), b.column("id").take(pa.array(row)), pa.array(n[row]), pa.array(cuts[row])]
-                + [pa.array(s[row]) for s in parities(u, ends)]
-                + [pa.nulls(len(row), pa.binary())],
-                names=["kind", *_CHUNK, "class"],
-            )
-
-    return recs.select("id", "flat").mapInArrow(cut, _ROW)
+            row, digest, size = windows(u, ends)
+            hit = bits.probe(sent.value, n_bits, digest.view(np.int64))
+            row, digest, size = _once(row[hit], digest[hit], size[hit])
+            none = np.zeros((len(ends), 6), np.int64)
+            yield _carried(b, u, ends, row, digest, size, none[:, 0], none)
 
+    return part.select("flat", "n", *_CLASS).mapInArrow(cut, _ROW)
 
-def _verified(both: DataFrame, most: float) -> DataFrame:
-    def shared(these: list[str], others: list[str]) -> np.ndarray:
-        """The share of each text's chunk words whose chunks stand in the other text of its pair."""
-        row, _, length, digest = chunks(*hashed(pa.array(these, pa.string())), most)
-        row_w, digest_w = windows(*hashed(pa.array(others, pa.string())), most)
-        keyed = lambda r, d: _mix(d + r.astype(np.uint64) * _BASE)
-        there = np.isin(keyed(row, digest), keyed(row_w, digest_w))
-        return np.bincount(row, length * there, len(these)) / np.bincount(row, length, len(these))
 
+def _rare_chunks(part: DataFrame, most: float, there: np.ndarray, there_bits: int, counts: np.ndarray, count_bits: int) -> DataFrame:
+    """Each record's cheapest chunks that the other split has."""
+    sent = part.sparkSession.sparkContext.broadcast((there, counts))
+
+    def cost(h: np.ndarray) -> np.ndarray:
+        return np.where(bits.probe(sent.value[0], there_bits, h), bits.LEVELS[np.maximum(bits.counted(sent.value[1], count_bits, h), 1)], 0)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            u, ends = hashed(b.column("flat"))
+            row, _, size, digest = chunks(u, ends, most, cost)
+            row, digest, size = _once(row, digest, size)
+            cuts = np.bincount(row, minlength=len(ends))
+            # chunks of fewer than 2, 3, ... 7 words
+            under = np.stack([np.bincount(row[size < k], minlength=len(ends)) for k in range(2, 8)], axis=1).astype(np.int64)
+            hit = bits.probe(sent.value[0], there_bits, digest.view(np.int64))
+            yield _carried(b, u, ends, row[hit], digest[hit], size[hit], cuts, under)
+
+    return part.select("flat", "n", *_CLASS).mapInArrow(cut, _ROW)
+
+
+def _least_words(left: Column) -> Column:
+    """Words in the ``left`` shortest chunks: one for each of them that is not under one word, not under two, and so on."""
+    under = [F.shiftright(F.col(m), 21 * i).bitwiseAND(F.lit((1 << 21) - 1)) for m in ("m1", "m2") for i in range(3)]
+    return sum((F.greatest(F.lit(0), left - x) for x in under[:-1]), F.greatest(F.lit(0), left))
+
+
+def content_cuts(u: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(record, words, digest) of chunks that end where a rolling hash over two words says so, one place in four."""
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    if not len(u):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        end = np.append((_mix(u[:-1] * _BASE + u[1:]) & np.uint64(3)) == 0, True)
+        end[ends[ends > 0] - 1] = True
+        last = np.flatnonzero(end)
+        first = np.concatenate([[0], last[:-1] + 1])
+        power, back = (np.multiply.accumulate(np.full(len(u), x, np.uint64)) for x in (_BASE, _INVERSE))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(u * power, dtype=np.uint64)])
+        digest = _mix((total[last + 1] - total[first]) * back[first] + (last - first).astype(np.uint64))
+    return np.searchsorted(starts, first, side="right") - 1, last - first + 1, digest
+
+
+def overlaps(these: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The shares of the words of both texts of each pair that lie in chunks of both."""
+    a, b = (content_cuts(*hashed(pa.array(x, pa.string()))) for x in (these, others))
+    keyed = lambda x: _mix(x[2] + x[0].astype(np.uint64) * _BASE)
+    share = lambda x, y: np.bincount(x[0], x[1] * np.isin(keyed(x), keyed(y)), len(these)) / np.maximum(np.bincount(x[0], x[1], len(these)), 1)
+    return share(a, b), share(b, a)
+
+
+def _verified(both: DataFrame, most: float) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            near, texts = [], []
-            for it, iv, ft, fv in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            near, distance = [], []
+            for i, (ft, fv) in enumerate(zip(b.column("flat_t").to_pylist(), b.column("flat_v").to_pylist(), strict=True)):
                 t, v = ft.split(), fv.split()
                 limit = int(max(len(t), len(v)) * most + 1e-9)
                 if len(set(t).difference(v)) > limit or len(set(v).difference(t)) > limit:
                     continue
                 n = edits(t, v, limit)
                 if n <= limit:
-                    near.append((it, iv, n))
-                    texts.append((ft, fv))
+                    near.append(i)
+                    distance.append(n)
+            kept = b.take(pa.array(near, pa.int32()))
             if near:
-                t, v = (list(x) for x in zip(*texts, strict=True))
-                cols = [pa.array(c, k) for c, k in zip(zip(*near, strict=True), (pa.int64(), pa.int64(), pa.int32()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(shared(t, v)), pa.array(shared(v, t))], names=["t", "v", "edits", "shared_t", "shared_v"])
-
-    return both.mapInArrow(verify, "t long, v long, edits int, shared_t double, shared_v double")
-
-
-def cross_split(
-    df: DataFrame,
-    id_col: str = "sample_id",
-    text_col: str = "text",
-    split_col: str = "split",
-    most: float = 0.2,
-    least: int = 8,
-    filter_bits: int = 26,
-) -> tuple[DataFrame, DataFrame]:
-    """(links, members): ``class_t, class_v, edits, shared_t, shared_v`` for every pair of classes within the allowed edits,
-    equal classes linked to themselves, and ``id, split, class`` of all records. ``shared`` is the share of the record's chunk
-    words whose chunks stand in the other record too. ``2**filter_bits`` slots bound both filters (8 MB each)."""
-    recs = records(df, id_col, text_col, split_col)
-    train, val = recs.where("split = 'train'"), recs.where("split = 'val'")
-    n_bits = bits.slot_bits(100 * df.where(F.col(split_col) == "val").count(), 8, most=filter_bits)
-    in_val, _ = bits.seen_table(_sliced(val, most, least, True, None, False).select("digest"), ["digest"], n_bits)
-    cut = materialize(_sliced(train, most, least, False, (in_val, n_bits), True), "p1-train")
-    t = cut.where("kind = 0").select(*_CHUNK)
-    n_bits = bits.slot_bits(t.count(), 8, most=filter_bits)
-    in_train, _ = bits.seen_table(t.select("digest"), ["digest"], n_bits)
-    seen = materialize(_sliced(val, most, least, True, (in_train, n_bits), True), "p1-val")
-    v = seen.where("kind = 0").select(*_CHUNK)
-    k = F.floor(F.greatest("t.n", "v.n") * most + 1e-9)
-    flips = sum((F.bit_count(F.col(f"t.{s}").bitwiseXOR(F.col(f"v.{s}"))) for s in ("s1", "s2", "s3")), F.lit(0))
+                shares = overlaps(kept.column("flat_t").to_pylist(), kept.column("flat_v").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*(kept.column(c) for c in _LINK), pa.array(distance, pa.int32()), *map(pa.array, shares)], names=[*_LINK, "edits", "shared_t", "shared_v"]
+                )
+
+    return both.mapInArrow(verify, "t1 long, t2 long, v1 long, v2 long, edits int, shared_t double, shared_v double")
+
+
+_LINK = ["t1", "t2", "v1", "v2"]
+
+
+def candidates(train: DataFrame, val: DataFrame, most: float, filter_bits: int = 27, count_bits: int = 24) -> DataFrame:
+    """``t1, t2, v1, v2``: pairs of classes of ``_distinct`` records whose shared chunks hold enough words."""
+    n = 5 * val.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    there_bits, n_bits = bits.slot_bits(n, 8, most=filter_bits), bits.slot_bits(n, 4, most=count_bits)
+    every = _all_runs(val)
+    there, _ = bits.seen_table(every, ["digest"], there_bits)
+    t = materialize(_rare_chunks(train, most, there, there_bits, bits.count_table(every, "digest", n_bits), n_bits), "p1-train")
+    met_bits = bits.slot_bits(t.count(), 8, most=filter_bits)
+    met, _ = bits.seen_table(t, ["digest"], met_bits)
+    v = materialize(_met_runs(val, met, met_bits), "p1-val")
+    e = F.floor(F.greatest("t.n", "v.n") * most + 1e-9).cast("int")
+    flips = sum((F.bit_count(F.col(f"t.{s}").bitwiseXOR(F.col(f"v.{s}"))) for s in _PARITY), F.lit(0))
     apart = F.abs(F.col("t.n") - F.col("v.n"))
-    near = t.alias("t").join(
-        v.alias("v"), (F.col("t.digest") == F.col("v.digest")) & (apart <= k) & (flips <= 2 * k - apart)
-    )
-    counted = near.groupBy(F.col("t.id").alias("t"), F.col("v.id").alias("v")).agg(
-        F.count(F.lit(1)).alias("shared"), F.first(F.col("t.cuts") - k).alias("least")
-    )
-    pairs = materialize(counted.where("shared >= least").select("t", "v"), "p1-pairs")
-    needed = materialize(pairs.select(F.col("t").alias(id_col)).union(pairs.select("v")).distinct(), "p1-needed")
-    texts = materialize(records(df.join(small(needed), id_col, "left_semi"), id_col, text_col, split_col).select("id", "flat"), "p1-words")
-    both = (
-        pairs.join(texts.select(F.col("id").alias("v"), F.col("flat").alias("flat_v")), "v")
-        .join(texts.select(F.col("id").alias("t"), F.col("flat").alias("flat_t")), "t")
-        .select("t", "v", "flat_t", "flat_v")
-    )
-    members = cut.where("kind = 1").select("id", F.lit("train").alias("split"), "class").unionByName(
-        seen.where("kind = 1").select("id", F.lit("val").alias("split"), "class")
-    ).distinct()
-    classes = members.select("id", "class")
-    links = (
-        _verified(both, most)
-        .join(classes.toDF("t", "class_t"), "t")
-        .join(classes.toDF("v", "class_v"), "v")
-        .groupBy("class_t", "class_v")
-        .agg(*(F.max(c).alias(c) for c in ("edits", "shared_t", "shared_v")))
-    )
-    return materialize(links, "p1-links"), members
+    near = t.alias("t").join(v.alias("v"), (F.col("t.digest") == F.col("v.digest")) & (apart <= e) & (flips <= 2 * e - apart))
+    pair = [F.col(f"{x[0]}.c{x[1]}").alias(x) for x in _LINK]
+    left = (F.col("t.cuts") - e).alias("left")
+    counted = near.groupBy(*pair).agg(F.sum("t.size").alias("words"), *(F.first(c).alias(c.split(".")[1]) for c in ("t.m1", "t.m2")), F.first(left).alias("left"))
+    return counted.where(F.col("words") >= _least_words(F.col("left"))).select(*_LINK)
+
+
+def cross_split(df: DataFrame, id_col: str = "sample_id", text_col: str = "text", split_col: str = "split", most: float = 0.2, least: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(links, members): ``t1, t2, v1, v2, edits, shared_t, shared_v`` for every pair of classes within the allowed edits, equal
+    classes linked to themselves, and ``id, split, c1, c2`` of all records. ``shared`` is the share of the record's words in chunks of both."""
+    recs = materialize(records(df, id_col, text_col, split_col, least), "p1-records", by="split")
+    train, val = (_distinct(recs.where(F.col("split") == s), 27) for s in ("train", "val"))
+    pairs = materialize(candidates(train, val, most), "p1-pairs")
+    texts = lambda x, side: x.join(
+        small(materialize(pairs.select(*(F.col(f"{side}{i}").alias(f"c{i}") for i in (1, 2))).distinct(), "p1-needed")), _CLASS, "left_semi"
+    ).select(*(F.col(f"c{i}").alias(f"{side}{i}") for i in (1, 2)), F.col("flat").alias(f"flat_{side}"))
+    both = pairs.join(texts(val, "v"), ["v1", "v2"]).join(texts(train, "t"), ["t1", "t2"])
+    return materialize(_verified(both, most), "p1-links"), recs.select("id", "split", *_CLASS).distinct()
+
+
+def _side(members: DataFrame, split: str, side: str) -> DataFrame:
+    return members.where(F.col("split") == split).select(F.col("id").alias(f"{split}_id"), *(F.col(f"c{i}").alias(f"{side}{i}") for i in (1, 2)))
 
 
 def pairs(links: DataFrame, members: DataFrame) -> DataFrame:
     """``train_id, val_id, edits, shared_t, shared_v`` of all records of linked classes."""
-    t = members.where("split = 'train'").select(F.col("id").alias("train_id"), F.col("class").alias("class_t"))
-    v = members.where("split = 'val'").select(F.col("id").alias("val_id"), F.col("class").alias("class_v"))
-    return links.join(v, "class_v").join(t, "class_t").select("train_id", "val_id", "edits", "shared_t", "shared_v")
+    both = links.join(_side(members, "val", "v"), ["v1", "v2"]).join(_side(members, "train", "t"), ["t1", "t2"])
+    return both.select("train_id", "val_id", "edits", "shared_t", "shared_v")
+
+
+def partners(links: DataFrame, members: DataFrame) -> DataFrame:
+    """``id, split, n, shared``: of each record with a partner in the other split, how many it has and its largest overlap; from links and
+    sizes of classes, without any pair of records."""
+    sizes = members.groupBy("split", *_CLASS).agg(F.count(F.lit(1)).alias("copies"))
+    per = None
+    for split, side, other_split, other in (("train", "t", "val", "v"), ("val", "v", "train", "t")):
+        theirs = sizes.where(F.col("split") == other_split).select(*(F.col(f"c{i}").alias(f"{other}{i}") for i in (1, 2)), "copies")
+        now = links.join(theirs, [f"{other}1", f"{other}2"]).groupBy(*(F.col(f"{side}{i}").alias(f"c{i}") for i in (1, 2)))
+        now = now.agg(F.sum("copies").alias("n"), F.max(f"shared_{side}").alias("shared")).withColumn("split", F.lit(split))
+        per = now if per is None else per.unionByName(now)
+    return members.join(per, ["split", *_CLASS]).select("id", "split", "n", "shared")

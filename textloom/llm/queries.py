@@ -58,13 +58,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
     """Overlapping records and pairs per split and source, with the mean of their largest overlap fractions."""
     rows = texts(spark, d, "shard_rows")
-    links, members = overlap.cross_split(rows)
-    pairs = overlap.pairs(links, members)
-    t = pairs.groupBy(F.col("train_id").alias("sample_id")).agg(F.count(F.lit(1)).alias("n"), F.max("shared_t").alias("shared"))
-    v = pairs.groupBy(F.col("val_id").alias("sample_id")).agg(F.count(F.lit(1)).alias("n"), F.max("shared_v").alias("shared"))
+    per = overlap.partners(*overlap.cross_split(rows)).select(F.col("id").alias("sample_id"), "n", "shared")
     return (
         rows.select("sample_id", "split", "source")
-        .join(t.unionByName(v), "sample_id", "left")
+        .join(per, "sample_id", "left")
         .groupBy("split", "source")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
