@@ -124,7 +124,9 @@ class Passages:
         join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
         every, runs_, places_ = join(hashes, np.uint64), join(runs, np.int32), join(places, np.int32)
         by = np.argsort(every, kind="stable")
-        self.hashes, self.posted, self.offset = every[by], runs_[by], places_[by]
+        self.hashes, self.first = np.unique(every[by], return_index=True)
+        self.times = np.diff(self.first, append=len(every))
+        self.posted, self.offset = runs_[by], places_[by]
         self.bits = max(16, int(np.ceil(np.log2(max(1, len(self.grams)) * 16))))
         self.known, self.indexed = (np.packbits(self._marks(h)) for h in (self.grams[used], every))
 
@@ -148,10 +150,13 @@ class Passages:
         doc_ends = np.append(doc_starts[1:] - 1, len(codes))
         h = grams(codes, self.q)
         slot = self._slot(h)
-        count = np.concatenate([[0], np.cumsum(self._hit(self.known, slot))])
-        place = np.flatnonzero(self._hit(self.indexed, slot))
-        low = np.searchsorted(self.hashes, h[place])
-        times = np.searchsorted(self.hashes, h[place], side="right") - low
+        known = self._hit(self.known, slot)
+        count = np.concatenate([[0], np.cumsum(known)])
+        place = np.flatnonzero(known)
+        place = place[self._hit(self.indexed, slot[place]).astype(bool)]
+        at = np.minimum(np.searchsorted(self.hashes, h[place]), len(self.hashes) - 1)
+        there = self.hashes[at] == h[place]
+        place, low, times = place[there], self.first[at[there]], self.times[at[there]]
         if times.sum() > max(100_000, 4 * len(place)):  # a document that repeats itself is looked at once
             once = self._distinct(codes, place, np.searchsorted(doc_starts, place, side="right"))
             place, low, times = place[once], low[once], times[once]
@@ -172,12 +177,15 @@ class Passages:
             first = region
         width = 2 * half if e else 1
         # bands of one run of words are counted once
-        _, once = np.unique(np.stack([run.astype(np.int64), first]), axis=1, return_index=True)
+        _, once = np.unique(run.astype(np.int64) * (len(codes) + 4 * half) + first + 2 * half, return_index=True)
         run, first, doc = run[once], first[once], doc[once]
         kept = []
         for at in range(0, len(run), 20_000):  # bounded memory
-            part = slice(at, at + 20_000)
-            kept.append(at + np.flatnonzero(self._shared(h, run[part], first[part], width) >= self.need[run[part]]))
+            part = np.arange(at, min(at + 20_000, len(run)))
+            # of q-grams side by side an edit spoils one at most; then all of them are counted
+            side_by_side = -(-(self.length[run[part]] - self.q + 1) // self.q)
+            part = part[self._shared(h, run[part], first[part], width, self.q) >= side_by_side - e]
+            kept.append(part[self._shared(h, run[part], first[part], width) >= self.need[run[part]]])
         keep = np.concatenate(kept) if kept else np.zeros(0, np.int64)
         run, first, doc = run[keep], first[keep], doc[keep]
         apart = np.concatenate(
@@ -205,10 +213,11 @@ class Passages:
             key = (text ^ (text >> np.uint64(31))) * _B + doc.astype(np.uint64) * _INVERSE + (high - place).astype(np.uint64) + ((place - low).astype(np.uint64) << np.uint64(32))
         return np.unique(key, return_index=True)[1]
 
-    def _shared(self, h: np.ndarray, run: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
-        """How many of each run's q-grams stand in the document on the diagonals from ``first`` on."""
-        row, at = _ragged(self.start[run], self.length[run] - self.q + 1)
-        mine, place = self.grams[at], first[row] + at - self.start[run][row]
+    def _shared(self, h: np.ndarray, run: np.ndarray, first: np.ndarray, width: int, step: int = 1) -> np.ndarray:
+        """How many of each run's q-grams (every ``step``-th) stand in the document on the diagonals from ``first`` on."""
+        row, at = _ragged(np.zeros(len(run), np.int64), -(-(self.length[run] - self.q + 1) // step))
+        at *= step
+        mine, place = self.grams[self.start[run][row] + at], first[row] + at
         found = np.zeros(len(row), bool)
         for d in range(width):
             there = place + d
