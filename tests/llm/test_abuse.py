@@ -54,11 +54,34 @@ def test_misspellings_and_disguises(model):
 
 
 def test_tokens():
-    assert [abuse.plain(x) for x in ("p-orn", "br@1nl3$$", "d.u.m.b", "titsss", "1999", "anna27", "...", "c**p")] == ["porn", "brainless", "dumb", "tits", "0", "@name", "", "c*p"]
+    assert [abuse.plain(x) for x in ("p-orn", "br@1nl3$$", "d.u.m.b", "titsss", "1999", "anna27", "...", "c**p")] == ["porn", "brainless", "dumb", "tits", "0", "anna2t", "", "c*p"]
     assert abuse.sentences("s t u p i d man here now! We went home again today.")[0][:2] == ["stupid", "man"]
     assert max(map(len, abuse.sentences("word " * 500))) == abuse.WINDOW
 
 
+def test_new_words_cost_what_they_are_not_the_vocabulary(model):
+    """Each word's sum is taken once; batches after a large vocabulary give the same and are as quick as before it."""
+    texts, _ = documents(200, 5)
+    words = abuse.Words()
+    alone = model.logits(texts)[1]
+    made = [" ".join(f"{a}{b}{c}qu" for c in "bcdfghjklm") for a in THINGS for b in "abcdefghijklmnopqrstuvwxyz" for _ in range(4)]
+    model.logits([t.replace("qu", str(i)) for i, t in enumerate(made)], words)
+    assert len(words.sums) > 1000 and not words.buckets
+    known = len(words.sums)
+    assert np.allclose(model.logits(texts, words)[1], alone)
+    again = model.logits(texts, words)[1]
+    assert np.allclose(again, alone) and len(words.sums) < known + 200
+
+
+def test_one_fit_is_shared(spark, monkeypatch):
+    texts, rated = documents(60, 6)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(r)) for i, r in enumerate(rated)], "doc_id long, abusive int")
+    first = abuse.train(df, lab)
+    assert abuse.train(df, lab) is first
+    assert abuse.train(df, lab.where("doc_id > 3")) is not first
+
+
 def test_one_kind_of_rating_gives_no_model():
     assert abuse.fit(["a b c d"], np.array([1])) is None and abuse.fit([], np.array([], int)) is None
 

@@ -17,6 +17,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 import zlib
@@ -45,13 +46,11 @@ _EDGE = "\"'“”‘’„«»‹›()[]{}~_`<>|·•–—-.,;:!?…¿¡=#+/\\
 _INNER = re.compile(r"[-._~'’/\\|+^`]+")
 _RUN = re.compile(r"(.)\1{2,}")
 _STARS = re.compile(r"[*#•×]+")
-_NUMBERED = re.compile(r"[^\W\d_]{4,}\d{1,3}")
 _HAS_LETTER = re.compile(r"[^\W\d_]")
 
 
 def plain(token: str) -> str:
-    """A token without obfuscation: look-alikes, leet digits, inner punctuation, drawn-out letters; numbers are 0, names with a
-    number at their end @name."""
+    """A token without obfuscation: look-alikes, leet digits, inner punctuation, drawn-out letters; numbers are 0."""
     t = token.strip(_EDGE)
     if not t:
         return ""
@@ -59,8 +58,6 @@ def plain(token: str) -> str:
         return _RUN.sub(r"\1", t)
     if t.isdigit():
         return "0"
-    if _NUMBERED.fullmatch(t):
-        return "@name"
     if not t.isascii():
         t = unicodedata.normalize("NFKC", t)
         if any("a" <= c <= "z" for c in t):
@@ -106,11 +103,13 @@ def _pair_buckets(h: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Numbers of words, their hashes and buckets; forgets everything beyond ``most`` words."""
+    """Numbers of words with their hashes and buckets; forgets everything beyond ``most`` words. A scorer computes a word's sum
+    once, when the word is new, and drops its buckets."""
 
     def __init__(self, most: int = 300_000) -> None:
-        self.most, self.of, self.hashes, self.buckets = most, {}, [], []
+        self.most, self.of, self.new_hashes, self.buckets = most, {}, [], []
         self.raw: dict[str, int] = {}
+        self.hashes, self.sums, self.sizes = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64)
 
     def number(self, raw: str) -> int:
         n = self.raw.get(raw)
@@ -118,12 +117,26 @@ class Words:
             word = plain(raw)
             n = self.of.get(word) if word else -1
             if n is None:
-                n = self.of[word] = len(self.hashes)
-                self.hashes.append(zlib.crc32(word.encode()) | zlib.crc32(b"h" + word.encode()) << 32)
+                n = self.of[word] = len(self.of)
+                self.new_hashes.append(zlib.crc32(word.encode()) | zlib.crc32(b"h" + word.encode()) << 32)
                 self.buckets.append(buckets(word))
             self.raw[raw] = n
         return n
 
+    def hashed(self) -> np.ndarray:
+        if self.new_hashes:
+            self.hashes = np.concatenate([self.hashes, np.array(self.new_hashes, np.uint64)])
+            self.new_hashes = []
+        return self.hashes
+
+    def summed(self, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sum of the weights of each word's buckets, their number)."""
+        if self.buckets:
+            sizes = np.array([len(b) for b in self.buckets], np.int64)
+            self.sums = np.concatenate([self.sums, np.add.reduceat(weight[np.concatenate(self.buckets)], np.cumsum(sizes) - sizes)])
+            self.sizes, self.buckets = np.concatenate([self.sizes, sizes]), []
+        return self.sums, self.sizes
+
 
 @dataclass
 class Model:
@@ -148,11 +161,10 @@ class Model:
         n = np.array(numbers, np.int64)
         ends_ = np.array(ends, np.int64)
         starts = np.concatenate([[0], ends_[:-1]])
-        sums = np.array([self.weight[b].sum() for b in words.buckets])
-        sizes = np.array([len(b) for b in words.buckets])
+        sums, sizes = words.summed(self.weight)
         total = np.add.reduceat(sums[n], starts)
         count = np.add.reduceat(sizes[n], starts)
-        h = np.array(words.hashes, np.uint64)[n]
+        h = words.hashed()[n]
         pairs = np.append(self.weight[_pair_buckets(h)], 0.0) if len(h) > 1 else np.zeros(1)
         pairs[ends_ - 1] = 0.0
         total = total + np.add.reduceat(pairs, starts)
@@ -169,7 +181,7 @@ def _features(docs: list[list[list[str]]]) -> tuple[np.ndarray, np.ndarray, np.n
             n = [x for x in map(words.number, s) if x >= 0]
             if not n:
                 continue
-            h = np.array([words.hashes[x] for x in n], np.uint64)
+            h = words.hashed()[n]
             parts = [words.buckets[x] for x in n]
             if len(n) > 1:
                 parts.append(_pair_buckets(h))
@@ -254,9 +266,21 @@ def rated_documents(documents: DataFrame, labels: DataFrame, most: int = MAX_LAB
     return documents.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
+_fitted: dict[bytes, Model | None] = {}
+
+
 def train(documents: DataFrame, labels: DataFrame, **options: float) -> Model | None:
+    """The model of these ratings; the last one is kept, so that queries over the same ratings share one fit."""
     pdf = rated_documents(documents, labels).toPandas().sort_values("doc_id").drop_duplicates("doc_id")
-    return fit(pdf["text"].tolist(), pdf["rated"].to_numpy(), **options)
+    texts, rated = pdf["text"].tolist(), pdf["rated"].to_numpy()
+    key = hashlib.blake2b(repr(sorted(options.items())).encode() + rated.tobytes())
+    for t in texts:
+        key.update(t.encode("utf-8", "surrogatepass") + b"\0")
+    if key.digest() not in _fitted:
+        model = fit(texts, rated, **options)
+        _fitted.clear()
+        _fitted[key.digest()] = model
+    return _fitted[key.digest()]
 
 
 def scored(documents: DataFrame, model: Model | None, columns: tuple[str, ...] = ("doc_id", "source"), text_col: str = "text") -> DataFrame:
