@@ -2,8 +2,8 @@
 and counts of how often a digest occurs.
 
 All planes are packed, in the driver, in broadcasts and in workers; nothing is unpacked to a byte a slot but one segment at a
-time. A partition emits only its non-empty segments, as a list of slots where that is shorter than the bits; equal segments are merged in two
-steps, so a task holds one segment of a 32nd of the partitions at most. A table's size depends only on the number of slots,
+time. A partition emits only its non-empty segments, as a list of slots where that is shorter than the bits; equal segments are merged
+``FOLD`` partitions at a time, so a task never holds more than a few segments of these. A table's size depends only on the number of slots,
 never on the rows, and is therefore safe to send to the driver and to every task.
 """
 
@@ -18,8 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the number of slots in a segment; groups into which the partitions are folded before the last merge.
-SEG, FOLDS = 16, 32
+#: Bits of the number of slots in a segment; partitions merged in the first step; segments that one task call merges.
+SEG, FOLD, TOGETHER = 16, 32, 16
 
 
 def slot_bits(items: int, per_item: int = 16, least: int = 16, most: int = 27) -> int:
@@ -40,13 +40,24 @@ def _both(h: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([first, second[first != second]])
 
 
-def _merge(parts: DataFrame, merge: Callable[[list[bytes]], bytes]) -> DataFrame:
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"seg": [key[0]], "pid": [0], "data": [merge(list(pdf["data"]))]})
+def _merge(parts: DataFrame, merge: Callable[[list[bytes]], bytes], finish: Callable[[bytes], bytes] = bytes) -> DataFrame:
+    """Equal segments merged, ``FOLD`` partitions at a time where there are more."""
 
-    schema = "seg int, pid int, data binary"
-    folded = parts.groupBy("seg", (F.col("pid") % FOLDS).alias("fold")).applyInPandas(one, schema)
-    return folded.groupBy("seg").applyInPandas(one, schema)
+    def step(last: bool) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+        def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            by: dict[int, list[bytes]] = {}
+            for seg, data in zip(pdf["seg"], pdf["data"], strict=True):
+                by.setdefault(seg, []).append(data)
+            merged = [merge(x) for x in by.values()]
+            return pd.DataFrame({"seg": list(by), "pid": int(pdf["pid"].iloc[0]) // FOLD, "data": [finish(x) for x in merged] if last else merged})
+
+        return one
+
+    schema, block = "seg int, pid int, data binary", F.floor(F.col("seg") / TOGETHER).alias("block")
+    many = parts.rdd.getNumPartitions()
+    while many > FOLD:
+        parts, many = parts.groupBy(block, F.floor(F.col("pid") / FOLD).alias("fold")).applyInPandas(step(False), schema), -(-many // FOLD)
+    return parts.groupBy(block).applyInPandas(step(True), schema)
 
 
 def _emit(per_seg: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -99,6 +110,19 @@ class Planes:
         self.once[at] |= new
 
 
+    def segments(self, size: int) -> Iterator[tuple[int, bytes]]:
+        once, again = self.once.reshape(-1, size), self.again.reshape(-1, size)
+        return ((i, _pack((once[i], again[i]))) for i in np.flatnonzero(once.any(axis=1)))
+
+
+def _or(parts: list[bytes], size: int) -> bytes:
+    once, again = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
+    for p in parts:
+        o, r = _unpack(p, size)
+        once, again = once | o, again | r | (once & o)
+    return _pack((once, again))
+
+
 def seen_table(df: DataFrame, columns: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(once, again): packed planes of the slots that any, and that several, of the non-null long hashes in ``columns`` fall into,
     two slots a hash. An item added twice finds both its slots set in ``again``, whatever partitions it came from."""
@@ -109,18 +133,10 @@ def seen_table(df: DataFrame, columns: list[str], bits: int) -> tuple[np.ndarray
         for b in batches:
             for c in columns:
                 planes.add(_both(b.column(c).drop_null().to_numpy(zero_copy_only=False), bits))
-        once, again = planes.once.reshape(-1, size), planes.again.reshape(-1, size)
-        yield from _emit((i, _pack((once[i], again[i]))) for i in np.flatnonzero(once.any(axis=1)))
-
-    def merge(parts: list[bytes]) -> bytes:
-        once, again = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
-        for p in parts:
-            o, r = _unpack(p, size)
-            once, again = once | o, again | r | (once & o)
-        return _pack((once, again))
+        yield from _emit(planes.segments(size))
 
     out = np.zeros((2, max(1, (1 << bits) // 8)), np.uint8)
-    for row in _merge(df.select(*columns).mapInArrow(build, "seg int, pid int, data binary"), merge).toLocalIterator():
+    for row in _merge(df.select(*columns).mapInArrow(build, "seg int, pid int, data binary"), lambda parts: _or(parts, size)).toLocalIterator():
         at = slice(row["seg"] * size, (row["seg"] + 1) * size)
         out[0, at], out[1, at] = _unpack(bytes(row["data"]), size)
     return out[0], out[1]
@@ -133,7 +149,10 @@ def _get(plane: np.ndarray, slot: np.ndarray) -> np.ndarray:
 def probe(plane: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
     """Which hashes may be in a plane (added once or more, or several times); never false for one that is."""
     first, second = _slots(h, bits)
-    return (_get(plane, first) & _get(plane, second)).astype(bool)
+    out = _get(plane, first).astype(bool)
+    some = np.flatnonzero(out)
+    out[some] = _get(plane, second[some])
+    return out
 
 
 #: Occurrences that levels 0 to 15 of a count table stand for, at most.
@@ -144,37 +163,35 @@ def _level(n: np.ndarray) -> np.ndarray:
     return np.searchsorted(LEVELS, n).astype(np.uint8)
 
 
-def count_table(df: DataFrame, column: str, bits: int) -> np.ndarray:
-    """How often the long hashes in ``column`` occur, as levels of four bits (``LEVELS``), two slots a byte. A partition counts up to 65,535 a
-    slot; sums are exact up to four thousand million."""
-    size = min(1 << SEG, 1 << bits)
+def count_table(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
+    """How often the long hashes that ``hashes`` finds in a batch occur, as levels of four bits (``LEVELS``), two of the ``2**bits`` slots a byte.
+    A partition counts up to 255 a slot; sums are exact up to four thousand million."""
+    width = min(1 << SEG, 1 << bits)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, np.ndarray] = {}
+        counts = np.zeros(1 << bits, np.uint32)
         for b in batches:
-            u, n = np.unique(_both(b.column(0).drop_null().to_numpy(zero_copy_only=False), bits), return_counts=True)
-            cuts = np.flatnonzero(np.diff(u >> SEG)) + 1
-            for slots, more in zip(np.split(u, cuts), np.split(n, cuts), strict=True):
-                if len(slots):
-                    of = counts.setdefault(int(slots[0] >> SEG), np.zeros(size, np.uint16))
-                    at = slots & (size - 1)
-                    of[at] = np.minimum(of[at].astype(np.int64) + more, 65535)
-        yield from _emit((i, c.astype(np.uint32).tobytes()) for i, c in counts.items())
+            np.add.at(counts, _slots(hashes(b), bits)[0], np.uint32(1))
+        small = np.minimum(counts, 255).astype(np.uint8).reshape(-1, width)
+        yield from _emit((i, c.tobytes()) for i, c in enumerate(small) if c.any())
 
     def merge(parts: list[bytes]) -> bytes:
-        total = np.zeros(size, np.uint64)
-        for p in parts:
-            total += np.frombuffer(p, np.uint32)
+        total = np.zeros(width, np.uint64)
+        for p in parts:  # a partition's own counts have a byte, sums four
+            total += np.frombuffer(p, np.uint8 if len(p) == width else np.uint32)
         return np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()
 
+    def finish(data: bytes) -> bytes:
+        level = _level(np.frombuffer(data, np.uint32))
+        return (level[::2] << 4 | level[1::2]).tobytes()
+
     out = np.zeros(max(1, (1 << bits) // 2), np.uint8)
-    for row in _merge(df.select(column).mapInArrow(build, "seg int, pid int, data binary"), merge).toLocalIterator():
-        level = _level(np.frombuffer(bytes(row["data"]), np.uint32))
-        out[row["seg"] * (size // 2) : (row["seg"] + 1) * (size // 2)] = level[::2] << 4 | level[1::2]
+    for row in _merge(df.mapInArrow(build, "seg int, pid int, data binary"), merge, finish).toLocalIterator():
+        out[row["seg"] * (width // 2) : (row["seg"] + 1) * (width // 2)] = np.frombuffer(bytes(row["data"]), np.uint8)
     return out
 
 
 def counted(table: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
     """The level of each hash's count, or a higher one."""
-    level = lambda slot: (table[slot >> 1] >> (4 * (1 - (slot & 1))).astype(np.uint8)) & 15
-    return np.minimum(*(level(s) for s in _slots(h, bits)))
+    slot = _slots(h, bits)[0]
+    return (table[slot >> 1] >> (4 * (1 - (slot & 1))).astype(np.uint8)) & 15

@@ -4,21 +4,20 @@ Method: normalised records are cut into chunks whose places the content decides,
 words) are joined across splits, and the lengths of shared chunks are summed into overlap fractions. An exact word edit distance then
 decides.
 
-To find all pairs, training records are cut where it costs least: a table of how often each run of two to six words stands in
-the evaluation split tells what each possible chunk would meet there, and each record takes the cheapest set of disjoint chunks. Their
-digests are joined with all runs of these lengths of the evaluation records, so that edits elsewhere can't shift a cut. A pair goes on
+To find all pairs, evaluation records are cut where it costs least: a table of how often runs of two to six words stand in
+the training split tells what each possible chunk would meet there, and each record takes the cheapest set of disjoint chunks. Their
+digests are joined with all runs of these lengths of the training records, so that edits elsewhere can't shift a cut. A pair goes on
 if the words in its shared chunks are as many as its edits must leave. Of the pairs that the edit distance confirms, both records
 are cut by a rolling hash over two words; the share of their words in chunks of both is their overlap.
 
 Completeness: a record of ``n`` words has at most ``k`` edits to any partner of which they are at most a fifth (``most``) of
-the longer record's words. Every record gets ``k + 1`` disjoint chunks, an edit spoils one at most, so one chunk of the training
-record stands unchanged in the evaluation record; and the shared ones have at least as many words as the shortest
-``k + 1 - e``, where ``e`` are the edits allowed with that partner. Nothing is capped: the tables of counts only choose among chunks.
+the longer record's words. Every evaluation record gets ``k + 1`` disjoint chunks, an edit spoils one at most, so one of them
+stands unchanged in the training record; and the shared ones have at least as many words as the shortest
+``k + 1 - e``, where ``e`` are the edits allowed with that partner. Nothing is capped: the table of counts only chooses among chunks.
 
-Chunks carry the parities of their record's words (192 bits). A replacement flips two at most, an insertion or removal one,
+Chunks carry the parities of their record's words (128 bits). A replacement flips two at most, an insertion or removal one,
 and as many of these are needed as the lengths differ (``d``), so candidates that differ in more than ``2 e - d`` bits are left
-out inside the join. Chunks that no evaluation record has, and runs that no training record has as a chunk, are dropped before it
-by Bloom filters of bounded size; a training record all of whose chunks are such cannot have a partner. Records with equal words
+out inside the join. Runs that no evaluation record has as a chunk are dropped before it by a Bloom filter of bounded size. Records with equal words
 are one class throughout: each is cut once, and links of classes are expanded to their members only where pairs are asked for.
 
 Defined results: null and blank texts and those under ``least`` words take no part; other splits than ``train`` and ``val``
@@ -36,18 +35,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.clean import fence
 from ..runtime import materialize, small
 from . import bits
 from .words import flat
 
 #: Chunk lengths in words; words among which chunks are chosen at once.
-SIZES, BLOCK = (2, 3, 4, 5, 6), 32
+SIZES, BLOCK = (2, 3, 4, 5, 6), 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_PRIMES = tuple(np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-#: ``c1, c2`` is a record's class; ``m1, m2`` hold how many of its chunks are under each length (21 bits each).
-_CLASS, _PARITY = ["c1", "c2"], ["s1", "s2", "s3"]
-_ROW = "digest long, size int, c1 long, c2 long, n int, cuts int, m1 long, m2 long, s1 long, s2 long, s3 long"
+_PRIME = np.uint64(0x9E3779B185EBCA87)
+#: ``c1, c2`` is a record's class; ``w`` holds the words of the chunk (4 bits), of the record and the number of its chunks (28 each); ``under``
+#: how many of those have fewer than 2 to 6 words (12 bits each, full ones stand for more); ``s1, s2`` are parities.
+_CLASS = ["c1", "c2"]
+_RUN = "digest long, w long, c1 long, c2 long, s1 long, s2 long"
+_CHUNK = _RUN + ", under long"
+_MOST_UNDER = (1 << 12) - 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -97,8 +100,8 @@ def _cheapest(costs: dict[int, np.ndarray], first: np.ndarray, words: np.ndarray
             cost = costs[size][np.minimum(at, len(costs[size]) - 1)] - np.float32(size / 1024)
             new = best[i - size, :, :-1] + np.where(i <= words, cost, np.float32(np.inf))[:, None]
             less = new < best[i, :, 1:]
-            best[i, :, 1:][less] = new[less]
-            took[i, :, 1:][less] = size
+            np.copyto(best[i, :, 1:], new, where=less)
+            np.copyto(took[i, :, 1:], size, where=less)
     block, at, left = np.arange(len(first)), words.copy(), quota.copy()
     found = []
     while len(block):
@@ -145,11 +148,11 @@ def windows(u: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def parities(u: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """Three longs a row: the parities of how many of its words fall on each bit."""
+    """Two longs a row: the parities of how many of its words fall on each bit."""
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    place = _mix(u * _PRIMES[0]) % np.uint64(192)
+    place = _mix(u * _PRIME) % np.uint64(128)
     out = []
-    for i in range(3):
+    for i in range(2):
         bit = np.where(place // np.uint64(64) == i, np.uint64(1) << (place % np.uint64(64)), np.uint64(0))
         out.append(np.bitwise_xor.reduceat(bit, starts).view(np.int64) if len(bit) else np.zeros(0, np.int64))
     return out
@@ -190,7 +193,7 @@ def edits(a: list[str], b: list[str], most: int) -> int:
 def records(df: DataFrame, id_col: str, text_col: str, split_col: str, least: int = 8) -> DataFrame:
     """``id, split, flat, n, c1, c2``: the words of each text in the two splits with spaces around them, their number, and the class."""
     known = df.where(F.col(split_col).isin("train", "val") & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    words = known.select(F.col(id_col).cast("long").alias("id"), F.col(split_col).alias("split"), flat(F.col(text_col)).alias("flat"))
+    words = fence(known.select(F.col(id_col).cast("long").alias("id"), F.col(split_col).alias("split"), F.col(text_col).alias("raw")), ("flat", flat(F.col("raw"))))
     n = (F.length("flat") - F.length(F.translate("flat", " ", "")) - 1).cast("int")
     return words.select("id", "split", "flat", n.alias("n"), F.xxhash64("flat").alias("c1"), F.xxhash64(F.lit(7), "flat").alias("c2")).where(F.col("n") >= least)
 
@@ -232,19 +235,11 @@ def _distinct(part: DataFrame, filter_bits: int) -> DataFrame:
     return marked.where("not again").select(*columns).unionByName(materialize(one.select(*columns), "p1-repeated"))
 
 
-def _carried(b: pa.RecordBatch, u: np.ndarray, ends: np.ndarray, row: np.ndarray, digest: np.ndarray, size: np.ndarray, cuts: np.ndarray, under: np.ndarray) -> pa.RecordBatch:
-    at = pa.array(row)
-    pack = lambda k: (under[:, k] | under[:, k + 1] << 21 | under[:, k + 2] << 42)[row]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(digest.view(np.int64)), pa.array(size.astype(np.int32)), *(b.column(c).take(at) for c in (*_CLASS, "n")), pa.array(cuts[row].astype(np.int32)),
-            pa.array(pack(0)), pa.array(pack(3)), *(pa.array(s[row]) for s in parities(u, ends)),
-        ],
-        schema=_SCHEMA,
-    )
-
-
-_SCHEMA = pa.schema([(x.split()[0], pa.int64() if x.endswith("long") else pa.int32()) for x in _ROW.split(", ")])
+def _carried(b: pa.RecordBatch, u: np.ndarray, ends: np.ndarray, row: np.ndarray, digest: np.ndarray, size: np.ndarray, cuts: np.ndarray | int, under: np.ndarray | None) -> pa.RecordBatch:
+    w = (np.diff(ends, prepend=0) << 4 | np.asarray(cuts, np.int64) << 32)[row] | size
+    columns = [pa.array(digest.view(np.int64)), pa.array(w), *(b.column(c).take(pa.array(row)) for c in _CLASS), *(pa.array(s[row]) for s in parities(u, ends))]
+    names = [x.split()[0] for x in (_RUN if under is None else _CHUNK).split(", ")]
+    return pa.RecordBatch.from_arrays(columns if under is None else [*columns, pa.array(under[row])], names=names)
 
 
 def _once(row: np.ndarray, digest: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -256,16 +251,6 @@ def _once(row: np.ndarray, digest: np.ndarray, size: np.ndarray) -> tuple[np.nda
     return row[first], digest[first], size[first]
 
 
-def _all_runs(part: DataFrame) -> DataFrame:
-    """``digest`` of all runs of each record."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_once(*windows(*hashed(b.column("flat"))))[1].view(np.int64))], names=["digest"])
-
-    return part.select("flat").mapInArrow(cut, "digest long")
-
-
 def _met_runs(part: DataFrame, met: np.ndarray, n_bits: int) -> DataFrame:
     """All runs of each record that the filter knows."""
     sent = part.sparkSession.sparkContext.broadcast(met)
@@ -276,37 +261,32 @@ def _met_runs(part: DataFrame, met: np.ndarray, n_bits: int) -> DataFrame:
             row, digest, size = windows(u, ends)
             hit = bits.probe(sent.value, n_bits, digest.view(np.int64))
             row, digest, size = _once(row[hit], digest[hit], size[hit])
-            none = np.zeros((len(ends), 6), np.int64)
-            yield _carried(b, u, ends, row, digest, size, none[:, 0], none)
-
-    return part.select("flat", "n", *_CLASS).mapInArrow(cut, _ROW)
+            yield _carried(b, u, ends, row, digest, size, 0, None)
 
+    return part.select("flat", *_CLASS).mapInArrow(cut, _RUN)
 
-def _rare_chunks(part: DataFrame, most: float, there: np.ndarray, there_bits: int, counts: np.ndarray, count_bits: int) -> DataFrame:
-    """Each record's cheapest chunks that the other split has."""
-    sent = part.sparkSession.sparkContext.broadcast((there, counts))
 
-    def cost(h: np.ndarray) -> np.ndarray:
-        return np.where(bits.probe(sent.value[0], there_bits, h), bits.LEVELS[np.maximum(bits.counted(sent.value[1], count_bits, h), 1)], 0)
+def _rare_chunks(part: DataFrame, most: float, counts: np.ndarray, count_bits: int) -> DataFrame:
+    """Each record's chunks that cost least in the other split."""
+    sent = part.sparkSession.sparkContext.broadcast(counts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             u, ends = hashed(b.column("flat"))
-            row, _, size, digest = chunks(u, ends, most, cost)
+            row, _, size, digest = chunks(u, ends, most, lambda h: bits.LEVELS[bits.counted(sent.value, count_bits, h)])
             row, digest, size = _once(row, digest, size)
             cuts = np.bincount(row, minlength=len(ends))
-            # chunks of fewer than 2, 3, ... 7 words
-            under = np.stack([np.bincount(row[size < k], minlength=len(ends)) for k in range(2, 8)], axis=1).astype(np.int64)
-            hit = bits.probe(sent.value[0], there_bits, digest.view(np.int64))
-            yield _carried(b, u, ends, row[hit], digest[hit], size[hit], cuts, under)
+            under = sum(np.minimum(np.bincount(row[size < k], minlength=len(ends)), _MOST_UNDER) << 12 * i for i, k in enumerate(range(2, 7)))
+            yield _carried(b, u, ends, row, digest, size, cuts, under)
 
-    return part.select("flat", "n", *_CLASS).mapInArrow(cut, _ROW)
+    return part.select("flat", *_CLASS).mapInArrow(cut, _CHUNK)
 
 
 def _least_words(left: Column) -> Column:
     """Words in the ``left`` shortest chunks: one for each of them that is not under one word, not under two, and so on."""
-    under = [F.shiftright(F.col(m), 21 * i).bitwiseAND(F.lit((1 << 21) - 1)) for m in ("m1", "m2") for i in range(3)]
-    return sum((F.greatest(F.lit(0), left - x) for x in under[:-1]), F.greatest(F.lit(0), left))
+    left = F.least(left, F.lit(_MOST_UNDER))
+    under = [F.shiftright("under", 12 * i).bitwiseAND(F.lit(_MOST_UNDER)) for i in range(5)]
+    return sum((F.greatest(F.lit(0), left - x) for x in under), F.greatest(F.lit(0), left))
 
 
 def content_cuts(u: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -359,23 +339,21 @@ def _verified(both: DataFrame, most: float) -> DataFrame:
 _LINK = ["t1", "t2", "v1", "v2"]
 
 
-def candidates(train: DataFrame, val: DataFrame, most: float, filter_bits: int = 27, count_bits: int = 24) -> DataFrame:
+def candidates(train: DataFrame, val: DataFrame, most: float, filter_bits: int = 27, count_bits: int = 22) -> DataFrame:
     """``t1, t2, v1, v2``: pairs of classes of ``_distinct`` records whose shared chunks hold enough words."""
-    n = 5 * val.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    there_bits, n_bits = bits.slot_bits(n, 8, most=filter_bits), bits.slot_bits(n, 4, most=count_bits)
-    every = _all_runs(val)
-    there, _ = bits.seen_table(every, ["digest"], there_bits)
-    t = materialize(_rare_chunks(train, most, there, there_bits, bits.count_table(every, "digest", n_bits), n_bits), "p1-train")
-    met_bits = bits.slot_bits(t.count(), 8, most=filter_bits)
-    met, _ = bits.seen_table(t, ["digest"], met_bits)
-    v = materialize(_met_runs(val, met, met_bits), "p1-val")
-    e = F.floor(F.greatest("t.n", "v.n") * most + 1e-9).cast("int")
-    flips = sum((F.bit_count(F.col(f"t.{s}").bitwiseXOR(F.col(f"v.{s}"))) for s in _PARITY), F.lit(0))
-    apart = F.abs(F.col("t.n") - F.col("v.n"))
+    counts = bits.count_table(train.select("flat"), lambda b: windows(*hashed(b.column(0)))[1], count_bits)
+    v = materialize(_rare_chunks(val, most, counts, count_bits), "p1-val")
+    met_bits = bits.slot_bits(v.count(), 16, most=filter_bits)
+    met, _ = bits.seen_table(v, ["digest"], met_bits)
+    t = _met_runs(train, met, met_bits)
+    size = lambda side: F.shiftright(f"{side}.w", 4).bitwiseAND(F.lit((1 << 28) - 1)).cast("int")
+    e = F.floor(F.greatest(size("t"), size("v")) * most + 1e-9).cast("int")
+    flips = sum((F.bit_count(F.col(f"t.{s}").bitwiseXOR(F.col(f"v.{s}"))) for s in ("s1", "s2")), F.lit(0))
+    apart = F.abs(size("t") - size("v"))
     near = t.alias("t").join(v.alias("v"), (F.col("t.digest") == F.col("v.digest")) & (apart <= e) & (flips <= 2 * e - apart))
     pair = [F.col(f"{x[0]}.c{x[1]}").alias(x) for x in _LINK]
-    left = (F.col("t.cuts") - e).alias("left")
-    counted = near.groupBy(*pair).agg(F.sum("t.size").alias("words"), *(F.first(c).alias(c.split(".")[1]) for c in ("t.m1", "t.m2")), F.first(left).alias("left"))
+    left = (F.shiftright("v.w", 32).cast("int") - e).alias("left")
+    counted = near.groupBy(*pair).agg(F.sum(F.col("v.w").bitwiseAND(F.lit(15))).alias("words"), F.first("v.under").alias("under"), F.first(left).alias("left"))
     return counted.where(F.col("words") >= _least_words(F.col("left"))).select(*_LINK)
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import new_folder, small
+from .words import is_ascii
 
 #: Runs of counts that are read side by side before they are merged into one.
 COMPACT = 8
@@ -46,8 +47,9 @@ class Limits:
 
 def normal_line(line: Column) -> Column:
     """Without letter case, outer white space, kind and amount of inner white space, and the values of numbers."""
-    spaced = F.trim(F.regexp_replace(F.lower(F.upper(line)), r"(?U)\s+", " "))
-    return F.regexp_replace(spaced, "[0-9]+", "0")
+    general = F.regexp_replace(F.lower(F.upper(line)), r"(?U)\s+", " ")
+    plain = F.regexp_replace(F.translate(F.lower(line), "\t\n\x0b\x0c\r", " " * 5), "  +", " ")
+    return F.regexp_replace(F.trim(F.when(is_ascii(line), plain).otherwise(general)), "[0-9]+", "0")
 
 
 def _hashes(source: Column, norm: Column) -> Column:
