@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.clean import fence
 from ..runtime import new_folder, small
 from .words import is_ascii
 
@@ -46,20 +47,15 @@ class Limits:
 
 
 def normal_line(line: Column) -> Column:
-    """Without letter case, outer white space, kind and amount of inner white space, and the values of numbers."""
-    general = F.regexp_replace(F.lower(F.upper(line)), r"(?U)\s+", " ")
-    plain = F.regexp_replace(F.translate(F.lower(line), "\t\n\x0b\x0c\r", " " * 5), "  +", " ")
-    return F.regexp_replace(F.trim(F.when(is_ascii(line), plain).otherwise(general)), "[0-9]+", "0")
+    """Without letter case, outer white space, kind and amount of inner white space, and the values of numbers. Most lines are ASCII with single
+    spaces, which no pattern needs to look at."""
+    spaced = F.regexp_replace(F.lower(F.upper(line)), r"(?U)\s+", " ")
+    plain = is_ascii(line) & ~line.contains("  ") & ~line.rlike("[\\t\\x0b\\x0c\\r]")
+    return F.regexp_replace(F.trim(F.when(plain, F.lower(line)).otherwise(spaced)), "[0-9]+", "0")
 
 
-def _hashes(source: Column, norm: Column) -> Column:
-    return F.struct(F.xxhash64(source, norm).alias("k1"), F.xxhash64(F.lit(7), norm, source).alias("k2"))
-
-
-def _keys(source: Column, line: Column) -> Column:
-    """Null for lines without a letter, which are never removed."""
-    norm = normal_line(line)
-    return F.when(norm.rlike(r"\p{L}"), _hashes(source, norm))
+def _hashes(source: Column, norm: Column) -> list[Column]:
+    return [F.xxhash64(source, norm).alias("k1"), F.xxhash64(F.lit(7), norm, source).alias("k2")]
 
 
 def document(row: Column, text: Column, source: Column) -> list[Column]:
@@ -75,8 +71,9 @@ def line_keys(df: DataFrame, id_col: str, text_col: str, source_col: str, file_c
     lines = df.where(text.isNotNull()).select(
         *document(row, text, source), row.alias("row"), file.alias("file"), source.alias("src"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line")
     )
-    keyed = lines.select(*_DOC, "row", (F.col("pos") + 1).cast("long").alias("line_no"), "file", _keys(F.col("src"), F.col("line")).alias("k"))
-    return keyed.where("k is not null").select(*_DOC, "row", "line_no", "file", "k.k1", "k.k2", run.cast("int").alias("run"))
+    # lines without a letter are never removed
+    normal = fence(lines, ("norm", normal_line(F.col("line")))).where(F.col("norm").rlike(r"\p{L}"))
+    return normal.select(*_DOC, "row", (F.col("pos") + 1).cast("long").alias("line_no"), "file", *_hashes(F.col("src"), F.col("norm")), run.cast("int").alias("run"))
 
 
 class LineCounts:
