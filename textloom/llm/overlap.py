@@ -194,7 +194,7 @@ def records(df: DataFrame, id_col: str, text_col: str, split_col: str, least: in
     """``id, split, flat, n, c1, c2``: the words of each text in the two splits with spaces around them, their number, and the class."""
     known = df.where(F.col(split_col).isin("train", "val") & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     words = fence(known.select(F.col(id_col).cast("long").alias("id"), F.col(split_col).alias("split"), F.col(text_col).alias("raw")), ("flat", flat(F.col("raw"))))
-    n = (F.length("flat") - F.length(F.translate("flat", " ", "")) - 1).cast("int")
+    n = (F.length("flat") - F.length(F.replace("flat", F.lit(" "), F.lit(""))) - 1).cast("int")
     return words.select("id", "split", "flat", n.alias("n"), F.xxhash64("flat").alias("c1"), F.xxhash64(F.lit(7), "flat").alias("c2")).where(F.col("n") >= least)
 
 
