@@ -75,3 +75,40 @@ def test_batches_duplicates_and_conversion(spark, corpus, tmp_path, capsys):
     (tmp_path / "pages/a.html").write_text("<p>" + GOOD * 4 + "</p><script>x</script>")
     run(capsys, "extract-text", "--input", tmp_path / "pages", "--output", tmp_path / "text")
     assert GOOD in "".join(p.read_text() for p in (tmp_path / "text").glob("*.txt"))
+
+
+def test_cleaning_options_and_what_is_there_already(spark, corpus, tmp_path, capsys):
+    out = run(capsys, "clean-corpus-batch", "--input", corpus, "--output", tmp_path / "o", "--no-dedupe-within", "--min-chars", 3, "--min-words", 1, "--no-drop-code", "--max-digit-ratio", 0.5)
+    assert out == {"kept": "5"}
+    assert {p.name for p in (tmp_path / "o").iterdir()} == {"a.clean.txt", "b.clean.txt"}
+    (corpus / "c.txt").write_text(GOOD + "\n")
+    out = run(capsys, "clean-corpus-batch", "--input", corpus, "--output", tmp_path / "o")
+    assert out == {"skipped_existing": "2", "kept": "1"}
+    assert run(capsys, "clean-corpus-batch", "--input", corpus, "--output", tmp_path / "o") == {"skipped_existing": "3"}
+    assert run(capsys, "clean-corpus-batch", "--input", corpus, "--output", tmp_path / "o", "--force")["kept"] == "4"
+    with pytest.raises(ValueError, match="ratios"):
+        cli.main(["clean-corpus-batch", "--input", str(corpus), "--output", str(tmp_path / "x"), "--min-alpha-ratio", "2"])
+
+
+def test_parquet_to_shards_and_files_that_cannot_be_read(spark, tmp_path, capsys):
+    import pandas as pd
+    from tokenizers import Tokenizer
+
+    d = tmp_path / "p"
+    d.mkdir()
+    pd.DataFrame({"text": [GOOD + GOOD, None, "x", GOOD * 3]}).to_parquet(d / "a.parquet")
+    (d / "bad.parquet").write_bytes(b"no parquet")
+    pd.DataFrame({"other": ["x"]}).to_parquet(d / "c.parquet")
+    with pytest.raises(SystemExit):
+        cli.main(["parquet-to-shards", "--input", str(d), "--tokenizer", BPE, "--output", str(tmp_path / "s"), "--shard-size", "16"])
+    out = dict(x.split("=", 1) for x in capsys.readouterr().out.splitlines())
+    t = Tokenizer.from_file(BPE)
+    assert int(out["train_tokens"]) + int(out["val_tokens"]) == sum(len(t.encode(x + "\n").ids) for x in (GOOD + GOOD, GOOD * 3))
+    assert out["rows_sharded"] == "2" and out["c.parquet"] == "skipped:missing_field:text" and out["bad.parquet"].startswith("skipped:unreadable")
+    assert run(capsys, "verify-shards", "--path", tmp_path / "s", "--tokenizer", BPE, "--check-ranges")["ok"] == "True"
+    with pytest.raises(SystemExit):
+        cli.main(["parquet-to-corpus", "--input", str(d), "--output", str(tmp_path / "c")])
+    assert "a.parquet=seen:4,written:2,short:1" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        cli.main(["parquet-to-corpus", "--input", str(d), "--output", str(tmp_path / "c")])
+    assert "a.parquet=skipped_existing" in capsys.readouterr().out

@@ -119,10 +119,12 @@ def test_written_lines_keep_their_order(spark, tmp_path):
     files = {"a": [f"{GOOD} {i}" for i in range(20)], "b": [GOOD]}
     done = clean.clean(corpus(spark, files), clean.CleanLimits(dedupe_within=False))
     clean.write_clean(done, str(tmp_path / "out"))
-    got = [x for p in sorted((tmp_path / "out/file=a").glob("*.txt")) for x in p.read_text().splitlines()]
+    got = [x for p in sorted((tmp_path / "out/a.clean.txt").glob("*.txt")) for x in p.read_text().splitlines()]
     assert got == files["a"]
-    with pytest.raises(Exception, match="(?i)exist"):
+    with pytest.raises(FileExistsError):
         clean.write_clean(done, str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["a.clean.txt", "b.clean.txt"]
+    clean.write_clean(done, str(tmp_path / "out"), ".other")
 
 
 def test_risk(spark):

@@ -217,7 +217,7 @@ def test_paged_rows(spark):
 
 def test_sampled_windows(spark):
     rows = [(list(range(i, i + n)),) for i, n in ((0, 40), (1000, 9), (2000, 8), (3000, 300))]
-    df = spark.createDataFrame(rows, "ids array<int>").repartition(3)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "sample_id long, ids array<int>").repartition(3)
     got = tokens.sampled_windows(df, "ids", 8, 600, 3).collect()
     assert sorted(r["draw"] for r in got) == list(range(600))
     assert all(len(r["x"]) == 8 and r["y"] == [t + 1 for t in r["x"]] for r in got)

@@ -109,14 +109,18 @@ def collapse_prefix(c: Column, least: int = 5, most: int = 24) -> Column:
     A back-reference finds it in one pass; the greedy count tries the longest beginning first."""
     flat = normalize_whitespace(c)
     twice = rf"(?iu)^((?:[^ ]+ ){{{least - 1},{most - 1}}}[^ ]+) \1(?= |$)"
-    return F.when(flat.rlike(twice), F.regexp_replace(flat, twice, "$1")).otherwise(c)
+    # its first word must come again; a text of ten words has nine spaces
+    may = flat.rlike(rf"(?iu)^([^ ]+) (?:[^ ]+ ){{{least - 1},{most - 1}}}\1(?: |$)")
+    return F.when(may & flat.rlike(twice), F.regexp_replace(flat, twice, "$1")).otherwise(c)
 
 
 def strip_score(c: Column) -> Column:
     """Drop a lone number between a title (with ? or :) and a text of twenty characters or more."""
     text = normalize_whitespace(c)
+    # plain tests first: the parts are taken out of few texts
+    may = (c.contains("?") | c.contains(":")) & c.rlike(WS + "[+-]?[0-9]{1,4}" + WS) & text.rlike(SCORE)
     before, after = F.trim(F.regexp_extract(text, SCORE, 1)), F.trim(F.regexp_extract(text, SCORE, 3))
-    hit = text.rlike(SCORE) & (before.contains("?") | before.contains(":")) & (F.length(after) >= 20)
+    hit = may & (before.contains("?") | before.contains(":")) & (F.length(after) >= 20)
     return F.when(hit, F.concat(before, F.lit(" "), after)).otherwise(text)
 
 

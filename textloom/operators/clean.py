@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact
 from ..functions import text as T
-from ..runtime import materialize
+from ..runtime import materialize, small
 
 #: In the order in which they are tried; a line is charged to the first that holds.
 REASONS = (
@@ -74,21 +75,37 @@ def rewritten_lines(lines: DataFrame, limits: CleanLimits = CleanLimits()) -> Da
     start = lines.select("file", "row", "pos", "raw")
     if limits.decode_entities:
         start = start.withColumn("raw", exact.decode_entities(F.col("raw")))
-    first = fence(start, ("l1", _regexes(F.col("raw"), limits)))
+    raw = F.col("raw")
+    first = fence(start, ("l1", F.when(_may_match(raw, limits), _regexes(raw, limits)).otherwise(raw)))
     second = fence(first, ("l2", T.collapse_prefix(F.col("l1")) if limits.collapse_prefix else F.col("l1")))
     third = T.strip_score(F.col("l2")) if limits.strip_score else F.col("l2")
     return fence(second, ("line", T.normalize_whitespace(third))).select("file", "row", "pos", "line")
 
 
+def _steps(limits: CleanLimits) -> list[tuple[str, tuple[str, ...]]]:
+    """(pattern, words of which every match has one) of the steps that are on. Steps only take pieces out, so a word that a later step needs
+    stands in the line from the beginning."""
+    steps = (
+        (limits.strip_tags, ((T.TAG, ("<",)),)),
+        (limits.strip_suffixes, ((T.SITE_SUFFIX, ("stack",)),)),
+        (limits.strip_navigation, ((T.SHELL, ("stack",)), (T.NAV_RUN, tuple(T.NAV_WORD.split("|"))), (T.BRAND_RUN, ("stack",)))),
+        (limits.strip_metadata, ((T.TIMELINE, ("viewed",)), (T.PUBLIC, ("public",)))),
+    )
+    return [x for on, pairs in steps if on for x in pairs]
+
+
+def _may_match(c: Column, limits: CleanLimits) -> Column:
+    """Whether any step may change the line: a plain search for its words, before any pattern is tried."""
+    low, out = F.lower(c), F.lit(False)
+    for pattern, words in _steps(limits):
+        # three words of the same list in a row
+        out = out | (c.rlike(rf"(?i)\b(?:{T.NAV_WORD})\s+(?:{T.NAV_WORD})\b") if pattern == T.NAV_RUN else low.contains(words[0]))
+    return out
+
+
 def _regexes(c: Column, limits: CleanLimits) -> Column:
-    for on, patterns in (
-        (limits.strip_tags, (T.TAG,)),
-        (limits.strip_suffixes, (T.SITE_SUFFIX,)),
-        (limits.strip_navigation, (T.SHELL, T.NAV_RUN, T.BRAND_RUN)),
-        (limits.strip_metadata, (T.TIMELINE, T.PUBLIC)),
-    ):
-        for p in patterns if on else ():
-            c = F.regexp_replace(c, p, " ")
+    for pattern, _ in _steps(limits):
+        c = F.regexp_replace(c, pattern, " ")
     return c
 
 
@@ -137,7 +154,7 @@ def deduplicated(checked: DataFrame, limits: CleanLimits = CleanLimits()) -> Dat
     """The same rows, with the reasons of later copies filled in. The first of each key stays, in its file or over all files.
 
     Firsts are found by a minimum per key, which combines before the shuffle, so that a key held by very many lines is no
-    hot spot; the join back spreads them by key and file.
+    hot spot. Only keys that stand for several lines are joined back (broadcast while they are few); dropped lines pass by.
     """
     if not (limits.dedupe_within or limits.dedupe_global):
         return checked
@@ -145,21 +162,22 @@ def deduplicated(checked: DataFrame, limits: CleanLimits = CleanLimits()) -> Dat
     if limits.dedupe_normalized:  # shorter lines are compared as they are
         long_enough = F.length(line) >= limits.normalized_min_chars
         key = F.coalesce(exact.dedupe_key(F.when(F.col("reason").isNull() & long_enough, line)), line)
-    # read twice, the first time without the lines
-    keyed = materialize(checked.withColumn("_k", F.when(F.col("reason").isNull(), F.sha2(key, 256))), "keyed")
+    # read several times, mostly without the lines
+    keyed = materialize(checked.withColumn("_k", F.when(F.col("reason").isNull(), F.unhex(F.md5(key)))), "keyed")
     at = F.struct("file", "row", "pos")
-    per_file = keyed.where("_k is not null").groupBy("_k", "file").agg(F.min(at).alias("_first"))
-    first = per_file
+    per_file = keyed.where("_k is not null").groupBy("_k", "file").agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_n"))
     if limits.dedupe_global:
-        over_all = per_file.groupBy("_k").agg(F.min("_first").alias("_best"))
-        first = per_file.join(over_all, "_k")
+        per_file = materialize(per_file, "firsts")
+        over_all = per_file.groupBy("_k").agg(F.min("_first").alias("_best"), F.sum("_n").alias("_all")).where("_all > 1")
+        first = per_file.drop("_n").join(over_all.drop("_all"), "_k")
     else:
-        first = per_file.withColumn("_best", F.col("_first"))
-    out = keyed.join(first, ["_k", "file"], "left")
+        first = per_file.where("_n > 1").drop("_n").withColumn("_best", F.col("_first"))
+    out = keyed.where("_k is not null").join(small(materialize(first, "repeated")), ["_k", "file"], "left")
     within = (at != F.col("_first")) if limits.dedupe_within else F.lit(False)
     elsewhere = (at != F.col("_best")) if limits.dedupe_global else F.lit(False)
-    why = F.when(F.col("reason").isNotNull(), F.col("reason")).when(within, F.lit("duplicate_within")).when(elsewhere, F.lit("duplicate_global"))
-    return out.select("file", "row", "pos", "line", why.alias("reason"))
+    why = F.when(within, F.lit("duplicate_within")).when(elsewhere, F.lit("duplicate_global"))
+    columns = ["file", "row", "pos", "line"]
+    return out.select(*columns, why.alias("reason")).unionByName(keyed.where("_k is null").select(*columns, "reason"))
 
 
 def clean(lines: DataFrame, limits: CleanLimits = CleanLimits(), boilerplate: DataFrame | None = None) -> DataFrame:
@@ -173,14 +191,28 @@ def counters(cleaned: DataFrame) -> DataFrame:
     return per.unionByName(per.groupBy("reason").agg(F.sum("n").alias("n")).withColumn("file", F.lit(None).cast("string")))
 
 
-def write_clean(cleaned: DataFrame, folder: str) -> None:
-    """Kept lines as text, one folder per file, in their order."""
-    kept = cleaned.where("reason is null").select("file", "row", "pos", "line")
-    (
-        kept.repartitionByRange("file", "row")
-        .sortWithinPartitions("file", "row", "pos")
-        .select("file", F.col("line").alias("value"))
-        .write.mode("errorifexists")
-        .partitionBy("file")
-        .text(folder)
-    )
+def write_clean(cleaned: DataFrame, folder: str, suffix: str = ".clean.txt") -> None:
+    """Kept lines as text in their order: for each file a folder of parts, named by the file's stem and the suffix. Files are spread by
+    ranges of places, so a large one is written by many tasks. Everything is written aside first; a name that is there already is an error."""
+    spark = cleaned.sparkSession
+    stem = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.[^.]*$", "")
+    kept = cleaned.where("reason is null").select("file", "row", "pos", "line", F.concat(stem, F.lit(suffix)).alias("name"))
+    path = lambda *names: spark._jvm.org.apache.hadoop.fs.Path("/".join((folder.rstrip("/"), *names)))
+    aside = f"_incomplete-{uuid.uuid4().hex}"
+    fs = path().getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        (
+            kept.repartitionByRange("name", "file", "row", "pos")
+            .sortWithinPartitions("name", "file", "row", "pos")
+            .select("name", F.col("line").alias("value"))
+            .write.partitionBy("name")
+            .text(f"{folder.rstrip('/')}/{aside}")
+        )
+        names = [x.getPath().getName() for x in fs.listStatus(path(aside)) if x.getPath().getName().startswith("name=")]
+        there = [n for n in names if fs.exists(path(n.removeprefix("name=")))]
+        if there:
+            raise FileExistsError(there[0].removeprefix("name="))
+        for n in names:
+            fs.rename(path(aside, n), path(n.removeprefix("name=")))
+    finally:
+        fs.delete(path(aside), True)

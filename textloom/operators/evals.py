@@ -84,5 +84,11 @@ def running_best(df: DataFrame, metric: str, order: str, by: list[str], higher:
     return df.withColumn("best_before", best).withColumn("ok", F.coalesce(good, F.lit(True)))
 
 
+def best_checkpoints(df: DataFrame, metric: str, order: str, by: list[str], policy: Column | None = None) -> DataFrame:
+    """``best_before`` and ``promoted``: what the policy says, or, where it says nothing, whether the metric is at least the best before."""
+    out = running_best(df, metric, order, by)
+    return out.withColumn("promoted", F.col("ok") if policy is None else F.coalesce(policy, F.col("ok"))).drop("ok")
+
+
 def perplexity(loss: Column) -> Column:
     return F.exp(F.least(loss, F.lit(20.0)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import quarantine_base
+from .tokens import with_offsets
 
 WIDTH = {"uint16": 2, "uint32": 4}
 
@@ -140,23 +141,45 @@ def verified(manifests: DataFrame, found: DataFrame) -> DataFrame:
     return out.select("manifest", (F.col("errors") == 0).alias("ok"), "errors", "warnings")
 
 
-def guardrail(jobs: DataFrame, manifests: DataFrame) -> DataFrame:
-    """``job, failure``: the first guardrail each job fails, or null. Jobs: ``job, manifest, rows_sharded, expected array<string>``."""
+def guardrail(jobs: DataFrame, manifests: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """``job, failure``: the first guardrail each job fails, or null. Jobs: ``job, manifest, rows_sharded, expected array<string>``; null
+    ``rows_sharded``: no report. With a listing (``manifest, path, bytes``) every shard must be there and hold something."""
     names = F.transform("input_files", base_name)
     j = jobs.join(manifests.withColumn("_there", F.lit(True)), "manifest", "left")
     tokens = F.coalesce("train.total_tokens", F.lit(0)) + F.coalesce("val.total_tokens", F.lit(0))
     n_shards = F.greatest(F.size("train.shards"), F.lit(0)) + F.greatest(F.size("val.shards"), F.lit(0))
     missing = F.array_except("expected", F.coalesce(names, F.array().cast("array<string>")))
     why = (
-        F.when(F.col("_there").isNull(), "manifest_missing")
-        .when(F.coalesce("rows_sharded", F.lit(0)) <= 0, "no_rows")
+        F.when(F.col("rows_sharded").isNull(), "report_missing")
+        .when(F.col("_there").isNull(), "manifest_missing")
+        .when(F.col("rows_sharded") <= 0, "no_rows")
         .when(tokens <= 0, "no_tokens")
         .when(n_shards <= 0, "no_shards")
-        .when(F.size(missing) > 0, F.concat(F.lit("missing_inputs:"), F.array_join(F.slice(missing, 1, 5), ",")))
     )
+    if listing is not None:
+        at = F.struct(F.col("split"), F.col("place"))  # the first bad shard, training shards first
+        held = shards(manifests).join(listing.select("manifest", "path", "bytes"), ["manifest", "path"], "left").where("coalesce(bytes, 0) <= 0")
+        kind = F.concat(F.when(F.col("bytes").isNull(), "missing_shard:").otherwise("empty_shard:"), "path")
+        j = j.join(held.groupBy("manifest").agg(F.min_by(kind, at).alias("_bad")), "manifest", "left")
+        why = why.when(F.col("_bad").isNotNull(), F.col("_bad"))
+    why = why.when(F.size(missing) > 0, F.concat(F.lit("missing_inputs:"), F.array_join(F.slice(missing, 1, 5), ",")))
     return j.select("job", why.alias("failure"))
 
 
+def source_checks(manifests: DataFrame, archives: DataFrame, strict: bool = False) -> DataFrame:
+    """``manifest, level, code, subject`` for each manifest whose source, an archive with the stem of its input path, is not among
+    ``archives`` (``stem``): an error if ``strict``."""
+    stem = F.regexp_replace(base_name(F.col("input_path")), r"\.[^.]*$", "")
+    gone = manifests.select("manifest", stem.alias("stem")).join(archives.select("stem").distinct(), "stem", "left_anti")
+    return gone.select("manifest", F.lit("error" if strict else "warning").alias("level"), F.lit("source_missing").alias("code"), F.col("stem").alias("subject"))
+
+
+def shard_paths(manifests: DataFrame) -> DataFrame:
+    """``manifest, paths``: the paths of all shards, each once, in their order."""
+    paths = F.concat(*(F.transform(F.coalesce(f"{s}.shards", F.array().cast("array<struct<path:string,tokens:bigint>>")), lambda x: x["path"]) for s in ("train", "val")))
+    return manifests.select("manifest", F.array_distinct(F.filter(paths, lambda x: x != "")).alias("paths"))
+
+
 def unprocessed(files: DataFrame, *done: DataFrame) -> DataFrame:
     """Names of ``files`` that stand in no other registry (one column ``name`` each)."""
     skip = done[0]
@@ -166,13 +189,65 @@ def unprocessed(files: DataFrame, *done: DataFrame) -> DataFrame:
 
 
 def append_distinct(registry: DataFrame, new: DataFrame) -> DataFrame:
-    return registry.select("name").union(new.select("name")).distinct()
+    """Names of the registry and of ``new``, each once; of chunks with a return code ``rc`` only those that ended well."""
+    good = new.where("rc = 0") if "rc" in new.columns else new
+    return registry.select("name").union(good.select("name")).distinct()
 
 
 def newest(df: DataFrame, keep: int, by: list[str] | None = None, time: str = "mtime", name: str = "name") -> DataFrame:
-    """``kept`` marks the newest ``keep`` rows (per ``by``); the others are candidates for removal."""
-    w = Window.partitionBy(*(by or [])).orderBy(F.desc(time), name)
-    return df.withColumn("kept", F.row_number().over(w) <= keep)
+    """``kept`` marks the newest ``keep`` rows (per ``by``); the others are candidates for removal. Over a whole table the newest
+    are found by a top-k, not by one sorted window; ``name`` must then be unique."""
+    if by:
+        return df.withColumn("kept", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(time), name)) <= keep)
+    top = df.orderBy(F.desc(time), name).limit(keep).select(F.col(name).alias("_name"), F.lit(True).alias("kept"))
+    return df.join(F.broadcast(top), df[name].eqNullSafe(F.col("_name")), "left").drop("_name").fillna(False, ["kept"])  # keep is a small number
+
+
+def newest_runs(runs: DataFrame, keep: int, active: DataFrame) -> DataFrame:
+    """Runs that may go: neither active (``name``) nor among the newest ``keep`` of the others."""
+    return newest(runs.join(active.select("name").distinct(), "name", "left_anti"), keep).where("not kept").drop("kept")
+
+
+def eligible(batches: DataFrame, keep: int, registry: DataFrame, most: int = 0) -> DataFrame:
+    """Batches ``name, mtime`` beyond the newest ``keep`` that the registry names, the oldest ``most`` of them (0: all)."""
+    out = newest(batches, keep).where("not kept").drop("kept").join(registry.select("name").distinct(), "name", "left_semi")
+    return out.orderBy("mtime", "name").limit(most) if most else out
+
+
+def offloaded(candidates: DataFrame, least_manifests: int, least_tokens: int, total_manifests: int, total_tokens: int) -> DataFrame:
+    """``name, status`` of candidates ``name, mtime, tokens``, oldest first: each is offloaded unless too few manifests or tokens would stay
+    active; one that is skipped does not end the search. What stays depends on all decisions before, so the candidates, a listing of
+    manifests, are folded in one row."""
+    ordered = F.array_sort(F.collect_list(F.struct("mtime", "name", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))))
+    start = F.struct(
+        F.lit(total_manifests).cast("long").alias("n"), F.lit(total_tokens).cast("long").alias("t"), F.array().cast("array<struct<name:string,status:string>>").alias("out")
+    )
+
+    def step(acc: Column, x: Column) -> Column:
+        why = F.when(acc["n"] - 1 < least_manifests, "skip_min_manifests").when(acc["t"] - x["tokens"] < least_tokens, "skip_min_tokens").otherwise("offload")
+        go = why == "offload"
+        return F.struct(
+            F.when(go, acc["n"] - 1).otherwise(acc["n"]).alias("n"),
+            F.when(go, acc["t"] - x["tokens"]).otherwise(acc["t"]).alias("t"),
+            F.concat(acc["out"], F.array(F.struct(x["name"].alias("name"), why.alias("status")))).alias("out"),
+        )
+
+    return candidates.agg(ordered.alias("c")).select(F.inline(F.aggregate("c", start, step, lambda acc: acc["out"])))
+
+
+def hot_only(listing: DataFrame) -> DataFrame:
+    """``manifest, action`` for active manifests with linked shards of a listing ``manifest, path, is_link, is_active, has_disabled``: the
+    active copy is removed where a disabled one is there, and disabled otherwise."""
+    per = listing.groupBy("manifest").agg(
+        F.bool_and("is_active").alias("active"), F.max(F.col("is_link") & F.col("path").endswith(".bin")).alias("linked"), F.bool_or("has_disabled").alias("disabled")
+    )
+    return per.where("active and linked").select("manifest", F.when(F.col("disabled"), "remove_active").otherwise("disable").alias("action"))
+
+
+def round_robin(files: DataFrame, jobs: int, order: str = "name") -> DataFrame:
+    """``job``: files are dealt to so many jobs in turn, in their order."""
+    placed = with_offsets(files.withColumn("_one", F.lit(1)), [order], "_one", [], "_at")
+    return placed.withColumn("job", F.col("_at") % jobs).drop("_at", "_one")
 
 
 def quarantined(copies: DataFrame, bad: DataFrame, keep: int) -> DataFrame:
@@ -190,18 +265,17 @@ def hot_state(listing: DataFrame) -> DataFrame:
 
 
 def retained(steps: DataFrame, keep_last: int, keep_every: int, current: int) -> DataFrame:
-    """Checkpoint steps to keep: the last ones, every so many steps, and the current one."""
-    rank = F.row_number().over(Window.orderBy(F.desc("step")))  # checkpoints of one run: a bounded table
+    """Checkpoint steps to keep: the last ones (a top-k), every so many steps, and the current one; each once."""
     every = (F.col("step") % keep_every == 0) if keep_every > 0 else F.lit(False)
-    return steps.select("step", rank.alias("r")).where((F.col("r") <= keep_last) | every | (F.col("step") == current)).select("step")
+    last = steps.select("step").where("step is not null").distinct().orderBy(F.desc("step")).limit(keep_last)
+    return last.union(steps.select("step").where(every | (F.col("step") == current))).distinct()
 
 
 def within_budget(files: DataFrame, free_bytes: int, floor: int, order: str = "name") -> DataFrame:
-    """The files to stage, in order, up to the first that would leave less than ``floor`` bytes free (a listing: bounded)."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    left = F.lit(free_bytes) - F.sum("bytes").over(w)
-    over = F.max((F.col("left") < floor).cast("int")).over(w)
-    return files.withColumn("left", left).withColumn("over", over).where("over = 0").drop("left", "over")
+    """The files to stage, in order, up to the first that would leave less than ``floor`` bytes free. Sizes are not negative, so
+    what is left only falls."""
+    placed = with_offsets(files, [order], "bytes", [], "_before")
+    return placed.where(F.lit(free_bytes) - F.col("_before") - F.col("bytes") >= floor).drop("_before")
 
 
 def copy_status(local: DataFrame, warm: DataFrame) -> DataFrame:

@@ -37,7 +37,9 @@ def summary(lines: DataFrame) -> DataFrame:
     """One row: files, lines, distinct and repeated ones, characters and their kinds as shares of all characters."""
     l = F.col("line")  # noqa: E741
     n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
-    counts = lines.select(_line().alias("line")).agg(
+    # lines are normalised once; the counts of distinct ones carry keys and file names only
+    counts = lines.select("file", _line().alias("line")).agg(
+        F.count_distinct("file").alias("files_seen"),
         F.count(F.lit(1)).alias("lines_seen"),
         n(l != "").alias("lines_nonempty"),
         F.count_distinct(F.when(l != "", _key(l))).alias("lines_unique"),
@@ -46,10 +48,8 @@ def summary(lines: DataFrame) -> DataFrame:
         n(T.digits(l)).alias("digit"),
         n(T.ascii_chars(l)).alias("ascii"),
     )
-    files = lines.agg(F.count_distinct("file").alias("files_seen"))
     share = lambda c: F.when(F.col("chars_total") > 0, F.round(F.col(c) / F.col("chars_total"), 5)).otherwise(F.lit(0.0)).alias(f"{c}_ratio")
-    # two results of one row each
-    return files.crossJoin(F.broadcast(counts)).select(
+    return counts.select(
         "files_seen",
         "lines_seen",
         "lines_nonempty",
@@ -62,15 +62,19 @@ def summary(lines: DataFrame) -> DataFrame:
     )
 
 
-def per_file(lines: DataFrame) -> DataFrame:
+def per_file(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Lines, non-empty ones and characters of each file; of those of ``files`` (a column ``file``) without any line, too."""
     n = F.length(_line())
     nonempty = F.count(F.when(n > 0, 1))
-    return lines.groupBy("file").agg(
+    out = lines.groupBy("file").agg(
         F.count(F.lit(1)).alias("lines"),
         nonempty.alias("lines_nonempty"),
-        F.sum(n).alias("chars"),
+        F.sum(n).cast("long").alias("chars"),
         F.when(nonempty > 0, F.round(F.sum(n) / nonempty, 2)).otherwise(F.lit(0.0)).alias("avg_chars"),
     )
+    if files is None:
+        return out
+    return files.select("file").distinct().join(out, "file", "left").fillna(0, ["lines", "lines_nonempty", "chars"]).fillna(0.0, ["avg_chars"])
 
 
 def frequencies(lines: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -11,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import local_path, materialize
+from ..runtime import materialize, small
 
 SPECIALS = ("<unk>", "<bos>", "<eos>")
 
@@ -91,16 +92,22 @@ def sequence_split(df: DataFrame, order: list[str], ratio: float, seed: int = 42
     return numbered.join(df.sparkSession.createDataFrame(draws, "_i long, split string"), "_i").drop("_i", "_one")
 
 
-def with_offsets(df: DataFrame, order: list[str], size: str, by: list[str], name: str = "offset", parts: int = 64) -> DataFrame:
-    """The sum of ``size`` over all rows before each one, per ``by``, without a window over everything: rows are range-partitioned,
-    a small table of sums per part gives each part's start, and running sums stay inside the parts."""
-    ranged = df.repartitionByRange(parts, *by, *order).withColumn("_part", F.spark_partition_id())
+def _parts(df: DataFrame) -> int:
+    """Parts of about 64 MB by the planner's estimate of the size, at least as many as a shuffle has."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return int(min(1_000_000, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size >> 26)))
+
+
+def with_offsets(df: DataFrame, order: list[str], size: str, by: list[str], name: str = "offset", parts: int | None = None) -> DataFrame:
+    """The sum of ``size`` over all rows before each one, per ``by``, without a window over everything: rows are range-partitioned
+    (by default into parts that follow the size), a small table of sums per part gives each part's start, and running sums stay inside the parts."""
+    ranged = df.repartitionByRange(parts or _parts(df), *by, *order).withColumn("_part", F.spark_partition_id())
     ranged = materialize(ranged, "offsets")
-    sums = ranged.groupBy("_part", *by).agg(F.sum(size).alias("_sum"))  # at most parts times the number of groups
+    sums = materialize(ranged.groupBy("_part", *by).agg(F.sum(size).alias("_sum")), "sums")  # about as many rows as parts and groups
     before = sums.withColumn("_start", F.coalesce(F.sum("_sum").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.coalesce(F.sum(size).over(Window.partitionBy("_part", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     keys = ["_part", *by]
-    return ranged.withColumn("_in", inside).join(F.broadcast(before.drop("_sum")), keys).withColumn(name, (F.col("_start") + F.col("_in")).cast("long")).drop("_part", "_in", "_start")
+    return ranged.withColumn("_in", inside).join(small(before.drop("_sum")), keys).withColumn(name, (F.col("_start") + F.col("_in")).cast("long")).drop("_part", "_in", "_start")
 
 
 def shard_layout(df: DataFrame, order: list[str], tokens: str, shard_size: int, by: str = "split") -> DataFrame:
@@ -121,25 +128,33 @@ def sharded(df: DataFrame, order: list[str], ids: str, shard_size: int, by: str
     return pieces.select(by, "shard", low.alias("piece_offset"), F.slice(ids, (low - F.col("offset") + 1).cast("int"), (high - low).cast("int")).alias("ids"))
 
 
-def write_shards(pieces: DataFrame, folder: str, dtype: str, by: str = "split") -> DataFrame:
-    """The folder is one that all executors see. Write each shard as ``{split}_{shard:06d}.bin`` of little-endian numbers, through a temporary name; returns
-    ``by, shard, path, tokens``. A task writes one shard at a time, and writes it again in the same way if it is repeated."""
+def write_shards(pieces: DataFrame, folder: str | Callable[[str], str], dtype: str, by: str = "split") -> DataFrame:
+    """Write each shard as ``{split}_{shard:06d}.bin`` (of a split ``a/b`` the part after the slash) of little-endian numbers to a folder that all
+    executors see (a path or the address of any file system; or a function from the split to it, as an absolute
+    path or address), through a temporary name; returns ``by, shard, path, tokens``. A task writes one shard at a time, and writes it again in the same
+    way if it is repeated."""
     import numpy as np
 
     kind = {"uint16": "<u2", "uint32": "<u4"}[dtype]
-    local = local_path(folder)
+    fixed = folder if callable(folder) else folder if ":" in folder.split("/")[0] else os.path.abspath(folder)
+    where = folder if callable(folder) else lambda _: fixed
 
     def write(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        import os
         import uuid
 
-        os.makedirs(local, exist_ok=True)
+        from pyarrow.fs import FileSystem
+
+        fs, root = FileSystem.from_uri(where(key[0]))
+        fs.create_dir(root, recursive=True)
         data = np.concatenate([np.asarray(x) for x in pdf.sort_values("piece_offset")["ids"]]).astype(kind)
-        path = f"{local}/{key[0]}_{int(key[1]):06d}.bin"
-        part = f"{path}.{uuid.uuid4().hex}.incomplete"
-        data.tofile(part)
-        os.replace(part, path)
-        return pd.DataFrame({by: [key[0]], "shard": [int(key[1])], "path": [os.path.basename(path)], "tokens": [len(data)]})
+        name = f"{key[0].rsplit('/', 1)[-1]}_{int(key[1]):06d}.bin"
+        part = f"{root}/{name}.{uuid.uuid4().hex}.incomplete"
+        with fs.open_output_stream(part) as out:
+            out.write(data.tobytes())
+        if fs.get_file_info(part).size != data.nbytes:
+            raise OSError(f"{part} is incomplete")
+        fs.move(part, f"{root}/{name}")
+        return pd.DataFrame({by: [key[0]], "shard": [int(key[1])], "path": [name], "tokens": [len(data)]})
 
     return materialize(pieces.groupBy(by, "shard").applyInPandas(write, f"{by} string, shard long, path string, tokens long"), "shards")
 
@@ -165,19 +180,29 @@ def batches(df: DataFrame, key: str, size: int, seed: int = 42, drop_last: bool
     return placed
 
 
-def sampled_windows(df: DataFrame, ids: str, context: int, n: int, seed: int = 42) -> DataFrame:
+def _uniform(key: Column, seed: int) -> Column:
+    """A number from 0 to 2**48 - 1 by md5 of key and seed, which any engine can repeat."""
+    return F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit(f":{seed}"))), 1, 12), 16, 10).cast("long")
+
+
+def sampled_windows(df: DataFrame, ids: str, context: int, n: int, seed: int = 42, key: str = "sample_id") -> DataFrame:
     """``n`` windows ``draw, x, y`` of random rows and places: a row is drawn in proportion to its windows, a place evenly. Draws fall on
-    the running sum of windows, which is built per partition, so only drawn rows are cut; equal seeds give equal windows."""
-    eligible = df.withColumn("_n", F.size(ids) - context).where("_n > 0").withColumn("_h", F.xxhash64(ids, F.lit(seed)))
-    placed = with_offsets(eligible, ["_h"], "_n", [], "_from")
+    the running sum of windows in the order of ``key``, which is built per partition, so only drawn rows are cut; equal seeds give equal windows."""
+    eligible = df.withColumn("_n", F.size(ids) - context).where("_n > 0").select(F.col(key).alias("_key"), F.col(ids).alias("_ids"), "_n")
+    placed = materialize(with_offsets(eligible, ["_key"], "_n", [], "_from"), "places")
     total = placed.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     if not total:
         raise ValueError("no row is longer than the context")
-    h = F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(total))
-    draws = df.sparkSession.range(n).select(F.col("id").alias("draw"), h.alias("at"))
+    draws = df.sparkSession.range(n).select(F.col("id").alias("draw"), (_uniform(F.col("id"), seed) % total).alias("at"))
     # an equi-join by blocks of places instead of a range join; a row stands in each block it covers
     block = max(1, total // max(1, placed.rdd.getNumPartitions() * 64))
-    rows = placed.select("_from", "_n", ids, F.explode(F.sequence(F.floor(F.col("_from") / block), F.floor((F.col("_from") + F.col("_n") - 1) / block))).alias("_b"))
+    rows = placed.select("_from", "_n", "_ids", F.explode(F.sequence(F.floor(F.col("_from") / block), F.floor((F.col("_from") + F.col("_n") - 1) / block))).alias("_b"))
     hit = draws.withColumn("_b", F.floor(F.col("at") / block)).join(rows, "_b").where((F.col("at") >= F.col("_from")) & (F.col("at") < F.col("_from") + F.col("_n")))
     start = (F.col("at") - F.col("_from") + 1).cast("int")
-    return hit.select("draw", F.slice(ids, start, context).alias("x"), F.slice(ids, start + 1, context).alias("y"))
+    return hit.select("draw", F.slice("_ids", start, context).alias("x"), F.slice("_ids", start + 1, context).alias("y"))
+
+
+def collated(windows: DataFrame, group: str, order: str) -> DataFrame:
+    """``group, x, y``: the windows ``x, y`` of each batch stacked in their order (a batch is bounded by its size)."""
+    stacked = F.array_sort(F.collect_list(F.struct(order, "x", "y")))
+    return windows.groupBy(group).agg(stacked.alias("_w")).select(group, F.transform("_w", lambda w: w["x"]).alias("x"), F.transform("_w", lambda w: w["y"]).alias("y"))

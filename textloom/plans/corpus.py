@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exact
 from ..functions import text as T
 from ..operators import clean, profile, risk
-from ..runtime import table, texts
+from ..runtime import materialize, table, texts
 from ..sources import files, lines
 
 LIMITS = profile.QualityLimits(min_occurrences=20, min_files=5, min_chars=30, max_chars=240)
@@ -68,6 +68,8 @@ def char_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 def _reasons(spark: SparkSession, d: str, limits: clean.CleanLimits, known: bool) -> DataFrame:
     ls = _lines(spark, d)
+    if known:  # split once
+        ls = materialize(ls, "lines")
     b = profile.boilerplate(ls, profile.frequencies(ls), LIMITS) if known else None
     return clean.clean(ls, limits, b)
 

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import corpus, records, streams
+from . import corpus, listings, records, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {**corpus.QUERIES, **records.QUERIES, **streams.QUERIES}
+    return {**corpus.QUERIES, **records.QUERIES, **listings.QUERIES, **streams.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**corpus.SQL, **records.SQL, **streams.SQL}
+    return {**corpus.SQL, **records.SQL, **listings.SQL, **streams.SQL}

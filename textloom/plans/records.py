@@ -184,14 +184,14 @@ def promotion(spark: SparkSession, d: str) -> DataFrame:
 
 
 def running_best(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").where("event_type = 'view'")
-    return evals.running_best(e, "value", "event_id", ["user_id"]).where("ok").select("event_id", "best_before")
+    """Of each user's events of each kind those whose value is the best so far."""
+    return evals.running_best(table(spark, d, "events"), "value", "event_id", ["user_id", "event_type"]).where("ok").select("event_id", "best_before")
 
 
 def perplexity_gate(spark: SparkSession, d: str) -> DataFrame:
-    """Runs of losses per user: perplexities that exceed the best before by more than a tenth."""
-    e = table(spark, d, "events").where("event_type = 'click'").withColumn("ppl", evals.perplexity(F.col("value") / 10))
-    out = evals.running_best(e, "ppl", "event_id", ["user_id"], higher=False, tolerance=0.1).where("not ok")
+    """Runs of losses per user and kind: perplexities that exceed the best before by more than a tenth."""
+    e = table(spark, d, "events").withColumn("ppl", evals.perplexity(F.col("value") / 10))
+    out = evals.running_best(e, "ppl", "event_id", ["user_id", "event_type"], higher=False, tolerance=0.1).where("not ok")
     return out.select("event_id", F.round("ppl", 4).alias("ppl"), F.round("best_before", 4).alias("best_before"))
 
 
@@ -203,7 +203,7 @@ def lr_schedule(spark: SparkSession, d: str) -> DataFrame:
 
 
 def checkpoints_kept(spark: SparkSession, d: str) -> DataFrame:
-    steps = table(spark, d, "events").where("event_type = 'error'").select(T.checkpoint_step(F.concat(F.lit("ckpt_step_"), F.col("event_id") * 10, F.lit(".pt"))).alias("step"))
+    steps = table(spark, d, "events").select(T.checkpoint_step(F.concat(F.lit("ckpt_step_"), F.col("event_id") * 10, F.lit(".pt"))).alias("step"))
     return manifests.retained(steps, 5, 300, 100)
 
 
@@ -287,6 +287,12 @@ def sampled_windows(spark: SparkSession, d: str) -> DataFrame:
     return tokens.sampled_windows(_ids(spark, d), "ids", 32, 1000)
 
 
+def sampled_window_sums(spark: SparkSession, d: str) -> DataFrame:
+    """The drawn windows by their sums and last tokens."""
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
+    return sampled_windows(spark, d).select("draw", total("x").alias("sum_x"), total("y").alias("sum_y"), F.element_at("y", -1).alias("last_y"))
+
+
 def capped_lines(spark: SparkSession, d: str) -> DataFrame:
     """The first 5000 lines, of at most 1500 a file; counted per file."""
     ls = lines.of_table(table(spark, d, "fineweb_rows"), "file_name", "row_id", "text")
@@ -321,6 +327,9 @@ UNION ALL SELECT manifest, 'error', 'unsupported_token_dtype', '' FROM manifests
 UNION ALL SELECT manifest, 'error', 'token_dtype_mismatch', '' FROM manifests WHERE tokenizer_vocab_size > 0 AND token_dtype <> CASE WHEN tokenizer_vocab_size <= 65535 THEN 'uint16' ELSE 'uint32' END
 UNION ALL SELECT manifest, 'error', 'vocab_size_mismatch', '' FROM manifests WHERE tokenizer_vocab_size <> 32000)"""
 _IDS = "ids AS (SELECT sample_id, list_transform(list_filter(string_split(text, ' '), lambda x: x <> ''), lambda x: length(x)) AS ids FROM shard_rows WHERE text IS NOT NULL)"
+_DRAWN = f"""{_IDS}, e AS (SELECT ids, len(ids) - 32 AS n, coalesce(sum(len(ids) - 32) OVER (ORDER BY sample_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM ids WHERE len(ids) > 32),
+d AS (SELECT draw, ('0x' || substr(md5(draw::VARCHAR || ':42'), 1, 12))::BIGINT % (SELECT CAST(sum(n) AS BIGINT) FROM e) AS a FROM range(1000) r(draw)),
+g AS (SELECT draw, ids[a - first + 1:a - first + 32] AS x, ids[a - first + 2:a - first + 33] AS y FROM d JOIN e ON a >= first AND a < first + n)"""
 _CASES = """c AS (SELECT item_id, suite, coalesce(answer, '') AS c, [string_split(passage, ' ')[3], 'in '] AS e FROM eval_cases),
 k AS (SELECT item_id, suite, 6 AS checks_total, (length(c) >= 8)::INT + (len(list_filter(e, lambda x: contains(lower(c), lower(x)))) > 0)::INT
 + (NOT contains(lower(c), 'sorry') AND NOT contains(lower(c), 'not'))::INT + (len(regexp_extract_all(c, '(?i)https?://|www\\.')) <= 0)::INT
@@ -368,6 +377,8 @@ FROM shard_rows GROUP BY 1""",
     "shard_layout": """WITH o AS (SELECT split, n_tokens, coalesce(sum(n_tokens) OVER (PARTITION BY split ORDER BY sample_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off
 FROM shard_rows WHERE n_tokens > 0), p AS (SELECT *, unnest(range(off // 20000, (off + n_tokens - 1) // 20000 + 1)) AS shard FROM o)
 SELECT split, shard, CAST(sum(least(off + n_tokens, (shard + 1) * 20000) - greatest(off, shard * 20000)) AS BIGINT) AS tokens FROM p GROUP BY 1, 2""",
+    "sampled_windows": f"""WITH {_DRAWN} SELECT draw, x, y FROM g""",
+    "sampled_window_sums": f"""WITH {_DRAWN} SELECT draw, CAST(list_sum(x) AS BIGINT) AS sum_x, CAST(list_sum(y) AS BIGINT) AS sum_y, y[-1] AS last_y FROM g""",
     "token_windows": f"""WITH {_IDS}, w AS (SELECT sample_id, ids, unnest(range(0, len(ids) - 16, 8)) AS s FROM ids WHERE len(ids) > 16)
 SELECT sample_id, s // 8 AS i, CAST(list_sum(ids[s + 1:s + 16]) AS BIGINT) AS sum_x, CAST(list_sum(ids[s + 2:s + 17]) AS BIGINT) AS sum_y, ids[s + 17] AS last_y FROM w""",
     "contiguous_split": f"WITH {_IDS} SELECT sample_id, floor(len(ids) * 0.8)::INT AS n_train, (len(ids) - floor(len(ids) * 0.8))::INT AS n_val, coalesce(ids[floor(len(ids) * 0.8)::INT + 1], -1) AS first_val FROM ids",
@@ -380,13 +391,13 @@ SELECT batch, count(*) AS n, CAST(sum(sample_id) AS BIGINT) AS ids FROM o WHERE
 f AS (SELECT suite, list_filter([CASE WHEN pass_rate < 0.45 THEN 'min_pass_rate' END, CASE WHEN check_pass_rate < 0.75 THEN 'min_check_pass_rate' END, CASE WHEN avg_case_score < 0.7 THEN 'min_avg_case_score' END,
 {", ".join(f"CASE WHEN NOT coalesce(round({m} - {b}, 9) >= {t}, false) THEN '{n}' END" for m, b in (("pass_rate", "b1"), ("check_pass_rate", "b2"), ("avg_case_score", "b3")) for n, t in ((f"max_{m}_drop", -0.01), (f"min_{m}_gain", 0.0)))}],
 lambda x: x IS NOT NULL) AS failed FROM b) SELECT suite, len(failed) = 0 AS promoted, array_to_string(failed, ',') AS failed FROM f""",
-    "running_best": """SELECT event_id, best_before FROM (SELECT *, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before
-FROM events WHERE event_type = 'view') WHERE best_before IS NULL OR value >= best_before""",
-    "perplexity_gate": """SELECT event_id, round(ppl, 4) AS ppl, round(best, 4) AS best_before FROM (SELECT *, min(ppl) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
-FROM (SELECT *, exp(least(value / 10, 20.0)) AS ppl FROM events WHERE event_type = 'click')) WHERE ppl > best * 1.1""",
+    "running_best": """SELECT event_id, best_before FROM (SELECT *, max(value) OVER (PARTITION BY user_id, event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before
+FROM events) WHERE best_before IS NULL OR value >= best_before""",
+    "perplexity_gate": """SELECT event_id, round(ppl, 4) AS ppl, round(best, 4) AS best_before FROM (SELECT *, min(ppl) OVER (PARTITION BY user_id, event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
+FROM (SELECT *, exp(least(value / 10, 20.0)) AS ppl FROM events)) WHERE ppl > best * 1.1""",
     "lr_schedule": """SELECT run_tag, s::INT AS step, round(learning_rate * CASE WHEN s <= 20 THEN s / 20 ELSE 0.1 + 0.9 * 0.5 * (1 + cos(pi() * (s - 20) / 180)) END, 12) AS rate
 FROM train_runs, range(1, 201) t(s)""",
-    "checkpoints_kept": """WITH s AS (SELECT event_id * 10 AS step, row_number() OVER (ORDER BY event_id DESC) AS r FROM events WHERE event_type = 'error') SELECT step FROM s WHERE r <= 5 OR step % 300 = 0 OR step = 100""",
+    "checkpoints_kept": """WITH s AS (SELECT event_id * 10 AS step, row_number() OVER (ORDER BY event_id DESC) AS r FROM events) SELECT step FROM s WHERE r <= 5 OR step % 300 = 0 OR step = 100""",
     "snapshot_rates": """WITH r AS (SELECT event_id, epoch_us(ts) / 1e6 - lag(epoch_us(ts)) OVER w / 1e6 AS dt, value - lag(value) OVER w AS dv FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, value))
 SELECT event_id, round(dv / dt, 6) AS rate FROM r WHERE dt > 0 AND dv >= 0""",
     "stall_ages": """WITH c AS (SELECT *, CASE WHEN lag(event_type) OVER w IS DISTINCT FROM event_type THEN ts END AS mark FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
@@ -422,6 +433,6 @@ QUERIES = {
         samples_of_stems, offload_candidates, newest_copies, staged_within_budget, copy_status, file_classes, hash_split, split_totals, shard_layout, token_windows,
         contiguous_split, hashed_batches, bpe_counts, chat_prompts, eval_cases_scored, eval_summary, promotion, running_best, perplexity_gate, lr_schedule,
         checkpoints_kept, snapshot_rates, stall_ages, rolling_means, batches_paired, batch_throughput, latest_baselines, last_metrics, last_reported, log_tails, event_totals, job_alerts, capped_lines, quarantine, distinct_inputs,
-        sampled_windows,
+        sampled_windows, sampled_window_sums,
     )
 }

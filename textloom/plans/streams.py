@@ -32,13 +32,14 @@ def stream_hourly_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_stalls(spark: SparkSession, d: str) -> DataFrame:
-    """Silences of users of more than twelve hours."""
-    return _drained(spark, jobs.stalls(_events(spark, d), "user_id", "ts", 43_200.0), "append").select("key", "stalled_from", F.round("seconds", 3).alias("seconds"))
+    """Silences of users of more than twelve hours, ended ones and those still open at the end."""
+    return _drained(spark, jobs.stalls(_events(spark, d), "user_id", "ts", 43_200.0), "append").select("key", "stalled_from", F.round("seconds", 3).alias("seconds"), "open")
 
 
 SQL = {
     "stream_hourly_counts": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
-    "stream_stalls": """SELECT user_id::VARCHAR AS key, before AS stalled_from, round((epoch_us(ts) - epoch_us(before)) / 1e6, 3) AS seconds FROM
-(SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events) WHERE epoch_us(ts) - epoch_us(before) > 43200 * 1000000::BIGINT""",
+    "stream_stalls": """SELECT user_id::VARCHAR AS key, before AS stalled_from, round((epoch_us(ts) - epoch_us(before)) / 1e6, 3) AS seconds, false AS open FROM
+(SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events) WHERE epoch_us(ts) - epoch_us(before) > 43200 * 1000000::BIGINT
+UNION ALL SELECT user_id::VARCHAR, max(ts), NULL, true FROM events GROUP BY user_id HAVING epoch_us((SELECT max(ts) FROM events)) // 1000 > (epoch_us(max(ts)) + 43200 * 1000000::BIGINT) // 1000 + 1""",
 }
 QUERIES = {f.__name__: f for f in (stream_hourly_counts, stream_stalls)}

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions import exact
 from ..functions.text import decoded, normalize_whitespace
-from ..runtime import local_path
 
 MANIFEST = (
     "input_path string, input_files array<string>, tokenizer_path string, tokenizer_hash string, tokenizer_contract_hash string, "
@@ -58,12 +57,14 @@ def parquet_probe(spark: SparkSession, paths: list[str], field: str) -> DataFram
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
+        from pyarrow.fs import FileSystem
 
         for b in batches:
             out = []
             for p in b["path"]:
                 try:
-                    with pq.ParquetFile(local_path(p)) as f:
+                    fs, name = FileSystem.from_uri(p)
+                    with fs.open_input_file(name) as raw, pq.ParquetFile(raw) as f:
                         m = f.metadata
                         out.append(
                             "no_row_groups" if not m.num_row_groups else "no_rows" if not m.num_rows else None if field in f.schema_arrow.names else f"missing_field:{field}"
@@ -102,19 +103,47 @@ def classified(listing: DataFrame, keep: list[str]) -> DataFrame:
     return listing.groupBy(hit.alias("kept")).agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
 
 
-def shard_ranges(spark: SparkSession, folder: str, dtype: str, vocab: int, pattern: str = "*.bin") -> DataFrame:
-    """``path, tokens, largest, problem`` of token files: odd sizes and numbers outside the vocabulary."""
-    import numpy as np
+#: Bytes of a token file that a task reads at once.
+RANGE = 64 << 20
+
+
+def range_problems(files: DataFrame) -> DataFrame:
+    """``manifest, path, tokens, largest, problem`` of token files ``manifest, path, bytes, token_dtype, vocab``: odd sizes and numbers outside
+    the vocabulary. Files are read in ranges of bytes, so a large one is spread over tasks, and all files by one job."""
+    width = F.when(F.col("token_dtype") == "uint32", 4).otherwise(2)
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(RANGE).cast("long"))
+    pieces = files.withColumn("width", width).withColumn("start", F.explode(starts))
+    cores = files.sparkSession.sparkContext.defaultParallelism
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+        from pyarrow.fs import FileSystem
+
+        for b in batches:
+            out = []
+            for r in b.itertuples():
+                fs, name = FileSystem.from_uri(r.path)
+                with fs.open_input_file(name) as f:
+                    f.seek(r.start)
+                    data = f.read(RANGE)
+                a = np.frombuffer(data, "<u4" if r.width == 4 else "<u2", len(data) // r.width)
+                out.append((r.manifest, r.path, r.bytes, r.width, r.vocab, len(a), int(a.max()) if len(a) else -1))
+            yield pd.DataFrame(out, columns=["manifest", "path", "bytes", "width", "vocab", "tokens", "largest"])
+
+    schema = "manifest string, path string, bytes long, width int, vocab long, tokens long, largest long"
+    seen = pieces.select("manifest", "path", "bytes", "width", F.col("vocab").cast("long"), "start").repartition(cores * 4, "path", "start").mapInPandas(look, schema)
+    per = seen.groupBy("manifest", "path", "bytes", "width", "vocab").agg(F.sum("tokens").alias("tokens"), F.max("largest").alias("largest"))
+    problem = F.when(F.col("bytes") % F.col("width") != 0, "size_mismatch").when(F.col("largest") >= F.col("vocab"), "token_out_of_range")
+    return per.select("manifest", "path", "tokens", "largest", problem.alias("problem"))
 
-    kind = {"uint16": "<u2", "uint32": "<u4"}[dtype]
 
-    @F.pandas_udf("tokens long, largest long")
-    def look(content: pd.Series) -> pd.DataFrame:
-        arrays = [np.frombuffer(c, kind, len(c) // np.dtype(kind).itemsize) for c in content]
-        return pd.DataFrame({"tokens": [len(a) for a in arrays], "largest": [int(a.max()) if len(a) else -1 for a in arrays]})
+def listed(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """``path, bytes`` of the files under a folder; contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+    return found.select("path", F.col("length").alias("bytes"))
 
-    df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    width = 2 if dtype == "uint16" else 4
-    seen = df.select("path", "length", look("content").alias("x")).select("path", "length", "x.*")
-    problem: Column = F.when(F.col("length") % width != 0, "size_mismatch").when(F.col("largest") >= vocab, "token_out_of_range")
-    return seen.select("path", "tokens", "largest", problem.alias("problem"))
+
+def shard_ranges(spark: SparkSession, folder: str, dtype: str, vocab: int, pattern: str = "*.bin") -> DataFrame:
+    """``path, tokens, largest, problem`` of the token files under one folder."""
+    all_files = listed(spark, folder, pattern).select(F.lit("").alias("manifest"), "path", "bytes", F.lit(dtype).alias("token_dtype"), F.lit(vocab).alias("vocab"))
+    return range_problems(all_files).drop("manifest")

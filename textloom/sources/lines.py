@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_whitespace
+from ..operators.tokens import with_offsets
+from ..runtime import materialize, small
 
 ORDER = ("file", "row", "pos")
 
@@ -56,11 +58,10 @@ def of_text_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def cap_per_file(lines: DataFrame, most: int) -> DataFrame:
-    """The first ``most`` lines of each file (0: all)."""
+    """The first ``most`` lines of each file (0: all). Lines are numbered per range of places, so a large file is no single task."""
     if not most:
         return lines
-    w = Window.partitionBy("file").orderBy("row", "pos")
-    return lines.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
+    return with_offsets(lines.withColumn("_one", F.lit(1)), ["row", "pos"], "_one", ["file"], "_n").where(F.col("_n") < most).drop("_n", "_one")
 
 
 def cap_total(lines: DataFrame, most: int) -> tuple[DataFrame, bool]:
@@ -68,20 +69,13 @@ def cap_total(lines: DataFrame, most: int) -> tuple[DataFrame, bool]:
     which the cap falls is ordered line by line."""
     if not most:
         return lines, False
-    counts = lines.groupBy("file").count().orderBy("file").collect()
-    before, edge, rest = 0, None, 0
-    whole = []
-    for r in counts:
-        if before + r["count"] <= most:
-            whole.append(r["file"])
-            before += r["count"]
-        else:
-            edge, rest = r["file"], most - before
-            break
-    if edge is None:
-        return lines, False
-    part = lines.where(F.col("file") == edge).orderBy("row", "pos").limit(rest)
-    return lines.where(F.col("file").isin(whole)).unionByName(part), True
+    counts = materialize(with_offsets(lines.groupBy("file").count(), ["file"], "count", [], "before"), "counts")
+    edge = counts.where((F.col("before") < most) & (F.col("before") + F.col("count") > most)).first()
+    whole = small(materialize(counts.where(F.col("before") + F.col("count") <= most).select("file"), "whole"))
+    kept = lines.join(whole, "file", "left_semi").select(*lines.columns)
+    if edge is None:  # the cap falls between two files, or behind the last
+        return kept, counts.where(F.col("before") >= most).limit(1).count() > 0
+    return kept.unionByName(lines.where(F.col("file").eqNullSafe(edge["file"])).orderBy("row", "pos").limit(most - edge["before"])), True
 
 
 def text_rows(df: DataFrame, file: str, order: str, text: str, least: int = 80, most: int = 0, per_file: int = 0) -> DataFrame:

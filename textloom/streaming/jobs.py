@@ -38,24 +38,32 @@ def windowed_counts(events: DataFrame, ts: str, kind: str, width: str = "1 hour"
     return counted.select(F.col("window.start").alias("start"), kind, "count")
 
 
-STALL_SCHEMA = "key string, stalled_from timestamp, seconds double"
+STALL_SCHEMA = "key string, stalled_from timestamp, seconds double, open boolean"
 
 
-def stalls(events: DataFrame, key: str, ts: str, limit_seconds: float) -> DataFrame:
-    """A row for each silence of more than ``limit_seconds`` of a key, found when its next event comes. One timestamp per key is
-    kept as state, in event time, so replays give the same rows."""
+def stalls(events: DataFrame, key: str, ts: str, limit_seconds: float, late: str = "0 seconds") -> DataFrame:
+    """A row for each silence of more than ``limit_seconds`` of a key: with its length once the key's next event ends it, and before that, without
+    a length and ``open``, as soon as the watermark (``late`` behind the newest event of all keys) has passed the limit. One timestamp per
+    key is kept as state, in event time."""
+    limit = int(limit_seconds * 1e6)
 
     def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times = pd.concat([p[["ts"]] for p in pdfs])["ts"].sort_values()
         last = state.get[0] if state.exists else None
         rows = []
-        for t in times:
-            micros = int(t.value // 1000)
-            if last is not None and micros - last > limit_seconds * 1e6:
-                rows.append((k[0], pd.Timestamp(last * 1000), (micros - last) / 1e6))
-            last = micros if last is None else max(last, micros)
-        state.update((last,))
-        yield pd.DataFrame(rows, columns=["key", "stalled_from", "seconds"])
-
-    picked = events.select(F.col(key).cast("string").alias("key"), F.col(ts).alias("ts"))
-    return picked.groupBy("key").applyInPandasWithState(step, STALL_SCHEMA, "last long", "append", GroupStateTimeout.NoTimeout)
+        if state.hasTimedOut:
+            rows.append((k[0], pd.Timestamp(last * 1000), None, True))
+            state.update((last,))
+        else:
+            for t in pd.concat([p[["ts"]] for p in pdfs])["ts"].dropna().sort_values():
+                micros = int(t.value // 1000)
+                if last is not None and micros - last > limit:
+                    rows.append((k[0], pd.Timestamp(last * 1000), (micros - last) / 1e6, False))
+                last = micros if last is None else max(last, micros)
+            if last is not None:
+                state.update((last,))
+                state.setTimeoutTimestamp(max((last + limit) // 1000, state.getCurrentWatermarkMs()) + 1)
+        out = pd.DataFrame(rows, columns=["key", "stalled_from", "seconds", "open"])
+        yield out.astype({"seconds": float, "open": bool})
+
+    picked = events.withWatermark(ts, late).select(F.col(key).cast("string").alias("key"), F.col(ts).alias("ts"))
+    return picked.groupBy("key").applyInPandasWithState(step, STALL_SCHEMA, "last long", "append", GroupStateTimeout.EventTimeTimeout)
