@@ -114,4 +114,32 @@ def test_sql_functions(spark):
     names = register.register_functions(spark)
     spark.createDataFrame([("a  1! www.x.org aaa",)], "s string").createOrReplaceTempView("one_text")
     r = spark.sql("select tl_normalize_whitespace(s) a, tl_url_count(s) b, tl_word_count(s) c, tl_longest_char_run(s) d, tl_symbol_ratio(s) e, tl_digit_ratio(s) f, tl_rate_per_10k(1, 3) g, tl_token_dtype(70000) h from one_text").first()
-    assert tuple(r) == ("a 1! www.x.org aaa", 1, 5, 3, 3 / 19, 1 / 19, 3333.3333, "uint32") and len(names) == 11
+    assert tuple(r) == ("a 1! www.x.org aaa", 1, 5, 3, 3 / 19, 1 / 19, 3333.3333, "uint32") and len(names) == 30
+
+
+SAMPLES = [
+    None, "", "Was it 5 or 6 that you and I had? 12 Then We Went Home Again And Slept", "one two three four five one two three four five rest of it", "<b>x</b> SELECT a FROM b; {}",
+    "as an AI language model I see", "home - Stack Overflow questions tags users asked today viewed 12 times public", "ckpt_step_00120.pt", "a.bad_17", "ha ha ha ha ha ha ha ha", "it's \\ a 'quoted' (text", "é½ www.x.y",
+]
+
+
+def test_sql_functions_equal_the_column_functions(spark):
+    register.register_functions(spark)
+    df = spark.createDataFrame([(i, s, 3 * i, float(i)) for i, s in enumerate(SAMPLES)], "i int, s string, n long, d double")
+    by = {"string": ["s", "s"], "bigint": ["n", "i"], "double": ["d", "i"]}
+    for name, (function, parameters) in register.FUNCTIONS.items():
+        left = {t: list(c) for t, c in by.items()}
+        columns = [f"cast({left[t].pop(0)} as {t})" for t in parameters.values()]
+        want = df.orderBy("i").select(function(*map(F.expr, columns)).alias("x")).collect()
+        assert df.orderBy("i").selectExpr(f"{name}({', '.join(columns)}) x").collect() == want, name
+    text = spark.createDataFrame([("<p>Fish &amp; chips  \n now</p>",), (None,)], "s string")
+    got = text.selectExpr("tl_html_to_text(s) a", "tl_decode_entities(s) b", "tl_dedupe_key(s) c").collect()
+    assert tuple(got[0]) == ("Fish & chips now", "<p>Fish & chips  \n now</p>", "p fish amp chips now p") and tuple(got[1]) == (None, None, None)
+    w = spark.sql("select x, y from tl_windows(array(0, 1, 2, 3, 4, 5, 6, 7), 3, 2)").collect()
+    assert [(r["x"], r["y"]) for r in w][1] == ([2, 3, 4], [3, 4, 5]) and len(w) == 3
+    assert spark.sql("select * from tl_windows(array(1, 2, 3, 4), 4, 1)").count() == 0
+
+
+def test_prompts(spark):
+    t = T.chat_prompt([(F.lit("System"), F.lit("be brief")), (F.lit(None).cast("string"), F.lit("hi")), (F.lit("user"), F.lit(None).cast("string"))])
+    assert spark.range(1).select(t.alias("p")).first()["p"] == "system: be brief\nuser: hi\nassistant:"

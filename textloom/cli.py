@@ -52,7 +52,7 @@ def quality(spark: SparkSession, a: argparse.Namespace) -> None:
         "summary": sinks.rows(profile.summary(ls))[0] | {"files_seen": len(names), "truncated": truncated},
         "files": profile.per_file(ls, spark.createDataFrame([(n,) for n in names], "file string")).orderBy("file"),
         "top_repeated_lines": sinks.rows(profile.top_repeated(ls, freq, limits).orderBy(F.desc("n"))),
-        "boilerplate_candidates": profile.boilerplate(ls, freq, limits).orderBy(F.desc("n"), "line"),
+        "boilerplate_candidates": profile.ordered(profile.boilerplate(ls, freq, limits)),
     }
     sinks.write_json(report, a.output)
     _say(**report["summary"], report=a.output)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from html.parser import HTMLParser
 
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from .text import normalize_whitespace
 
 
-def _arrow(fn, returns: str = "string"):  # noqa: ANN001, ANN202
+def arrow(fn, returns: str = "string"):  # noqa: ANN001, ANN202
+    """An Arrow function that maps each non-null value."""
+
     def run(s: pd.Series) -> pd.Series:
         return s.map(fn, na_action="ignore")
 
@@ -22,13 +25,13 @@ def _arrow(fn, returns: str = "string"):  # noqa: ANN001, ANN202
 
 
 def decode_entities(c: Column) -> Column:
-    return F.coalesce(_arrow(html.unescape)(F.when(c.contains("&"), c)), c)
+    return F.coalesce(arrow(html.unescape)(F.when(c.contains("&"), c)), c)
 
 
 def dedupe_key(c: Column) -> Column:
     """Compatibility form without case, every run of other characters than a-z and 0-9 one space. ASCII stays in the JVM."""
     plain = c.rlike(r"^[\x00-\x7f]*$")
-    folded = _arrow(lambda x: unicodedata.normalize("NFKC", x).casefold())(F.when(~plain, c))
+    folded = arrow(lambda x: unicodedata.normalize("NFKC", x).casefold())(F.when(~plain, c))
     return F.trim(F.regexp_replace(F.coalesce(folded, F.lower(c)), "[^a-z0-9]+", " "))
 
 
@@ -60,4 +63,18 @@ def _visible(page: str) -> str:
 
 def html_to_text(c: Column) -> Column:
     """Visible text of a page: without scripts and styles, each piece between tags a word group of its own."""
-    return normalize_whitespace(F.coalesce(_arrow(_visible)(F.when(c.contains("<") | c.contains("&"), c)), c))
+    return normalize_whitespace(F.coalesce(arrow(_visible)(F.when(c.contains("<") | c.contains("&"), c)), c))
+
+
+def unescaped(text: str) -> str:
+    return html.unescape(text)
+
+
+def key_of(text: str) -> str:
+    """``dedupe_key`` of one text."""
+    return re.sub("[^a-z0-9]+", " ", unicodedata.normalize("NFKC", text).casefold()).strip(" ")
+
+
+def visible_text(page: str) -> str:
+    """``html_to_text`` of one page, white space as the parser leaves it collapsed."""
+    return " ".join(_visible(page).split())

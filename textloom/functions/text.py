@@ -221,3 +221,9 @@ def learning_rate(step: Column, base: float, steps: int, warmup: int = 0, least:
         done = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (step - warm) / (steps - warm)))
         late = base * (least + (1.0 - least) * 0.5 * (1.0 + F.cos(F.pi() * done)))
     return F.when(step <= warm, base * step / warm).otherwise(late) if warm and kind != "constant" else late
+
+
+def chat_prompt(turns: list[tuple[Column, Column]]) -> Column:
+    """Turns of (role, text), a line each; a blank or null role is the user's, null texts are left out, and the assistant's turn is opened."""
+    line = lambda role, text: F.concat(F.lower(F.coalesce(F.nullif(F.trim(role), F.lit("")), F.lit("user"))), F.lit(": "), text)
+    return F.array_join(F.array(*(line(*t) for t in turns), F.lit("assistant:")), "\n")

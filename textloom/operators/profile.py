@@ -103,3 +103,8 @@ def boilerplate(lines: DataFrame, freq: DataFrame, limits: QualityLimits = Quali
         lines,
         freq.where((F.col("n") >= limits.min_occurrences) & (F.col("files") >= limits.min_files) & F.col("length").between(limits.min_chars, limits.max_chars)),
     )
+
+
+def ordered(candidates: DataFrame) -> DataFrame:
+    """Boilerplate lines in a report's order: most frequent first, then by code points."""
+    return candidates.orderBy(F.desc("n"), "line")

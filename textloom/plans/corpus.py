@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import exact
+from ..functions import exact, register
 from ..functions import text as T
 from ..operators import clean, profile, risk
 from ..runtime import materialize, table, texts
@@ -53,6 +53,14 @@ def text_statistics(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def sql_text_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """``text_statistics`` by the SQL functions."""
+    register.register_functions(spark)
+    ratios = [f"round(tl_{k}_ratio(text), 9) {k}" for k in ("alpha", "digit", "symbol", "non_ascii")]
+    counts = [f"cast({x} as bigint) {k}" for k, x in (("words", "tl_word_count(text)"), ("urls", "tl_url_count(text)"), ("flat_chars", "length(tl_normalize_whitespace(text))"))]
+    return texts(spark, d, "documents").where("text is not null").selectExpr("doc_id", *ratios, *counts)
+
+
 def repetitive_rows(spark: SparkSession, d: str) -> DataFrame:
     return texts(spark, d, "fineweb_rows").where(T.repetitive(F.col("text"))).select("row_id")
 
@@ -337,11 +345,12 @@ SELECT doc_id, max(n) AS run FROM n GROUP BY doc_id UNION ALL SELECT doc_id, 0 F
 least(nullif(instr(text, chr(10) || chr(10)), 0), nullif(instr(text, 'wrote:'), 0), nullif(instr(text, '. '), 0)) AS p FROM documents WHERE text IS NOT NULL)""",
 }
 
+SQL["sql_text_statistics"] = SQL["text_statistics"]
 
 QUERIES = {
     f.__name__: f
     for f in (
-        quality_summary, per_file_profile, line_freq_topk, boilerplate_candidates, text_statistics, repetitive_rows, char_statistics, clean_reason_counts,
+        quality_summary, per_file_profile, line_freq_topk, boilerplate_candidates, text_statistics, sql_text_statistics, repetitive_rows, char_statistics, clean_reason_counts,
         clean_reason_by_file, clean_lines, risk_summary, risk_terms, risk_phrases, parquet_rows, parquet_texts, conversion_counts, english_documents, code_like_rows,
         contaminated_rows, collapsed_titles, dedupe_keys, page_text, whole_pages, stop_cut, longest_runs,
     )

@@ -149,8 +149,8 @@ def bpe_counts(spark: SparkSession, d: str) -> DataFrame:
 def chat_prompts(spark: SparkSession, d: str) -> DataFrame:
     """Evaluation items as prompts: an instruction (the suite's if it has none), a passage and a question."""
     c = table(spark, d, "eval_cases")
-    turn = lambda role, text: F.concat(F.lower(F.coalesce(F.nullif(F.trim(role), F.lit("")), F.lit("user"))), F.lit(": "), text)
-    prompt = F.array_join(F.array(turn(F.lit("System"), F.coalesce(F.nullif(F.col("ask"), F.lit("")), F.col("suite"))), turn(F.lit(" "), F.col("passage")), turn(F.lit("user"), F.col("question")), F.lit("assistant:")), "\n")
+    ask = F.coalesce(F.nullif(F.col("ask"), F.lit("")), F.col("suite"))
+    prompt = T.chat_prompt([(F.lit("System"), ask), (F.lit(" "), F.col("passage")), (F.lit("user"), F.col("question"))])
     return c.select("item_id", prompt.alias("prompt"))
 
 
