@@ -45,8 +45,14 @@ CONTAMINATION = (
 )
 
 
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def normalize_whitespace(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, WS + "+", " "))
+    """Every run of white space one space, none at the ends. Texts that have single spaces only are not searched for Unicode's others."""
+    plain = is_ascii(c) & ~c.contains("  ") & ~c.rlike("[\t-\r\x1c-\x1f]")
+    return F.trim(F.when(plain, c).otherwise(F.regexp_replace(c, WS + "+", " ")))
 
 
 def _share(part: Column, of: Column) -> Column:
@@ -58,7 +64,7 @@ def letters(c: Column) -> Column:
 
 
 def digits(c: Column) -> Column:
-    return F.length(F.regexp_replace(c, f"[^{DIGITS}]+", ""))
+    return F.length(F.when(is_ascii(c), F.regexp_replace(c, "[^0-9]+", "")).otherwise(F.regexp_replace(c, f"[^{DIGITS}]+", "")))
 
 
 def ascii_chars(c: Column) -> Column:
@@ -100,8 +106,10 @@ def tokens(c: Column) -> Column:
 def repetitive(c: Column, run: int = 8, least_unique: float = 0.35) -> Column:
     """A run of ``run`` equal tokens, or at least twelve tokens of which too few are distinct."""
     t = tokens(c)
+    n, distinct = F.size(t), F.size(F.array_distinct(t))
     same = F.array_join(t, " ").rlike(rf"(?:^| )([a-z0-9_']+)(?: \1){{{run - 1}}}(?: |$)")
-    return same | ((F.size(t) >= 12) & (F.size(F.array_distinct(t)) / F.size(t) < least_unique))
+    # a run leaves that many tokens fewer distinct; few lines need the search for one
+    return ((n - distinct >= run - 1) & same) | ((n >= 12) & (distinct / n < least_unique))
 
 
 def collapse_prefix(c: Column, least: int = 5, most: int = 24) -> Column:

@@ -78,8 +78,8 @@ def rewritten_lines(lines: DataFrame, limits: CleanLimits = CleanLimits()) -> Da
     raw = F.col("raw")
     first = fence(start, ("l1", F.when(_may_match(raw, limits), _regexes(raw, limits)).otherwise(raw)))
     second = fence(first, ("l2", T.collapse_prefix(F.col("l1")) if limits.collapse_prefix else F.col("l1")))
-    third = T.strip_score(F.col("l2")) if limits.strip_score else F.col("l2")
-    return fence(second, ("line", T.normalize_whitespace(third))).select("file", "row", "pos", "line")
+    third = fence(second, ("l3", T.strip_score(F.col("l2")) if limits.strip_score else F.col("l2")))
+    return fence(third, ("line", T.normalize_whitespace(F.col("l3")))).select("file", "row", "pos", "line")
 
 
 def _steps(limits: CleanLimits) -> list[tuple[str, tuple[str, ...]]]:
