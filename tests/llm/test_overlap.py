@@ -74,6 +74,16 @@ def test_the_cheapest_chunks():
         assert len(block) == quota and sum(costs[s][a] for a, s in zip(first.tolist(), size.tolist(), strict=True)) == best
 
 
+def test_partners_lie_in_neighbouring_classes_of_length():
+    n = np.arange(8, 3000)
+    own = overlap.length_class(n, 0.2)
+    for shorter, of in zip(n.tolist(), own.tolist(), strict=True):
+        longest = shorter  # the longest partner of this length
+        while longest + 1 - shorter <= (longest + 1) // 5:
+            longest += 1
+        assert int(overlap.length_class(np.array([longest]), 0.2)[0]) - of in (0, 1)
+
+
 def test_overlap_of_content_cuts():
     a = [f"w{i}" for i in range(400)]
     b = a[:150] + ["new"] + a[150:]

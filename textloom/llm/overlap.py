@@ -12,10 +12,11 @@ are cut by a rolling hash over two words; the share of their words in chunks of
 
 Completeness: a record of ``n`` words has at most ``k`` edits to any partner of which they are at most a fifth (``most``) of
 the longer record's words. Every evaluation record gets ``k + 1`` disjoint chunks, an edit spoils one at most, so one of them
-stands unchanged in the training record; and the shared ones have at least as many words as the shortest
-``k + 1 - e``, where ``e`` are the edits allowed with that partner. Nothing is capped: the table of counts only chooses among chunks.
+stands unchanged in the training record; and of ``m`` chunks the shared ones have at least as many words as the shortest
+``m - e``, where ``e`` are the edits allowed with that partner. Nothing is capped: the table of counts only chooses among chunks.
 
-Chunks carry the parities of their record's words (128 bits). A replacement flips two at most, an insertion or removal one,
+Digests are keyed by the class of the partner's length (partners' lengths lie within a factor of ``1 / (1 - most)``), and to each class go only the
+cheapest ``e + 1`` chunks for the most edits ``e`` that it allows. Chunks carry the parities of their record's words (128 bits). A replacement flips two at most, an insertion or removal one,
 and as many of these are needed as the lengths differ (``d``), so candidates that differ in more than ``2 e - d`` bits are left
 out inside the join. Runs that no evaluation record has as a chunk are dropped before it by a Bloom filter of bounded size. Records with equal words
 are one class throughout: each is cut once, and links of classes are expanded to their members only where pairs are asked for.
@@ -251,14 +252,15 @@ def _once(row: np.ndarray, digest: np.ndarray, size: np.ndarray) -> tuple[np.nda
     return row[first], digest[first], size[first]
 
 
-def _met_runs(part: DataFrame, met: np.ndarray, n_bits: int) -> DataFrame:
-    """All runs of each record that the filter knows."""
+def _met_runs(part: DataFrame, most: float, met: np.ndarray, n_bits: int) -> DataFrame:
+    """All runs of each record that the filter knows for its length."""
     sent = part.sparkSession.sparkContext.broadcast(met)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             u, ends = hashed(b.column("flat"))
             row, digest, size = windows(u, ends)
+            digest = _keyed(digest, length_class(np.diff(ends, prepend=0), most)[row])
             hit = bits.probe(sent.value, n_bits, digest.view(np.int64))
             row, digest, size = _once(row[hit], digest[hit], size[hit])
             yield _carried(b, u, ends, row, digest, size, 0, None)
@@ -266,18 +268,40 @@ def _met_runs(part: DataFrame, met: np.ndarray, n_bits: int) -> DataFrame:
     return part.select("flat", *_CLASS).mapInArrow(cut, _RUN)
 
 
+def length_class(n: np.ndarray, most: float) -> np.ndarray:
+    """The class of a record's length; partners lie in the same or in neighbouring ones."""
+    return np.floor(np.log(np.maximum(n, 1)) / -np.log1p(-most)).astype(np.int64)
+
+
+def _keyed(digest: np.ndarray, length: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mix(digest + length.astype(np.uint64) * _PRIME)
+
+
 def _rare_chunks(part: DataFrame, most: float, counts: np.ndarray, count_bits: int) -> DataFrame:
-    """Each record's chunks that cost least in the other split."""
+    """Each record's chunks that cost least in the other split, keyed for partners of each class of lengths: of the cheapest only
+    as many as such a partner may have edits, and one more."""
     sent = part.sparkSession.sparkContext.broadcast(counts)
 
+    def cost(h: np.ndarray) -> np.ndarray:
+        return bits.LEVELS[bits.counted(sent.value, count_bits, h)]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             u, ends = hashed(b.column("flat"))
-            row, _, size, digest = chunks(u, ends, most, lambda h: bits.LEVELS[bits.counted(sent.value, count_bits, h)])
-            row, digest, size = _once(row, digest, size)
-            cuts = np.bincount(row, minlength=len(ends))
-            under = sum(np.minimum(np.bincount(row[size < k], minlength=len(ends)), _MOST_UNDER) << 12 * i for i, k in enumerate(range(2, 7)))
-            yield _carried(b, u, ends, row, digest, size, cuts, under)
+            row, place, size, digest = chunks(u, ends, most, cost)
+            by = np.lexsort((place, cost(digest.view(np.int64)), row))
+            row, size, digest = row[by], size[by], digest[by]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            n = np.diff(ends, prepend=0)
+            own, every = length_class(n, most), allowed(n, most)
+            longest = np.maximum(n, np.floor((1 - most) ** -(own + 1.0) + 1e-6))  # of the record's own class
+            for step, edits_ in ((-1, np.floor(n * most + 1e-9)), (0, np.minimum(every, np.floor(longest * most + 1e-6))), (1, every)):
+                take = rank <= edits_[row]
+                r, d, k = _once(row[take], _keyed(digest[take], own[row[take]] + step), size[take])
+                cuts = np.bincount(r, minlength=len(ends))
+                under = sum(np.minimum(np.bincount(r[k < x], minlength=len(ends)), _MOST_UNDER) << 12 * i for i, x in enumerate(range(2, 7)))
+                yield _carried(b, u, ends, r, d, k, cuts, under)
 
     return part.select("flat", *_CLASS).mapInArrow(cut, _CHUNK)
 
@@ -345,7 +369,7 @@ def candidates(train: DataFrame, val: DataFrame, most: float, filter_bits: int =
     v = materialize(_rare_chunks(val, most, counts, count_bits), "p1-val")
     met_bits = bits.slot_bits(v.count(), 16, most=filter_bits)
     met, _ = bits.seen_table(v, ["digest"], met_bits)
-    t = _met_runs(train, met, met_bits)
+    t = _met_runs(train, most, met, met_bits)
     size = lambda side: F.shiftright(f"{side}.w", 4).bitwiseAND(F.lit((1 << 28) - 1)).cast("int")
     e = F.floor(F.greatest(size("t"), size("v")) * most + 1e-9).cast("int")
     flips = sum((F.bit_count(F.col(f"t.{s}").bitwiseXOR(F.col(f"v.{s}"))) for s in ("s1", "s2")), F.lit(0))
